@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--output", required=True, help="folder for models, trials and run log")
         if name in ("clean", "daily"):
             command.add_argument("--medians-from", choices=["train", "all"], default="train")
+            command.add_argument("--blank-as-null", action="store_true", help="fill blank categories too")
     return parser
 
 
@@ -50,7 +51,14 @@ def main(arguments: list[str] | None = None) -> None:
         profile(raw).show(len(raw.columns), truncate=False)
         preview(raw).show(truncate=False)
     if args.command in ("clean", "daily"):
-        run_clean(spark, args.raw, args.train, args.test, medians_from=args.medians_from).show()
+        run_clean(
+            spark,
+            args.raw,
+            args.train,
+            args.test,
+            medians_from=args.medians_from,
+            blank_as_null=args.blank_as_null,
+        ).show()
     if args.command in ("train", "daily"):
         _show_models(run_train(spark, args.train, args.test, args.output))
     if args.command == "tune":

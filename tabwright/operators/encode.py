@@ -60,7 +60,8 @@ def training_weights(
     """Class weights of a training table, after checking in the same pass that it can be fitted.
 
     Refuses a missing class, a label other than 0 and 1, missing numbers (the models
-    cannot take them) and columns with too many categories to hold as a list.
+    cannot take them), blank categories (a vector slot needs a name) and columns with
+    too many categories to hold as a list.
     """
     aggregates = [
         F.count("*").alias("rows"),
@@ -70,12 +71,19 @@ def training_weights(
     for c in numeric:
         value = F.col(c).cast("double")
         aggregates.append(F.count_if(value.isNull() | F.isnan(value)).alias(f"missing:{c}"))
-    aggregates += [F.approx_count_distinct(c).alias(f"categories:{c}") for c in categorical]
+    for c in categorical:
+        aggregates += [
+            F.count_if(F.col(c) == "").alias(f"blank:{c}"),
+            F.approx_count_distinct(c).alias(f"categories:{c}"),
+        ]
     row = df.agg(*aggregates).first()
 
     missing = [c for c in numeric if row[f"missing:{c}"]]
     if missing:
         raise ValueError(f"missing numbers in {', '.join(missing)}: fill them before training")
+    blank = [c for c in categorical if row[f"blank:{c}"]]
+    if blank:
+        raise ValueError(f"blank categories in {', '.join(blank)}: fill them before training")
     crowded = [c for c in categorical if row[f"categories:{c}"] > max_categories]
     if crowded:
         raise ValueError(f"more than {max_categories} categories in {', '.join(crowded)}")

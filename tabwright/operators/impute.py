@@ -86,17 +86,22 @@ def exact_medians(
     while any(b.open for b in brackets.values()):
         small = {c: b for c, b in brackets.items() if b.open and b.rows <= exact_rows}
         wide = {c: b for c, b in brackets.items() if b.open and b.rows > exact_rows}
-        probes = [
-            F.percentile_disc((b.rank - 0.5) / b.rows, F.when(b.inside(values[c]), values[c])).alias(c)
-            if c in small
-            else F.percentile_approx(
-                F.when(b.inside(values[c]), values[c]),
+        inside = df.select(
+            [F.when(b.inside(values[c]), values[c]).alias(c) for c, b in {**small, **wide}.items()]
+        )
+        exact = [
+            F.expr(f"percentile_disc({(b.rank - 0.5) / b.rows}D) within group (order by `{c}`)").alias(c)
+            for c, b in small.items()
+        ]
+        sketched = [
+            F.percentile_approx(
+                F.col(f"`{c}`"),
                 [max(b.rank / b.rows - margin, 0.0), min(b.rank / b.rows + margin, 1.0)],
                 SKETCH_ACCURACY,
             ).alias(c)
-            for c, b in {**small, **wide}.items()
+            for c, b in wide.items()
         ]
-        found = df.agg(*probes).first().asDict()
+        found = inside.agg(*exact, *sketched).first().asDict()
         for c, b in small.items():
             b.answer = found[c]
         if wide:
