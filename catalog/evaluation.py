@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import CANDIDATES_SQL, candidates, metrics_ctes, one_candidate, query
 from tabwright.operators.evaluate import class_metrics, evaluate, ranking_metrics, score_table
+from tabwright.scratch import stage
 
 
 def _single(name: str, candidate: int) -> str:
@@ -17,7 +18,7 @@ def _single(name: str, candidate: int) -> str:
 
 def _one_metric(spark, sf_dir, name, candidate, metrics):
     scored = candidates(spark, sf_dir, candidate)
-    wide = metrics(score_table(scored, ["trial_id"]), ["trial_id"])
+    wide = metrics(stage(score_table(scored, ["trial_id"]), "scores"), ["trial_id"])
     return wide.select(F.lit(name).alias("metric"), F.round(name, 6).alias("value"))
 
 

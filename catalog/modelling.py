@@ -23,7 +23,7 @@ from tabwright.operators.search import (
 )
 from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
-from tabwright.scratch import scratch_path, stage
+from tabwright.scratch import scratch_path, spread, stage
 from tabwright.sources.models import load_model, save_model
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -41,7 +41,7 @@ def _parts(spark, sf_dir):
         safe_ratio("l_extendedprice", "l_quantity", "l_tax").alias("unit_price"),
         binary_label("l_returnflag", "R").alias("label"),
     )
-    return hash_split(stage(rows, "lines"), KEYS)
+    return hash_split(spread(stage(rows, "lines")), KEYS)
 
 
 def _weighted(train):
@@ -102,8 +102,8 @@ def _tuning_parts(train):
     weighted = _weighted(tuning)
     stages = build_pipeline(CATEGORICAL, NUMERIC).fit(weighted)
     return (
-        stage(featurize(stages, weighted, weight="classWeight"), "tuning"),
-        stage(featurize(stages, validation), "validation"),
+        spread(stage(featurize(stages, weighted, weight="classWeight"), "tuning")),
+        spread(stage(featurize(stages, validation), "validation")),
     )
 
 
@@ -130,7 +130,7 @@ def forest_trials(spark, sf_dir):
 def refit_best(spark, sf_dir):
     """The best logistic setting refitted on all training rows; test metrics."""
     train, test = _parts(spark, sf_dir)
-    best = best_trial(stage(_trial_rows(spark, train, logistic(), LOGISTIC_SPACE, 6), "trials")).first()
+    best = best_trial(_trial_rows(spark, train, logistic(), LOGISTIC_SPACE, 6)).first()
     settings = {name: best[name] for name in LOGISTIC_SPACE}
     _, metrics = refit(logistic(**settings), train, test, CATEGORICAL, NUMERIC)
     return model_metrics({"LogisticRegression": metrics.select(*METRICS)})

@@ -15,7 +15,7 @@ from tabwright.operators.search import (
     sample_space,
     selection_record,
 )
-from tabwright.scratch import scratch_path
+from tabwright.scratch import scratch_path, stage
 from tabwright.sources.runlog import log_run, read_runs
 from tabwright.sources.tables import read_csv, write_csv
 
@@ -62,7 +62,7 @@ def search_space_rf(spark, sf_dir):
 
 
 def _trials(spark, sf_dir):
-    return evaluate_wide(candidates(spark, sf_dir), ["trial_id"])
+    return stage(evaluate_wide(candidates(spark, sf_dir), ["trial_id"]), "trials")
 
 
 def _rounded(trials):
@@ -72,7 +72,7 @@ def _rounded(trials):
 def _models(spark, sf_dir):
     """Rows of (model, metric, value) of the two stand-ins."""
     name = F.when(F.col("trial_id") == 0, MODELS[0]).otherwise(MODELS[1])
-    wide = evaluate_wide(candidates(spark, sf_dir, 0, 1), ["trial_id"])
+    wide = stage(evaluate_wide(candidates(spark, sf_dir, 0, 1), ["trial_id"]), "models")
     return to_long(wide.withColumn("model", name).drop("trial_id"), ["model"])
 
 

@@ -8,6 +8,7 @@ score order give the two areas, exactly and without binning scores.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,7 @@ METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 OUTCOMES = ["tp", "fn", "fp", "tn"]
 
 # Scores one task should accumulate, and the most score ranges to form.
-RANGE_ROWS = 250_000
+RANGE_ROWS = 50_000
 MAX_RANGES = 4096
 
 
@@ -69,55 +70,62 @@ def class_metrics(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _with_range(table: DataFrame, range_rows: int) -> DataFrame:
-    """Number the rows by score range, so that no range holds many more than ``range_rows``.
+def _cuts(table: DataFrame, range_rows: int) -> list[float]:
+    """Scores that cut the table into ranges of about ``range_rows`` rows; none for a small table.
 
-    Scores are distinct within a model here, so quantiles of the table cut it evenly
-    however the predictions pile up on single scores.
+    Scores are distinct within a model here, so quantiles cut evenly however the
+    predictions pile up on single scores.
     """
-    rows = table.count()
-    ranges = min(MAX_RANGES, -(-rows // range_rows))
+    ranges = min(MAX_RANGES, -(-table.count() // range_rows))
     if ranges <= 1:
-        return table.withColumn("range", F.lit(0.0))
+        return []
     fractions = [i / ranges for i in range(1, ranges)]
     cuts = table.agg(F.percentile_approx("score", fractions, 10 * ranges)).first()[0]
-    finite = sorted({c for c in cuts if float("-inf") < c < float("inf")})
-    splits = [float("-inf"), *finite, float("inf")]
-    return Bucketizer(splits=splits, inputCol="score", outputCol="range", handleInvalid="keep").transform(table)
+    return sorted({c for c in cuts if isfinite(c)})
 
 
-def ranking_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Areas under the ROC and the precision-recall curve per model.
+def _curve(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cumulative outcomes at each score, all scores of a model in one task."""
+    model = Window.partitionBy(*by)
+    so_far = model.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return points.select(
+        *by,
+        "pos",
+        "neg",
+        F.sum("pos").over(so_far).alias("tp"),
+        F.sum("neg").over(so_far).alias("fp"),
+        F.sum("pos").over(model).alias("all_pos"),
+        F.sum("neg").over(model).alias("all_neg"),
+    )
+
 
-    Range totals are accumulated first (a few thousand rows at most per model), then
-    each range accumulates its own scores, so no task sees more than one range.
+def _ranged_curve(points: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> DataFrame:
+    """The same, one score range per task.
+
+    The totals of the ranges, a few thousand rows at most per model, are accumulated
+    first; each range then starts from what the higher ones hold.
     """
-    ranged = _with_range(
-        table.select(
-            *by, "score", (F.col("tp") + F.col("fn")).alias("pos"), (F.col("fp") + F.col("tn")).alias("neg")
-        ),
-        range_rows,
+    ranges = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     )
+    ranged = ranges.transform(points)
+    totals = ranged.groupBy(*by, "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     higher = Window.partitionBy(*by).orderBy(F.desc("range"))
     every = Window.partitionBy(*by)
-    starts = (
-        ranged.groupBy(*by, "range")
-        .agg(F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"))
-        .select(
-            *by,
-            "range",
-            (F.sum("range_pos").over(higher) - F.col("range_pos")).alias("start_tp"),
-            (F.sum("range_neg").over(higher) - F.col("range_neg")).alias("start_fp"),
-            F.sum("range_pos").over(every).alias("all_pos"),
-            F.sum("range_neg").over(every).alias("all_neg"),
-        )
+    starts = totals.select(
+        *by,
+        "range",
+        (F.sum("pos").over(higher) - F.col("pos")).alias("start_tp"),
+        (F.sum("neg").over(higher) - F.col("neg")).alias("start_fp"),
+        F.sum("pos").over(every).alias("all_pos"),
+        F.sum("neg").over(every).alias("all_neg"),
     )
     so_far = (
         Window.partitionBy(*by, "range")
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    curve = ranged.join(starts, [*by, "range"]).select(
+    return ranged.join(starts, [*by, "range"]).select(
         *by,
         "pos",
         "neg",
@@ -126,6 +134,15 @@ def ranking_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int =
         (F.col("start_tp") + F.sum("pos").over(so_far)).alias("tp"),
         (F.col("start_fp") + F.sum("neg").over(so_far)).alias("fp"),
     )
+
+
+def ranking_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Areas under the ROC and the precision-recall curve per model, without binning scores."""
+    points = table.select(
+        *by, "score", (F.col("tp") + F.col("fn")).alias("pos"), (F.col("fp") + F.col("tn")).alias("neg")
+    )
+    cuts = _cuts(points, range_rows)
+    curve = _ranged_curve(points, by, cuts) if cuts else _curve(points, by)
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
     precision = tp / (tp + fp)
     before = (tp - pos) + (fp - neg)

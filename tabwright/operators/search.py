@@ -16,6 +16,7 @@ from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline
 from tabwright.operators.evaluate import METRICS, evaluate_wide, to_long
 from tabwright.operators.models import positive_part, predictions
 from tabwright.operators.stats import with_class_weight
+from tabwright.scratch import stage
 
 # Models that score one pass over the validation rows together; their trees travel with the task.
 MODELS_PER_PASS = 6
@@ -126,7 +127,7 @@ def run_trials(
         wide = evaluate_wide(_score_with(part, validation, label), by=["trial_id"], label=label)
         metrics = wide if metrics is None else metrics.unionByName(wide)
     drawn = trials.sparkSession.createDataFrame(rows, trials.schema)
-    return drawn.join(metrics, "trial_id").select(*trials.columns, *METRICS)
+    return stage(drawn.join(metrics, "trial_id").select(*trials.columns, *METRICS), "trials")
 
 
 def best_trial(trials: DataFrame, metric: str = "roc_auc") -> DataFrame:
@@ -156,7 +157,7 @@ def refit(
     weights = training_weights(train, categorical, numeric, label)
     pipeline = build_pipeline(categorical, numeric, estimator, scale)
     model = pipeline.fit(with_class_weight(train, weights, label))
-    return model, evaluate_wide(predictions(model, test, label), label=label)
+    return model, stage(evaluate_wide(predictions(model, test, label), label=label), "metrics")
 
 
 def compare_models(metrics: DataFrame, models: Sequence[str], places: int = 4) -> DataFrame:

@@ -8,6 +8,7 @@ from tabwright.fixed import CUSTOMERS, FOREST_SETTINGS, LOGISTIC_SETTINGS, Custo
 from tabwright.operators.evaluate import metric_values
 from tabwright.operators.models import forest, logistic
 from tabwright.operators.search import model_metrics, refit
+from tabwright.scratch import spread
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
 from tabwright.sources.tables import read_parquet
@@ -32,7 +33,7 @@ def run_train(
     Models go to ``output_path/models``, the run log to ``output_path/runs``.
     """
     columns = [*table.model_categorical, *table.model_numeric, "label"]
-    train, test = (read_parquet(spark, p, columns) for p in (train_path, test_path))
+    train, test = (spread(read_parquet(spark, p, columns)) for p in (train_path, test_path))
     settings = {
         "LogisticRegression": {**LOGISTIC_SETTINGS, **(logistic_settings or {})},
         "RandomForest": {**FOREST_SETTINGS, **(forest_settings or {})},

@@ -22,7 +22,7 @@ from tabwright.operators.search import (
 from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
 from tabwright.plans.train import MODELS
-from tabwright.scratch import stage
+from tabwright.scratch import spread, stage
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
 from tabwright.sources.tables import read_parquet, write_csv
@@ -44,8 +44,8 @@ def tuning_tables(train: DataFrame, table: CustomerTable = CUSTOMERS) -> tuple[D
     weighted = with_class_weight(tuning, weights)
     stages = build_pipeline(table.model_categorical, table.model_numeric).fit(weighted)
     return (
-        stage(featurize(stages, weighted, weight="classWeight"), "tuning"),
-        stage(featurize(stages, validation), "validation"),
+        spread(stage(featurize(stages, weighted, weight="classWeight"), "tuning")),
+        spread(stage(featurize(stages, validation), "validation")),
     )
 
 
@@ -66,17 +66,14 @@ def run_tune(
     the search, the final models and the choice to the run log in ``output_path/runs``.
     """
     log_path = f"{output_path}/runs"
-    train, test = read_parquet(spark, train_path), read_parquet(spark, test_path)
+    train, test = (spread(read_parquet(spark, p)) for p in (train_path, test_path))
     tuning, validation = tuning_tables(train, table)
 
     settings = {}
     for name in MODELS:
         space = SPACES[name]
         drawn = draw_trials(spark, trials, space, seed)
-        tried = stage(
-            run_trials(ESTIMATORS[name](), drawn, space, tuning, validation, parallelism=parallelism),
-            "trials",
-        )
+        tried = run_trials(ESTIMATORS[name](), drawn, space, tuning, validation, parallelism=parallelism)
         trials_path = f"{output_path}/trials/{name}"
         write_csv(tried, trials_path, single_file=True)
         best = best_trial(tried).first()
