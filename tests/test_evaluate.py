@@ -1,0 +1,73 @@
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
+
+from tabwright.operators.evaluate import METRICS, evaluate, evaluate_wide, metric_values
+
+
+def built_in(df):
+    raw = df.withColumn("rawPrediction", F.col("score"))
+    areas = {
+        "roc_auc": BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
+        "pr_auc": BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0),
+    }
+    rates = {
+        "accuracy": MulticlassClassificationEvaluator(metricName="accuracy"),
+        "precision": MulticlassClassificationEvaluator(metricName="weightedPrecision"),
+        "recall": MulticlassClassificationEvaluator(metricName="weightedRecall"),
+        "f1": MulticlassClassificationEvaluator(metricName="f1"),
+    }
+    return {m: e.evaluate(raw) for m, e in {**areas, **rates}.items()}
+
+
+def scored(spark, scores, labels, threshold=0.5):
+    rows = [(float(s), float(y), float(s > threshold)) for s, y in zip(scores, labels)]
+    return spark.createDataFrame(rows, "score double, label double, prediction double").repartition(3)
+
+
+def random_scores(kind, n=4000, seed=1):
+    rng = np.random.default_rng(seed)
+    labels = rng.integers(0, 2, n)
+    scores = np.clip(0.35 * labels + rng.uniform(0, 0.65, n), 0, 1)
+    if kind == "ties":
+        scores = np.round(scores, 1)
+    if kind == "hot":
+        scores = np.where(rng.uniform(size=n) < 0.4, 0.5, scores)
+    if kind == "narrow":
+        scores = 0.5 + (scores - 0.5) * 1e-9
+    if kind == "margins":
+        scores = (scores - 0.5) * 1e6
+    return scores, labels
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "hot", "narrow", "margins"])
+@pytest.mark.parametrize("range_rows", [50, 10**6])
+def test_same_as_the_built_in_evaluators(spark, kind, range_rows):
+    df = scored(spark, *random_scores(kind))
+    got = metric_values(evaluate_wide(df, range_rows=range_rows))
+    assert got == pytest.approx(built_in(df), abs=1e-12)
+
+
+@pytest.mark.parametrize("labels", [[1, 1, 1], [0, 0, 0]])
+def test_one_class_only(spark, labels):
+    df = scored(spark, [0.2, 0.6, 0.9], labels)
+    assert metric_values(evaluate_wide(df)) == pytest.approx(built_in(df))
+
+
+def test_models_are_kept_apart(spark):
+    parts = {i: scored(spark, *random_scores("plain", 1500, seed=i)) for i in range(3)}
+    both = parts[0].withColumn("trial_id", F.lit(0))
+    for i in (1, 2):
+        both = both.unionByName(parts[i].withColumn("trial_id", F.lit(i)))
+    rows = evaluate_wide(both, ["trial_id"], range_rows=100).collect()
+    for r in rows:
+        assert {m: r[m] for m in METRICS} == pytest.approx(built_in(parts[r.trial_id]), abs=1e-12)
+    assert evaluate(both, ["trial_id"]).count() == 18
+
+
+@pytest.mark.parametrize("bad", [2.0, None, float("nan")])
+def test_other_labels_are_refused(spark, bad):
+    df = spark.createDataFrame([(0.1, 0.0, 0.0), (0.2, bad, 1.0)], "score double, label double, prediction double")
+    with pytest.raises(Exception, match="labels and predictions must be"):
+        evaluate_wide(df)

@@ -1,0 +1,92 @@
+import numpy as np
+import pytest
+
+from tabwright.operators.encode import build_pipeline
+from tabwright.operators.models import forest, logistic
+from tabwright.operators.search import (
+    FOREST_SPACE,
+    LOGISTIC_SPACE,
+    Choice,
+    best_model,
+    best_trial,
+    compare_models,
+    draw_trials,
+    featurize,
+    fit_trials,
+    run_trials,
+    selection_record,
+)
+from tabwright.operators.evaluate import METRICS, evaluate_wide
+from tabwright.operators.models import predictions
+from tabwright.scratch import stage
+
+MODELS = ["LogisticRegression", "RandomForest"]
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=800)
+    label = (x + rng.normal(size=800) > 0).astype(float)
+    data = [(float(a), float(y), 1.0) for a, y in zip(x, label)]
+    df = spark.createDataFrame(data, "x double, label double, classWeight double")
+    model = build_pipeline([], ["x"]).fit(df)
+    return stage(featurize(model, df, weight="classWeight"), "vectors")
+
+
+def test_trials_repeat_and_depend_on_the_seed(spark):
+    first = draw_trials(spark, 6, LOGISTIC_SPACE).collect()
+    assert first == draw_trials(spark, 6, LOGISTIC_SPACE).collect()
+    assert first != draw_trials(spark, 6, LOGISTIC_SPACE, seed=1).collect()
+    assert first == draw_trials(spark, 9, LOGISTIC_SPACE).orderBy("trial_id").collect()[:6]
+
+
+def test_draws_cover_the_space_evenly(spark):
+    df = draw_trials(spark, 4000, FOREST_SPACE)
+    for name, domain in FOREST_SPACE.items():
+        shares = {r[name]: r["count"] / 4000 for r in df.groupBy(name).count().collect()}
+        assert set(shares) == set(domain.values)
+        assert all(abs(s - 1 / len(domain.values)) < 0.04 for s in shares.values())
+
+
+def test_each_trial_is_fitted_with_its_own_setting(vectors):
+    space = [{"numTrees": 3, "maxDepth": 2}, {"numTrees": 5, "maxDepth": 1}, {"numTrees": 4, "maxDepth": 3}]
+    models = fit_trials(forest(), vectors, space, parallelism=3)
+    assert [m.getNumTrees for m in models] == [3, 5, 4]
+    assert [max(t.depth for t in m.trees) <= s["maxDepth"] for m, s in zip(models, space)] == [True] * 3
+
+
+@pytest.mark.parametrize("per_pass", [2, 6])
+def test_trial_metrics_equal_those_of_single_fits(spark, vectors, per_pass):
+    space = {"maxIter": Choice((2, 20)), "regParam": Choice((0.0, 0.5, 1.0))}
+    drawn = draw_trials(spark, 5, space)
+    got = run_trials(logistic(), drawn, space, vectors, vectors, models_per_pass=per_pass)
+    assert got.columns == [*drawn.columns, *METRICS]
+    for row in got.collect():
+        model = logistic(maxIter=row["maxIter"], regParam=row["regParam"]).fit(vectors)
+        single = evaluate_wide(predictions(model, vectors)).first()
+        assert {m: row[m] for m in METRICS} == pytest.approx(single.asDict(), abs=1e-9)
+
+
+def test_best_trial_takes_the_lowest_id_on_a_tie(spark):
+    df = spark.createDataFrame([(0, 0.5), (2, 0.9), (1, 0.9)], "trial_id long, roc_auc double")
+    assert best_trial(df).first().trial_id == 1
+
+
+def metrics_of(spark, lr, rf):
+    rows = [(m, metric, v) for m, v in zip(MODELS, (lr, rf)) for metric in METRICS]
+    return spark.createDataFrame(rows, "model string, metric string, value double")
+
+
+@pytest.mark.parametrize("lr, rf, winner", [(0.8, 0.7, 0), (0.7, 0.8, 1), (0.7, 0.7, 0)])
+def test_logistic_regression_wins_ties(spark, lr, rf, winner):
+    metrics = metrics_of(spark, lr, rf)
+    assert best_model(metrics, MODELS).first().model == MODELS[winner]
+    record = {r["key"]: r["value_str"] or r["value_dbl"] for r in selection_record(metrics, MODELS).collect()}
+    assert record["best_model"] == MODELS[winner] and record["selection_metric"] == "roc_auc"
+    assert {f"best_model_{m}": max(lr, rf) for m in METRICS}.items() <= record.items()
+
+
+def test_comparison_has_four_places(spark):
+    row = compare_models(metrics_of(spark, 0.123456, 0.7), MODELS).filter("metric = 'f1'").first()
+    assert (row["LogisticRegression"], row["RandomForest"]) == (0.1235, 0.7)
