@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import CANDIDATES_SQL, candidates, metrics_ctes, one_candidate, query
-from tabwright.operators.evaluate import class_metrics, evaluate, ranking_metrics, score_table
+from tabwright.operators.evaluate import all_metrics, class_metrics, evaluate, score_table
 from tabwright.scratch import stage
 
 
@@ -24,26 +24,26 @@ def _one_metric(spark, sf_dir, name, candidate, metrics):
 
 @query("metric_roc_auc", _single("roc_auc", 0))
 def metric_roc_auc(spark, sf_dir):
-    return _one_metric(spark, sf_dir, "roc_auc", 0, ranking_metrics)
+    return _one_metric(spark, sf_dir, "roc_auc", 0, all_metrics)
 
 
 @query("metric_pr_auc", _single("pr_auc", 0))
 def metric_pr_auc(spark, sf_dir):
-    return _one_metric(spark, sf_dir, "pr_auc", 0, ranking_metrics)
+    return _one_metric(spark, sf_dir, "pr_auc", 0, all_metrics)
 
 
 @query("metric_roc_auc_fine", _single("roc_auc", 1))
 def metric_roc_auc_fine(spark, sf_dir):
     """Nearly every row has a score of its own, so the score ranges carry the load."""
     return _one_metric(
-        spark, sf_dir, "roc_auc", 1, lambda t, by: ranking_metrics(t, by, range_rows=10_000)
+        spark, sf_dir, "roc_auc", 1, lambda t, by: all_metrics(t, by, range_rows=10_000)
     )
 
 
 @query("metric_pr_auc_fine", _single("pr_auc", 1))
 def metric_pr_auc_fine(spark, sf_dir):
     return _one_metric(
-        spark, sf_dir, "pr_auc", 1, lambda t, by: ranking_metrics(t, by, range_rows=10_000)
+        spark, sf_dir, "pr_auc", 1, lambda t, by: all_metrics(t, by, range_rows=10_000)
     )
 
 

@@ -48,8 +48,8 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def class_metrics(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy and the precision, recall and F1 of both classes, weighted by class size."""
+def _rates() -> list[Column]:
+    """Accuracy, and precision, recall and F1 of both classes weighted by class size."""
     tp, fn, fp, tn = (F.col(c) for c in OUTCOMES)
     positives, negatives = tp + fn, tn + fp
     rows = positives + negatives
@@ -57,17 +57,17 @@ def class_metrics(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     def weighted(of_positive: Column, of_negative: Column) -> Column:
         return (positives * of_positive + negatives * of_negative) / rows
 
-    return (
-        table.groupBy(*by)
-        .agg(*[F.sum(c).alias(c) for c in OUTCOMES])
-        .select(
-            *by,
-            ((tp + tn) / rows).alias("accuracy"),
-            weighted(_share(tp, tp + fp), _share(tn, tn + fn)).alias("precision"),
-            weighted(_share(tp, positives), _share(tn, negatives)).alias("recall"),
-            weighted(_share(2 * tp, 2 * tp + fp + fn), _share(2 * tn, 2 * tn + fp + fn)).alias("f1"),
-        )
-    )
+    return [
+        ((tp + tn) / rows).alias("accuracy"),
+        weighted(_share(tp, tp + fp), _share(tn, tn + fn)).alias("precision"),
+        weighted(_share(tp, positives), _share(tn, negatives)).alias("recall"),
+        weighted(_share(2 * tp, 2 * tp + fp + fn), _share(2 * tn, 2 * tn + fp + fn)).alias("f1"),
+    ]
+
+
+def class_metrics(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The four metrics of predicted classes, per model."""
+    return table.groupBy(*by).agg(*[F.sum(c).alias(c) for c in OUTCOMES]).select(*by, *_rates())
 
 
 def _cuts(table: DataFrame, range_rows: int) -> list[float]:
@@ -84,22 +84,20 @@ def _cuts(table: DataFrame, range_rows: int) -> list[float]:
     return sorted({c for c in cuts if isfinite(c)})
 
 
-def _curve(points: DataFrame, by: Sequence[str]) -> DataFrame:
+def _curve(table: DataFrame, by: Sequence[str]) -> DataFrame:
     """Cumulative outcomes at each score, all scores of a model in one task."""
     model = Window.partitionBy(*by)
     so_far = model.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return points.select(
-        *by,
-        "pos",
-        "neg",
-        F.sum("pos").over(so_far).alias("tp"),
-        F.sum("neg").over(so_far).alias("fp"),
+    return table.select(
+        "*",
+        F.sum("pos").over(so_far).alias("hits"),
+        F.sum("neg").over(so_far).alias("misses"),
         F.sum("pos").over(model).alias("all_pos"),
         F.sum("neg").over(model).alias("all_neg"),
     )
 
 
-def _ranged_curve(points: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> DataFrame:
+def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> DataFrame:
     """The same, one score range per task.
 
     The totals of the ranges, a few thousand rows at most per model, are accumulated
@@ -108,15 +106,15 @@ def _ranged_curve(points: DataFrame, by: Sequence[str], cuts: Sequence[float]) -
     ranges = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     )
-    ranged = ranges.transform(points)
+    ranged = ranges.transform(table)
     totals = ranged.groupBy(*by, "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     higher = Window.partitionBy(*by).orderBy(F.desc("range"))
     every = Window.partitionBy(*by)
     starts = totals.select(
         *by,
         "range",
-        (F.sum("pos").over(higher) - F.col("pos")).alias("start_tp"),
-        (F.sum("neg").over(higher) - F.col("neg")).alias("start_fp"),
+        (F.sum("pos").over(higher) - F.col("pos")).alias("start_hits"),
+        (F.sum("neg").over(higher) - F.col("neg")).alias("start_misses"),
         F.sum("pos").over(every).alias("all_pos"),
         F.sum("neg").over(every).alias("all_neg"),
     )
@@ -126,41 +124,37 @@ def _ranged_curve(points: DataFrame, by: Sequence[str], cuts: Sequence[float]) -
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return ranged.join(starts, [*by, "range"]).select(
-        *by,
-        "pos",
-        "neg",
+        *table.columns,
+        (F.col("start_hits") + F.sum("pos").over(so_far)).alias("hits"),
+        (F.col("start_misses") + F.sum("neg").over(so_far)).alias("misses"),
         "all_pos",
         "all_neg",
-        (F.col("start_tp") + F.sum("pos").over(so_far)).alias("tp"),
-        (F.col("start_fp") + F.sum("neg").over(so_far)).alias("fp"),
     )
 
 
-def ranking_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Areas under the ROC and the precision-recall curve per model, without binning scores."""
-    points = table.select(
-        *by, "score", (F.col("tp") + F.col("fn")).alias("pos"), (F.col("fp") + F.col("tn")).alias("neg")
-    )
-    cuts = _cuts(points, range_rows)
-    curve = _ranged_curve(points, by, cuts) if cuts else _curve(points, by)
-    pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
-    precision = tp / (tp + fp)
-    before = (tp - pos) + (fp - neg)
-    precision_before = F.when(before > 0, (tp - pos) / before).otherwise(precision)
+def all_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The six metrics per model from its score table; scores are not binned."""
+    counted = table.withColumns({"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")})
+    cuts = _cuts(table, range_rows)
+    curve = _ranged_curve(counted, by, cuts) if cuts else _curve(counted, by)
+    pos, neg, hits, misses = (F.col(c) for c in ("pos", "neg", "hits", "misses"))
+    precision = hits / (hits + misses)
+    before = (hits - pos) + (misses - neg)
+    precision_before = F.when(before > 0, (hits - pos) / before).otherwise(precision)
     sums = curve.groupBy(*by).agg(
-        F.max("all_pos").alias("all_pos"),
-        F.max("all_neg").alias("all_neg"),
-        F.sum(pos.cast("double") * (F.col("all_neg") - fp + neg / 2)).alias("won"),
+        *[F.sum(c).alias(c) for c in OUTCOMES],
+        F.sum(pos.cast("double") * (F.col("all_neg") - misses + neg / 2)).alias("won"),
         F.sum(pos * (precision + precision_before) / 2).alias("precision_sum"),
     )
-    all_pos, all_neg = F.col("all_pos"), F.col("all_neg")
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
     return sums.select(
         *by,
-        F.when(all_pos == 0, 0.0)
-        .when(all_neg == 0, 1.0)
-        .otherwise(F.col("won") / all_pos / all_neg)
+        *_rates(),
+        F.when(positives == 0, 0.0)
+        .when(negatives == 0, 1.0)
+        .otherwise(F.col("won") / positives / negatives)
         .alias("roc_auc"),
-        _share(F.col("precision_sum"), all_pos).alias("pr_auc"),
+        _share(F.col("precision_sum"), positives).alias("pr_auc"),
     )
 
 
@@ -177,13 +171,7 @@ def evaluate_wide(
     The score table is staged because several jobs read it, while the predictions,
     which may be dear to compute, are read once.
     """
-    table = stage(score_table(df, by, score, label, prediction), "scores")
-    names = list(by) or ["_model"]
-    if not by:
-        table = table.withColumn("_model", F.lit(0))
-    rates = class_metrics(table, names)
-    areas = ranking_metrics(table, names, range_rows)
-    return rates.join(areas, names).select(*by, *METRICS)
+    return all_metrics(stage(score_table(df, by, score, label, prediction), "scores"), by, range_rows)
 
 
 def to_long(wide: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -32,10 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path never handed out before; what is written there goes when the application ends."""
-    path = f"{shared_folder(spark)}/tabwright/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    folder = f"{shared_folder(spark)}/tabwright/{spark.sparkContext.applicationId}"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path)
+    files.deleteOnExit(hadoop_path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -70,6 +70,6 @@ def test_score_ranges_share_one_partitioning(spark):
 
 
 def test_no_query_joins_without_keys(spark, sf_dir):
-    for name in ("clean_table", "class_weights", "median_exact", "evaluate_many", "selection_record", "compare_models"):
+    for name in ("clean_table", "class_weights", "evaluate", "median_exact", "evaluate_many", "selection_record", "compare_models"):
         text = plan(queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
