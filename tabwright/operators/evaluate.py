@@ -14,6 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.fixed import SEED
 from tabwright.scratch import stage
 
 # Order of the metrics in result tables.
@@ -23,6 +24,7 @@ OUTCOMES = ["tp", "fn", "fp", "tn"]
 # Scores one task should accumulate, and the most score ranges to form.
 RANGE_ROWS = 50_000
 MAX_RANGES = 4096
+SAMPLE_PER_RANGE = 200
 
 
 def score_table(
@@ -74,13 +76,16 @@ def _cuts(table: DataFrame, range_rows: int) -> list[float]:
     """Scores that cut the table into ranges of about ``range_rows`` rows; none for a small table.
 
     Scores are distinct within a model here, so quantiles cut evenly however the
-    predictions pile up on single scores.
+    predictions pile up on single scores. Any cuts give the same result, so those of a
+    sample will do.
     """
-    ranges = min(MAX_RANGES, -(-table.count() // range_rows))
+    rows = table.count()
+    ranges = min(MAX_RANGES, -(-rows // range_rows))
     if ranges <= 1:
         return []
+    sample = table.sample(min(1.0, SAMPLE_PER_RANGE * ranges / rows), seed=SEED)
     fractions = [i / ranges for i in range(1, ranges)]
-    cuts = table.agg(F.percentile_approx("score", fractions, 10 * ranges)).first()[0]
+    cuts = sample.agg(F.percentile_approx("score", fractions, 10 * ranges)).first()[0] or []
     return sorted({c for c in cuts if isfinite(c)})
 
 

@@ -8,11 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.fixed import MEDIAN_ERROR
+from tabwright.fixed import MEDIAN_ERROR, SEED
 
 # Rows inside the bracket that one exact percentile may hold in memory.
 EXACT_ROWS = 200_000
-# Accuracy of the sketch that narrows the bracket.
+# About how many values to sample for narrowing the bracket, and how far around the
+# wanted rank its ends lie: six standard deviations of a sampled rank.
+SAMPLED_ROWS = 1_000_000
+MARGIN = 0.003
 SKETCH_ACCURACY = 10_000
 
 
@@ -62,6 +65,10 @@ class _Bracket:
             within = within & (value < self.high)
         return within
 
+    def sampled(self) -> Column:
+        share = SAMPLED_ROWS / self.rows
+        return F.lit(True) if share >= 1 else F.rand(SEED) < share
+
     @property
     def open(self) -> bool:
         return self.answer is None and self.rows > 0
@@ -72,22 +79,23 @@ def exact_medians(
 ) -> dict[str, float]:
     """Exact lower medians, whatever the size and skew of the columns.
 
-    Each round sketches two values around the wanted rank and counts what lies below,
-    on and between them. A value that many rows share is settled by its count; what
+    Each round picks two values around the wanted rank from a sample and then counts,
+    over all rows, what lies below, on and between them; the sample only decides how
+    fast the search goes. A value that many rows share is settled by its count; what
     lies strictly between shrinks to a small part of the rows. Once few rows are left,
-    an exact percentile over them ends the search. No round shuffles more than one row
-    per task.
+    an exact percentile over them ends the search. A round shuffles one row per task,
+    and all its sketches together hold no more than the sampled values.
     """
     values = {c: _number(df, c) for c in columns}
     sizes = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first().asDict()
     brackets = {c: _Bracket(rows=n, rank=(n + 1) // 2) for c, n in sizes.items()}
 
-    margin = 2 / SKETCH_ACCURACY
     while any(b.open for b in brackets.values()):
         small = {c: b for c, b in brackets.items() if b.open and b.rows <= exact_rows}
         wide = {c: b for c, b in brackets.items() if b.open and b.rows > exact_rows}
         inside = df.select(
-            [F.when(b.inside(values[c]), values[c]).alias(c) for c, b in {**small, **wide}.items()]
+            [F.when(b.inside(values[c]), values[c]).alias(c) for c, b in small.items()]
+            + [F.when(b.inside(values[c]) & b.sampled(), values[c]).alias(c) for c, b in wide.items()]
         )
         exact = [
             F.expr(f"percentile_disc({(b.rank - 0.5) / b.rows}D) within group (order by `{c}`)").alias(c)
@@ -96,7 +104,7 @@ def exact_medians(
         sketched = [
             F.percentile_approx(
                 F.col(f"`{c}`"),
-                [max(b.rank / b.rows - margin, 0.0), min(b.rank / b.rows + margin, 1.0)],
+                [max(b.rank / b.rows - MARGIN, 0.0), min(b.rank / b.rows + MARGIN, 1.0)],
                 SKETCH_ACCURACY,
             ).alias(c)
             for c, b in wide.items()
@@ -115,7 +123,7 @@ def _narrow(
     brackets: Mapping[str, _Bracket],
     ends: Mapping[str, Sequence[float]],
 ) -> None:
-    """Count around the sketched ends and move each bracket to the part with its rank."""
+    """Count around the picked ends and move each bracket to the part with its rank."""
     counts = []
     for c, b in brackets.items():
         v, (low, high) = values[c], ends[c]

@@ -3,6 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tabwright.operators import impute
 from tabwright.operators.impute import apply_medians, exact_medians, fit_medians
 
 
@@ -17,7 +18,9 @@ def frame(spark, **columns):
     return spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(4)
 
 
-def test_exact_median_by_narrowing_on_skewed_columns(spark):
+@pytest.mark.parametrize("sampled", [300, 10**6])
+def test_exact_median_by_narrowing_on_skewed_columns(spark, monkeypatch, sampled):
+    monkeypatch.setattr(impute, "SAMPLED_ROWS", sampled)
     rng = np.random.default_rng(3)
     n = 20_000
     hot = np.where(rng.uniform(size=n) < 0.4, 5.0, rng.normal(size=n))
