@@ -10,7 +10,9 @@ from tabwright.functions import binary_label, bucket, count_matching, safe_ratio
 from tabwright.operators.clean import blanks_to_null, cast_doubles, dedup, fill_text, trim_all, trim_strings
 from tabwright.operators.impute import apply_medians, exact_medians
 from tabwright.operators.split import in_first_part
-from tabwright.plans.clean import prepare
+from tabwright.plans.clean import prepare, run_clean
+from tabwright.scratch import scratch_path, stage
+from tabwright.sources.tables import write_csv
 
 TOTAL_SQL = "try_cast(nullif(trim(total_raw), '') as double)"
 BUCKET_SQL = """case when tenure <= 12 then '0-12' when tenure <= 24 then '13-24'
@@ -191,9 +193,7 @@ DIRTY_TABLE = CustomerTable(
 )
 
 
-@query(
-    "clean_table",
-    f"""with {DIRTY_SQL},
+CLEAN_SQL = f"""with {DIRTY_SQL},
     typed as (select cust_id, trim(segment_raw) as segment_raw, tenure, {TOTAL_SQL} as total_raw, churn,
         case when md5(concat_ws('|', '42', cust_id::varchar)) < 'cccccccd' then 'train' else 'test' end as part
         from dirty),
@@ -205,12 +205,26 @@ DIRTY_TABLE = CustomerTable(
         case when churn = 'Yes' then 1e0 else 0e0 end as label, {BUCKET_SQL} as tenure_group,
         case when churn = 'Yes' then 1 else 0 end as service_count,
         case when tenure > 0 then total_raw / tenure else tenure end as avg_monthly_spend
-    from filled""",
-)
+    from filled"""
+
+
+@query("clean_table", CLEAN_SQL)
 def clean_table(spark, sf_dir):
-    """The whole cleaning job: typed, unique, split, medians from the training part, features."""
-    df = cast_doubles(trim_strings(dirty(spark, sf_dir)), ["tenure", "total_raw"])
-    first = in_first_part(["cust_id"])
-    medians = exact_medians(dedup(df, ["cust_id"]).filter(first), ["tenure", "total_raw"])
-    split = dedup(df, ["cust_id"]).withColumn("part", F.when(first, "train").otherwise("test"))
-    return prepare(split, medians, DIRTY_TABLE).drop("churn")
+    """The steps of the cleaning job: typed, unique, split, medians of the training part, features."""
+    part = F.when(in_first_part(["cust_id"]), "train").otherwise("test")
+    typed = cast_doubles(trim_strings(dirty(spark, sf_dir)), ["tenure", "total_raw"])
+    rows = stage(dedup(typed, ["cust_id"]).withColumn("part", part), "clean", ("part",))
+    medians = exact_medians(rows.filter("part = 'train'"), ["tenure", "total_raw"])
+    return prepare(rows, medians, DIRTY_TABLE).drop("churn")
+
+
+@query("clean_job", CLEAN_SQL)
+def clean_job(spark, sf_dir):
+    """The cleaning job itself, from a CSV file to the two written tables."""
+    raw, train, test = (scratch_path(spark, name) for name in ("raw-csv", "train", "test"))
+    write_csv(dirty(spark, sf_dir), raw)
+    run_clean(spark, raw, train, test, DIRTY_TABLE, median_error=0.0, keep_key=True)
+    both = [
+        spark.read.parquet(path).withColumn("part", F.lit(part)) for part, path in (("train", train), ("test", test))
+    ]
+    return both[0].unionByName(both[1]).withColumn("cust_id", F.col("cust_id").cast("long"))

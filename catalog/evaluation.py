@@ -35,16 +35,12 @@ def metric_pr_auc(spark, sf_dir):
 @query("metric_roc_auc_fine", _single("roc_auc", 1))
 def metric_roc_auc_fine(spark, sf_dir):
     """Nearly every row has a score of its own, so the score ranges carry the load."""
-    return _one_metric(
-        spark, sf_dir, "roc_auc", 1, lambda t, by: all_metrics(t, by, range_rows=10_000)
-    )
+    return _one_metric(spark, sf_dir, "roc_auc", 1, all_metrics)
 
 
 @query("metric_pr_auc_fine", _single("pr_auc", 1))
 def metric_pr_auc_fine(spark, sf_dir):
-    return _one_metric(
-        spark, sf_dir, "pr_auc", 1, lambda t, by: all_metrics(t, by, range_rows=10_000)
-    )
+    return _one_metric(spark, sf_dir, "pr_auc", 1, all_metrics)
 
 
 @query("metric_accuracy", _single("accuracy", 0))

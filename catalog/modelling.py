@@ -76,12 +76,49 @@ def batch_score(spark, sf_dir):
     return score(model, test, [*KEYS, "label"])
 
 
-TEST_ROWS = "md5(concat_ws('|', '42', l_orderkey::varchar, l_linenumber::varchar)) >= 'cccccccd'"
+TRAIN_ROWS = "md5(concat_ws('|', '42', l_orderkey::varchar, l_linenumber::varchar)) < 'cccccccd'"
+
+
+@query(
+    "logistic_balance",
+    f"with {LINES_SQL} select count(*) as n_rows, true as balanced from lines where {TRAIN_ROWS}",
+)
+def logistic_balance(spark, sf_dir):
+    """At the optimum the weighted probabilities of the training rows add up to the weighted labels."""
+    model, train, _ = _fit(spark, sf_dir, logistic())
+    scored = model.transform(_weighted(train))
+    residual = F.col("classWeight") * (vector_to_array("probability")[1] - F.col("label"))
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        (F.abs(F.sum(residual) / F.sum("classWeight")) < 1e-4).alias("balanced"),
+    )
+
+
+CHECKED_SQL = f"""with {LINES_SQL} select l_orderkey, l_linenumber,
+    case when l_returnflag = 'R' then 1e0 else 0e0 end as label, true as consistent from lines where not {TRAIN_ROWS}"""
+
+
+def _consistent(scores):
+    """The predicted class must be the likelier one, and the probability a probability."""
+    likelier = F.when(F.col("probability") > 0.5, 1.0).otherwise(0.0) == F.col("prediction")
+    return scores.select(*KEYS, "label", (likelier & F.col("probability").between(0.0, 1.0)).alias("consistent"))
+
+
+@query("batch_score_checked", CHECKED_SQL)
+def batch_score_checked(spark, sf_dir):
+    model, _, test = _fit(spark, sf_dir, logistic())
+    return _consistent(score(model, test, [*KEYS, "label"]))
+
+
+@query("forest_score_checked", CHECKED_SQL)
+def forest_score_checked(spark, sf_dir):
+    model, _, test = _fit(spark, sf_dir, forest(), scale=False)
+    return _consistent(score(model, test, [*KEYS, "label"]))
 
 
 @query(
     "model_roundtrip",
-    f"with {LINES_SQL} select count(*) as n_rows, 0 as n_changed from lines where {TEST_ROWS}",
+    f"with {LINES_SQL} select count(*) as n_rows, 0 as n_changed from lines where not {TRAIN_ROWS}",
 )
 def model_roundtrip(spark, sf_dir):
     """A stored and reloaded pipeline must score every test row as before."""

@@ -20,8 +20,12 @@ def logistic(label: str = "label", weight: str | None = "classWeight", **setting
 
 
 def forest(label: str = "label", weight: str | None = "classWeight", **settings) -> RandomForestClassifier:
-    """Weighted random forest on the unscaled vector."""
-    defaults = {**FOREST_SETTINGS, "seed": SEED, "checkpointInterval": 10}
+    """Weighted random forest on the unscaled vector.
+
+    Each row's place in the trees is cached from level to level instead of being found
+    again from the root, and checkpointed at the interval.
+    """
+    defaults = {**FOREST_SETTINGS, "seed": SEED, "cacheNodeIds": True, "checkpointInterval": 10}
     model = RandomForestClassifier(featuresCol=RAW_VECTOR, labelCol=label, **{**defaults, **settings})
     return model.setWeightCol(weight) if weight else model
 

@@ -35,6 +35,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Replace the CSV table at ``path``; ``single_file`` is for small result tables only."""
+    """Replace the CSV table at ``path``, padding included.
+
+    ``single_file`` is for small result tables only.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (
+        out.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -49,6 +49,15 @@ def test_forest_repeats_on_the_same_layout(spark, rows):
     assert first == second
 
 
+def test_cached_node_ids_change_speed_only(rows):
+    vectors = featurize(build_pipeline([], ["x", "z"], scale=False).fit(rows), rows, weight="classWeight")
+    trees = [
+        forest(numTrees=5, maxDepth=6, cacheNodeIds=cached).fit(vectors).toDebugString.split("\n", 1)[1]
+        for cached in (True, False)
+    ]
+    assert trees[0] == trees[1]
+
+
 def test_defaults_of_the_two_models():
     lr, rf = logistic(), forest()
     assert (lr.getMaxIter(), lr.getRegParam(), lr.getElasticNetParam(), lr.getWeightCol()) == (100, 0.01, 0.0, "classWeight")

@@ -34,6 +34,12 @@ def test_writes_replace(spark, tmp_path):
     assert len(list((tmp_path / "tc").glob("part-*"))) == 1
 
 
+def test_csv_keeps_padding(spark, tmp_path):
+    df = spark.createDataFrame([(1, "  a "), (2, "   "), (3, 'say "x", y')], "k int, v string")
+    write_csv(df, str(tmp_path / "padded"))
+    assert read_csv(spark, str(tmp_path / "padded"), "k int, v string").orderBy("k").collect() == df.collect()
+
+
 def test_run_log_appends_and_prunes(spark, tmp_path):
     path = str(tmp_path / "runs")
     first = log_run(spark, path, "one", "A", params={"depth": 8, "kind": "x"}, metrics={"f1": 0.5}, tags={"t": "y"})
