@@ -22,6 +22,7 @@ from tabwright.operators.impute import apply_medians, fit_medians
 from tabwright.operators.split import in_first_part
 from tabwright.operators.stats import class_percentage
 from tabwright.scratch import stage
+from tabwright.sizing import sized_shuffles
 from tabwright.sources.tables import read_csv, write_parquet
 
 
@@ -73,15 +74,16 @@ def run_clean(
     """
     if medians_from not in ("train", "all"):
         raise ValueError("medians_from must be 'train' or 'all'")
-    raw = typed(read_csv(spark, raw_path), table)
-    part = F.when(in_first_part([table.key], train_share, seed), "train").otherwise("test")
-    rows = stage(dedup(raw, [table.key]).withColumn("_part", part), "customers", ("_part",))
-    train = rows.filter("_part = 'train'")
-    numeric = list(table.numeric)
-    medians = fit_medians(train if medians_from == "train" else raw, numeric, median_error)
+    with sized_shuffles(spark, raw_path):
+        raw = typed(read_csv(spark, raw_path), table)
+        part = F.when(in_first_part([table.key], train_share, seed), "train").otherwise("test")
+        rows = stage(dedup(raw, [table.key]).withColumn("_part", part), "customers", ("_part",))
+        train = rows.filter("_part = 'train'")
+        numeric = list(table.numeric)
+        medians = fit_medians(train if medians_from == "train" else raw, numeric, median_error)
 
-    unwanted = [table.target, "_part", *([] if keep_key else [table.key])]
-    ready = prepare(rows, medians, table, blank_as_null)
-    for name, path in (("train", train_path), ("test", test_path)):
-        write_parquet(ready.filter(F.col("_part") == name).drop(*unwanted), path)
+        unwanted = [table.target, "_part", *([] if keep_key else [table.key])]
+        ready = prepare(rows, medians, table, blank_as_null)
+        for name, path in (("train", train_path), ("test", test_path)):
+            write_parquet(ready.filter(F.col("_part") == name).drop(*unwanted), path)
     return class_percentage(spark.read.parquet(train_path, test_path).select("label"))

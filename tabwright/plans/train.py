@@ -9,6 +9,7 @@ from tabwright.operators.evaluate import metric_values
 from tabwright.operators.models import forest, logistic
 from tabwright.operators.search import model_metrics, refit
 from tabwright.scratch import spread
+from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
 from tabwright.sources.tables import read_parquet
@@ -43,24 +44,25 @@ def run_train(
         "RandomForest": forest(**settings["RandomForest"]),
     }
     results = {}
-    for name, estimator in estimators.items():
-        model, metrics = refit(
-            estimator,
-            train,
-            test,
-            table.model_categorical,
-            table.model_numeric,
-            scale=name == "LogisticRegression",
-        )
-        stored = save_model(model, f"{output_path}/models/{ARTIFACTS[name]}")
-        log_run(
-            spark,
-            f"{output_path}/runs",
-            experiment,
-            name,
-            params={"model": name, **settings[name]},
-            metrics=metric_values(metrics),
-            artifacts={ARTIFACTS[name]: stored},
-        )
-        results[name] = metrics
+    with sized_shuffles(spark, train_path, test_path):
+        for name, estimator in estimators.items():
+            model, metrics = refit(
+                estimator,
+                train,
+                test,
+                table.model_categorical,
+                table.model_numeric,
+                scale=name == "LogisticRegression",
+            )
+            stored = save_model(model, f"{output_path}/models/{ARTIFACTS[name]}")
+            log_run(
+                spark,
+                f"{output_path}/runs",
+                experiment,
+                name,
+                params={"model": name, **settings[name]},
+                metrics=metric_values(metrics),
+                artifacts={ARTIFACTS[name]: stored},
+            )
+            results[name] = metrics
     return model_metrics(results)

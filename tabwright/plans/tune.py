@@ -23,6 +23,7 @@ from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
 from tabwright.plans.train import MODELS
 from tabwright.scratch import spread, stage
+from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
 from tabwright.sources.tables import read_parquet, write_csv
@@ -65,6 +66,21 @@ def run_tune(
     Trials go to ``output_path/trials`` as CSV, models to ``output_path/models``, and
     the search, the final models and the choice to the run log in ``output_path/runs``.
     """
+    with sized_shuffles(spark, train_path, test_path):
+        return _run_tune(spark, train_path, test_path, output_path, table, experiment, trials, seed, parallelism)
+
+
+def _run_tune(
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    output_path: str,
+    table: CustomerTable,
+    experiment: str,
+    trials: int,
+    seed: int,
+    parallelism: int,
+) -> DataFrame:
     log_path = f"{output_path}/runs"
     train, test = (spread(read_parquet(spark, p)) for p in (train_path, test_path))
     tuning, validation = tuning_tables(train, table)

@@ -3,9 +3,13 @@
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from catalog.cleaning import DIRTY_TABLE
+from catalog.registry import dirty
 from tabwright.operators.evaluate import _ranged_curve, score_table
 from tabwright.operators.stats import class_percentage
 from tabwright.operators.split import hash_split
+from tabwright.plans.clean import prepare
+from tabwright.scratch import stage
 from tabwright.sources.tables import read_parquet
 
 
@@ -73,3 +77,10 @@ def test_no_query_joins_without_keys(spark, sf_dir):
     for name in ("clean_table", "class_weights", "evaluate", "median_exact", "evaluate_many", "selection_record", "compare_models"):
         text = plan(queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_cleaned_parts_read_only_their_own_folder(spark, sf_dir):
+    """The split column prunes below filling and feature derivation."""
+    rows = stage(dirty(spark, sf_dir).withColumn("_part", F.lit("train")), "rows", ("_part",))
+    text = plan(prepare(rows, {"tenure": 1.0}, DIRTY_TABLE).filter("_part = 'train'"))
+    assert "PartitionFilters: [isnotnull(_part" in text
