@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from catalog.cleaning import LINES_SQL, lines
 from catalog.registry import query
 from tabwright.functions import binary_label, bucket, safe_ratio
-from tabwright.operators.encode import build_pipeline, training_weights
+from tabwright.operators.encode import build_pipeline, training_facts, training_weights
 from tabwright.operators.evaluate import METRICS
-from tabwright.operators.models import forest, logistic, score
+from tabwright.operators.models import fit_input, forest, logistic, score
 from tabwright.operators.search import (
     FOREST_SPACE,
     LOGISTIC_SPACE,
@@ -50,7 +50,9 @@ def _weighted(train):
 
 def _fit(spark, sf_dir, estimator, scale=True):
     train, test = _parts(spark, sf_dir)
-    return build_pipeline(CATEGORICAL, NUMERIC, estimator, scale).fit(_weighted(train)), train, test
+    rows, weights = training_facts(train, CATEGORICAL, NUMERIC)
+    weighted = fit_input(estimator, with_class_weight(train, weights), rows)
+    return build_pipeline(CATEGORICAL, NUMERIC, estimator, scale).fit(weighted), train, test
 
 
 @query("logistic_fit")

@@ -51,13 +51,20 @@ def build_pipeline(
 
 
 def training_weights(
+    df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str = "label", **options
+) -> dict[float, float]:
+    """The class weights of a training table that passes the checks of ``training_facts``."""
+    return training_facts(df, categorical, numeric, label, **options)[1]
+
+
+def training_facts(
     df: DataFrame,
     categorical: Sequence[str],
     numeric: Sequence[str],
     label: str = "label",
     max_categories: int = MAX_CATEGORIES,
-) -> dict[float, float]:
-    """Class weights of a training table, after checking in the same pass that it can be fitted.
+) -> tuple[int, dict[float, float]]:
+    """Rows and class weights of a training table, checked in the same pass.
 
     Refuses a missing class, a label other than 0 and 1, missing numbers (the models
     cannot take them), blank categories (a vector slot needs a name) and columns with
@@ -87,4 +94,4 @@ def training_weights(
     crowded = [c for c in categorical if row[f"categories:{c}"] > max_categories]
     if crowded:
         raise ValueError(f"more than {max_categories} categories in {', '.join(crowded)}")
-    return weights_from_counts(row["rows"], row["negative"], row["positive"])
+    return row["rows"], weights_from_counts(row["rows"], row["negative"], row["positive"])

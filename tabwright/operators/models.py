@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from tabwright.fixed import FOREST_SETTINGS, LOGISTIC_SETTINGS, SEED
 from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR
 
+# Rows that a task of an iterative fit should hold at least.
+ROWS_PER_PIECE = 100_000
+
 
 def logistic(label: str = "label", weight: str | None = "classWeight", **settings) -> LogisticRegression:
     """Weighted logistic regression on the scaled vector."""
@@ -30,6 +33,18 @@ def forest(label: str = "label", weight: str | None = "classWeight", **settings)
     return model.setWeightCol(weight) if weight else model
 
 
+def fit_input(estimator: Estimator, df: DataFrame, rows: int) -> DataFrame:
+    """Training rows in as many pieces as the estimator makes use of.
+
+    Logistic regression runs a job per iteration, so tasks for few rows each cost more
+    than they compute; a table with more rows per piece passes unchanged. Forests run few
+    jobs with much work in each and take the rows as they are.
+    """
+    if isinstance(estimator, LogisticRegression):
+        return df.coalesce(max(1, -(-rows // ROWS_PER_PIECE)))
+    return df
+
+
 def positive_part(vector: str) -> Column:
     """The entry of the positive class in a two-class vector column."""
     return vector_to_array(vector)[1]

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tabwright.fixed import SEED
 from tabwright.functions import log_uniform, pick, unit_uniform
-from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline, training_weights
+from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline, training_facts
 from tabwright.operators.evaluate import METRICS, evaluate_wide, to_long
-from tabwright.operators.models import positive_part, predictions
+from tabwright.operators.models import fit_input, positive_part, predictions
 from tabwright.operators.stats import with_class_weight
 from tabwright.scratch import stage
 
@@ -75,7 +75,7 @@ def fit_trials(
 ) -> list:
     """One model per setting; fits overlap so that short jobs do not leave executors idle."""
     maps = [{estimator.getParam(name): value for name, value in s.items()} for s in settings]
-    fits = estimator.fitMultiple(train, maps)
+    fits = estimator.fitMultiple(fit_input(estimator, train, train.count()), maps)
     with ThreadPool(min(parallelism, len(maps))) as pool:
         models = dict(pool.imap_unordered(lambda _: next(fits), range(len(maps))))
     return [models[i] for i in range(len(maps))]
@@ -154,9 +154,9 @@ def refit(
     scale: bool = True,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit feature stages and model on all of ``train``, weighted by its own classes; test metrics."""
-    weights = training_weights(train, categorical, numeric, label)
-    pipeline = build_pipeline(categorical, numeric, estimator, scale)
-    model = pipeline.fit(with_class_weight(train, weights, label))
+    rows, weights = training_facts(train, categorical, numeric, label)
+    weighted = fit_input(estimator, with_class_weight(train, weights, label), rows)
+    model = build_pipeline(categorical, numeric, estimator, scale).fit(weighted)
     return model, stage(evaluate_wide(predictions(model, test, label), label=label), "metrics")
 
 

@@ -3,7 +3,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 
 from tabwright.operators.encode import build_pipeline
-from tabwright.operators.models import forest, logistic, score
+from tabwright.operators import models
+from tabwright.operators.models import fit_input, forest, logistic, score
 from tabwright.operators.search import featurize
 from tabwright.operators.stats import fit_class_weights, with_class_weight
 from tabwright.scratch import scratch_path, stage
@@ -58,6 +59,14 @@ def test_cached_node_ids_change_speed_only(rows):
     assert trees[0] == trees[1]
 
 
+def test_only_small_tables_of_iterative_fits_are_gathered(spark, rows, monkeypatch):
+    wide = rows.repartition(6)
+    assert fit_input(logistic(), wide, 1200).rdd.getNumPartitions() == 1
+    assert fit_input(forest(), wide, 1200) is wide
+    monkeypatch.setattr(models, "ROWS_PER_PIECE", 100)
+    assert fit_input(logistic(), wide, 1200).rdd.getNumPartitions() == 6
+
+
 def test_defaults_of_the_two_models():
     lr, rf = logistic(), forest()
     assert (lr.getMaxIter(), lr.getRegParam(), lr.getElasticNetParam(), lr.getWeightCol()) == (100, 0.01, 0.0, "classWeight")
