@@ -1,7 +1,15 @@
 """Every operator as a query over the given tables, beside the SQL that must give the same rows."""
 
-from catalog import cleaning, evaluation, modelling, scans, search, splits, statistics  # noqa: F401
-from catalog import features  # noqa: F401
+from catalog import (  # noqa: F401
+    cleaning,
+    evaluation,
+    features,
+    modelling,
+    scans,
+    search,
+    splits,
+    statistics,
+)
 from catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

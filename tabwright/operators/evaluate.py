@@ -192,4 +192,6 @@ def evaluate(df: DataFrame, by: Sequence[str] = (), **columns) -> DataFrame:
 def metric_values(wide: DataFrame) -> dict[str, float]:
     """The six numbers of a single model."""
     row = wide.first()
+    if row is None or row["accuracy"] is None:
+        raise ValueError("no predictions to evaluate")
     return {m: float(row[m]) for m in METRICS}

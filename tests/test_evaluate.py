@@ -71,3 +71,19 @@ def test_other_labels_are_refused(spark, bad):
     df = spark.createDataFrame([(0.1, 0.0, 0.0), (0.2, bad, 1.0)], "score double, label double, prediction double")
     with pytest.raises(Exception, match="labels and predictions must be"):
         evaluate_wide(df)
+
+
+def test_nothing_to_evaluate_is_an_error(spark):
+    df = scored(spark, [0.1], [1]).filter("score > 1")
+    with pytest.raises(ValueError, match="no predictions"):
+        metric_values(evaluate_wide(df))
+
+
+def test_scores_that_are_not_numbers_rank_highest(spark):
+    """NaN sorts above every number on both paths, infinities in their places."""
+    rng = np.random.default_rng(9)
+    scores = rng.uniform(size=500)
+    scores[:20], scores[20:40], scores[40:60] = np.nan, np.inf, -np.inf
+    df = scored(spark, scores, rng.integers(0, 2, 500))
+    one, many = (metric_values(evaluate_wide(df, range_rows=n)) for n in (10**6, 25))
+    assert one == pytest.approx(many, abs=1e-12)
