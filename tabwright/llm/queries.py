@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.llm.bpe import encode_documents
 from tabwright.llm.jaccard import jaccard_components
+from tabwright.llm.lm import score_documents
 from tabwright.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), length=3, percent=90)
+
+
+@query("op10_interpolated_lm")
+def op10_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
