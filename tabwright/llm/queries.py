@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tabwright.llm.bpe import encode_documents
 from tabwright.llm.jaccard import jaccard_components
 from tabwright.llm.lm import score_documents
+from tabwright.llm.mixing import mix_sources
+from tabwright.llm.quality import RULES, quality_rules
 from tabwright.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,12 +32,106 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def cutoffs_sql(alpha: float, delta: float) -> str:
+    """SQL for the cutoff of each rule and stratum, from ``good`` rows with the features."""
+    parts = []
+    for rule, cutoffs in RULES.items():
+        listed = ", ".join(f"({i}, {c}::double)" for i, c in enumerate(cutoffs))
+        parts.append(f"""select stratum, '{rule}' as rule, i, cutoff, count(*) as n,
+            count(*) filter (where {rule} > cutoff) as k
+            from good, (values {listed}) as c(i, cutoff) group by all""")
+    return f"""
+    tests as ({" union all ".join(parts)}),
+    bounds as (select *, {delta} / ({len(RULES)} * (select count(distinct coalesce(stratum, '')) from good)) as error,
+        list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+            + j * ln({alpha}) + (n - j) * ln(1 - {alpha})))) as tail from tests),
+    nested as (select *, min(case when tail <= error then 1 else 0 end)
+        over (partition by stratum, rule order by i) as passed from bounds),
+    cutoffs as (select stratum, rule, arg_max(cutoff, i) as cutoff from nested where passed = 1 group by all)"""
+
+
+QUALITY_SQL = f"""
+with texts as (select doc_id, lang as stratum, coalesce(text, '') as text from documents),
+words as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from texts),
+windows as (select doc_id, unnest(range(1, len(words) - 3)) as spot, words from words where len(words) >= 5),
+keyed as (select doc_id, spot, words[spot:spot + 4] as five from windows),
+twice as (select doc_id, spot, count(*) over (partition by doc_id, five) as times from keyed),
+covered as (select distinct doc_id, unnest(range(spot, spot + 5)) as word from twice where times > 1),
+repeats as (select doc_id, count(*) as n from covered group by doc_id),
+counted as (select doc_id, stratum, len(words) as n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as n_symbols,
+    length(regexp_replace(text, '[^A-Z]+', '', 'g')) as n_capitals,
+    length(regexp_replace(text, '[^!]+', '', 'g')) as n_exclamations,
+    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n, 0) as n_repeat_words from words left join repeats using (doc_id)),
+features as (select *, n_words < 10 or n_repeat_words * 100 > n_words * 20 as base_failed,
+    case when word_chars > 0 then n_symbols / word_chars else 0 end as symbol_share,
+    case when word_chars > 0 then n_capitals / word_chars else 0 end as capital_share,
+    case when word_chars > 0 then n_exclamations / word_chars else 0 end as exclamation_share,
+    case when n_lines > 0 then n_dup_lines / n_lines else 0 end as repeated_line_share,
+    case when n_words > 0 then n_repeat_words / n_words else 0 end as repeated_word_share,
+    case when n_words > 0 then word_chars / n_words else 0 end as mean_word_chars from counted),
+judged as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
+good as (select * from features where not base_failed and doc_id in (select doc_id from judged)),
+{cutoffs_sql(0.025, 0.1)},
+failed as (select doc_id, string_agg(rule, ',' order by place) as rules from (
+    {" union all ".join(f"select f.doc_id, c.rule, {i} as place from features f join cutoffs c on f.stratum is not distinct from c.stratum and c.rule = '{r}' and f.{r} > c.cutoff" for i, r in enumerate(RULES))}
+    ) group by doc_id)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+    n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+    not base_failed and rules is null as kept, stratum,
+    case when base_failed then '' else coalesce(rules, '') end as rejected_by
+from features left join failed using (doc_id)"""
+
+
+@query("op2_quality_rules", QUALITY_SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules(documents(spark, sf_dir), labels, alpha=0.025, delta=0.1)
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, keep_ids=False)
 
 
+MIXING_SQL = """
+with sized as (select doc_id, source, coalesce(text, '') as text,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents),
+shares as (select *, length(regexp_replace(text, '[!-@\\[-`{-~]+', '', 'g'))::double / greatest(length(text), 1)::double as share
+    from sized),
+weighed as (select doc_id, source, size,
+    case when size = 0 then 0.25 else greatest(0.25::double, share * share) end as quality from shares),
+sources as (select source, sum(size)::bigint as source_size from sized group by source),
+ranked as (select *, (row_number() over (order by source asc nulls last) - 1) % 3 + 1 as weight from sources),
+levels as (select *, source_size * 3 as most,
+    (sum(source_size) over ()
+      - coalesce(sum(source_size * 3) over (order by source_size * 3 / weight, source asc nulls last
+            rows between unbounded preceding and 1 preceding), 0))::double
+    / (sum(weight) over ()
+      - coalesce(sum(weight) over (order by source_size * 3 / weight, source asc nulls last
+            rows between unbounded preceding and 1 preceding), 0))::double as level from ranked),
+targets as (select source, source_size, coalesce(least(most::double,
+    (select max(level) from levels where level <= most / weight) * weight), 0) as target from levels),
+budgets as (select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes from targets),
+keyed as (select doc_id, size, w.source, source_size, target, passes, target - passes * source_size as rest,
+    -ln((('0x' || substr(md5('11|' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0)
+        / quality as key
+    from weighed w join budgets b on w.source is not distinct from b.source),
+filled as (select *, sum(size) over (partition by source order by key, doc_id nulls first, size
+    rows between unbounded preceding and current row) as reached from keyed),
+taken as (select *, case when size = 0 then 0 else passes + (reached <= rest)::bigint end as copies from filled)
+select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies::bigint as copies from taken"""
+
+
+@query("op4_mix_sources", MIXING_SQL)
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
