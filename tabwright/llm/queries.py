@@ -11,7 +11,9 @@ from tabwright.llm.bpe import encode_documents
 from tabwright.llm.jaccard import jaccard_components
 from tabwright.llm.lm import score_documents
 from tabwright.llm.mixing import mix_sources
+from tabwright.llm.pii import find_personal_data
 from tabwright.llm.quality import RULES, quality_rules
+from tabwright.llm.secrets import find_secrets
 from tabwright.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +34,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_semi_markov_pii")
+def op1_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(documents(spark, sf_dir))
+
+
 def cutoffs_sql(alpha: float, delta: float) -> str:
     """SQL for the cutoff of each rule and stratum, from ``good`` rows with the features."""
     parts = []
@@ -143,6 +150,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), length=3, percent=90)
 
 
+@query("op7_token_efficiency")
+def op7_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return find_secrets(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 @query("op10_interpolated_lm")
 def op10_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
