@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.llm.bpe import encode_documents
 from tabwright.llm.jaccard import jaccard_components
+from tabwright.llm.langid import identify_languages
 from tabwright.llm.lm import score_documents
 from tabwright.llm.mixing import mix_sources
 from tabwright.llm.pii import find_personal_data
 from tabwright.llm.quality import RULES, quality_rules
 from tabwright.llm.secrets import find_secrets
 from tabwright.llm.token_counts import count_tokens
+from tabwright.llm.vptree import nearest
+
+# Above 1, searches leave more out; 1 is exact.
+RELAXATION = 1.0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,6 +161,29 @@ def op7_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+NEAREST_SQL = """
+with usable as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+    where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (select q.vec_id as query_id, c.vec_id,
+    sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) as score
+    from usable q join usable c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+select query_id, rank, vec_id, score from (select *,
+    row_number() over (partition by query_id order by score, vec_id)::int as rank from pairs) where rank <= 10"""
+
+
+@query("op8_vantage_point_trees", NEAREST_SQL)
+def op8_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10, relaxation=RELAXATION)
+
+
+@query("op9_output_codes_lid")
+def op9_output_codes_lid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir))
+
+
 @query("op10_interpolated_lm")
 def op10_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
