@@ -9,9 +9,10 @@ choice of ``n2 - k2`` cells. The cells left out may hold the differences, so two
 are similar enough share a signature: no link is lost.
 
 Documents of one shingle set form a class first, and only its least id goes on. Members of
-a bucket (one signature) are compared with its least member; what that does not settle is
-compared with more pivots, twice as many in each round, and only across components. Every
-compared pair is checked on whole sets.
+a bucket (one signature) are compared with its least member, the pivot. Where that leaves a
+bucket in several components, its documents are compared in bounded blocks, each pair of
+blocks a task that gives no more links than join the components. Every link is checked on
+whole sets.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ from tabwright.scratch import stage
 
 # A list of ids is broadcast only when it was counted and is not longer than this.
 BROADCAST_IDS = 500_000
+# Documents in a block of those that pivots leave open, and elements compared at a time.
+BLOCK_DOCS = 512
+CHUNK_ELEMENTS = 8192
 U64 = np.uint64
 
 
@@ -170,23 +174,102 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _unsettled(members: DataFrame, links: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare next, and the members that remain after them."""
+def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """family, block, doc, component and size of the documents that the pivots did not settle.
+
+    A bucket is settled when all its members are in one component. Families are the
+    connected pieces of the other buckets; a family's members, ordered by set size, form
+    blocks of ``BLOCK_DOCS``.
+    """
     found = components(links)
-    known = members.join(found, members["doc"] == found["node"], "left").select(
-        "signature", "doc", F.coalesce("component", "doc").alias("component")
-    )
-    bucket = Window.partitionBy("signature")
+    known = stage(
+        buckets.join(found, buckets["doc"] == found["node"], "left")
+        .select("signature", "pivot", "doc", F.coalesce("component", "doc").alias("component")),
+        "known",
+    )
     spans = known.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = known.join(spans.filter("low < high").select("signature"), "signature")
-    ranked = mixed.withColumn("place", F.row_number().over(bucket.orderBy("doc")))
-    ranked = stage(ranked, "ranked")
-    pivots = ranked.filter(F.col("place") <= 2**round_).select(
-        "signature", F.col("doc").alias("u"), F.col("component").alias("other"), F.col("place").alias("at")
+    families = stage(components(mixed.select(F.col("pivot").alias("u"), F.col("doc").alias("v"))), "families")
+    of = families.select(F.col("node").alias("doc"), F.col("component").alias("family"))
+    found = found.select(F.col("node").alias("doc"), "component")
+    rows = of.join(found, "doc", "left").join(sets.select("doc", F.size("shingles").alias("n")), "doc")
+    place = F.row_number().over(Window.partitionBy("family").orderBy("n", "doc")) - 1
+    return rows.select(
+        "family", F.floor(place / BLOCK_DOCS).alias("block"), "doc",
+        F.coalesce("component", "doc").alias("component"), "n",
+    )
+
+
+def _compare(percent: int):
+    """Links between two blocks (or inside one), as few as join the components they join."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        docs, parts = group.column("doc").to_numpy(), group.column("component").to_numpy()
+        sides, lists = group.column("side").to_numpy(), group.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        elements, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        row = np.repeat(np.arange(len(docs)), sizes)
+        # An element of one document is in no intersection.
+        shared = np.bincount(column, minlength=len(elements)) > 1
+        number = np.cumsum(shared) - 1
+        kept = shared[column]
+        row, column = row[kept], number[column[kept]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == sides.max())
+        both = np.zeros((len(left), len(right)), np.float32)
+        for start in range(0, int(shared.sum()), CHUNK_ELEMENTS):
+            a, b = np.searchsorted(column, [start, start + CHUNK_ELEMENTS])
+            there = np.zeros((len(docs), CHUNK_ELEMENTS), np.float32)
+            there[row[a:b], column[a:b] - start] = 1
+            both += there[left] @ there[right].T
+        union = sizes[left][:, None] + sizes[right][None, :] - both
+        near = (both * 100 >= union * percent) & (parts[left][:, None] != parts[right][None, :])
+        roots = {int(p): int(p) for p in parts}
+
+        def root(x: int) -> int:
+            while roots[x] != x:
+                roots[x] = roots[roots[x]]
+                x = roots[x]
+            return x
+
+        links = []
+        for i, j in zip(*np.nonzero(near), strict=True):
+            x, y = root(int(parts[left[i]])), root(int(parts[right[j]]))
+            if x != y:
+                roots[max(x, y)] = min(x, y)
+                links.append((int(docs[left[i]]), int(docs[right[j]])))
+        u, v = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return compare
+
+
+def _links_between_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that pivots did not find: blocks of a family against one another, on whole sets."""
+    blocks = members.groupBy("family", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("component").alias("first"), F.max("component").alias("last"),
+    )
+    one, other = [
+        blocks.select("family", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high", "first", "last")])
+        for side in (0, 1)
+    ]
+    # Sizes rise with the blocks; blocks too far apart in size, or of one component, hold no new link.
+    meet = one.join(other, "family").filter(
+        "block_0 <= block_1 and low_1 * %d <= high_0 * 100 and least(first_0, first_1) < greatest(last_0, last_1)" % percent
     )
-    pairs = ranked.join(pivots, "signature").filter("place > at and component != other")
-    rest = ranked.filter(F.col("place") > 2**round_).select("signature", "doc")
-    return pairs.select(F.least("u", "doc").alias("u"), F.greatest("u", "doc").alias("v")).distinct(), rest
+    places = meet.select("family", F.col("block_0").alias("i"), F.col("block_1").alias("j"))
+    sides = places.select(
+        "family", "i", "j",
+        F.explode(
+            F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("block"), F.lit(0).alias("side"))))
+            .otherwise(F.array(*[F.struct(F.col(c).alias("block"), F.lit(n).alias("side")) for c, n in (("i", 0), ("j", 1))]))
+        ).alias("at"),
+    ).select("family", "i", "j", "at.*")
+    rows = members.join(sides, ["family", "block"]).join(sets, "doc")
+    grouped = rows.select("family", "i", "j", "side", "doc", "component", "shingles").groupBy("family", "i", "j")
+    return grouped.applyInArrow(_compare(percent), "u long, v long")
 
 
 def jaccard_components(
@@ -226,14 +309,8 @@ def jaccard_components(
     sets = stage(_sets_of(texts, ids, length), "candidates")
     links = stage(_linked(pairs, sets, percent), "links")
 
-    members, round_ = buckets.select("signature", "doc"), 0
-    while True:
-        pairs, members = _unsettled(members, links, round_)
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        links = stage(links.unionAll(_linked(pairs, sets, percent)), "links")
-        round_ += 1
+    members = stage(_members_to_compare(buckets, links, sets), "members")
+    links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
 
     found = components(links.unionAll(copies.select("u", "v")))
     out = table.select("doc_id", "n_shingles")
