@@ -71,6 +71,82 @@ def source_targets(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) ->
     )
 
 
+def sampling_key(seed: int, doc_id: Column, quality: Column) -> Column:
+    return -F.log(draw(seed, F.coalesce(doc_id.cast("string"), F.lit("")))) / quality
+
+
+def measured(
+    docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str, keep: str | None = None
+) -> DataFrame:
+    """doc_id, source, size, quality and key of every row, and the column ``keep``."""
+    kept = [keep] if keep else []
+    texts = docs.select(
+        *kept,
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    ).withColumn("size", F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long"))
+    weighed = texts.select(*kept, "doc_id", "source", "size", quality_weight(F.col("text"), F.col("size")).alias("quality"))
+    return weighed.withColumn("key", sampling_key(seed, F.col("doc_id"), F.col("quality")))
+
+
+def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> DataFrame:
+    """of (the source), source_size, target, passes and cut of each source.
+
+    A document is taken ``passes`` times, and once more if its (key, doc_id) is at most
+    ``cut``; a null cut takes none once more.
+    """
+    targets = stage(source_targets(sized, most, cycle), "targets").withColumnRenamed("source", "of")
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    plan = targets.withColumn("passes", passes.cast("long")).withColumn(
+        "rest", F.col("target") - F.col("passes") * F.col("source_size")
+    )
+    joined = sized.join(_bounded(plan), F.col("source").eqNullSafe(F.col("of")))
+    # Keys lie in ranges of about RANGE_ROWS rows.
+    ranges = F.ceil(F.col("n_docs") / RANGE_ROWS)
+    dealt = joined.select(
+        "source", "size", "rest", F.struct("key", "doc_id").alias("place"),
+        F.floor((1 - F.exp(-F.col("key") * F.col("mean_quality"))) * ranges).alias("range"),
+    )
+    totals = dealt.groupBy("source", "range").agg(
+        F.sum("size").alias("words"), F.max("place").alias("top"), F.first("rest").alias("rest")
+    )
+    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # The range in which the budget ends: one per source.
+    ends = (
+        totals.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+        .withColumn("top_before", F.max("top").over(earlier))
+        .filter("before <= rest and before + words > rest")
+        .select(F.col("source").alias("of"), F.col("range").alias("last"), "before", "top_before")
+    )
+    ends = stage(ends, "ends")
+    inside = dealt.join(_bounded(ends), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("last")))
+    running = Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
+    fitting = (
+        inside.withColumn("reached", F.col("before") + F.sum("size").over(running))
+        .filter("reached <= rest")
+        .groupBy("source").agg(F.max("place").alias("top_inside"))
+    )
+    cuts = ends.join(fitting, F.col("of").eqNullSafe(F.col("source")), "left").select(
+        F.col("of").alias("cut_of"), F.coalesce("top_inside", "top_before").alias("cut")
+    )
+    return plan.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").select(
+        "of", "source_size", "target", "passes", "cut"
+    )
+
+
+def _bounded(sources: DataFrame) -> DataFrame:
+    """To be broadcast when counted and short; else Spark shuffles, and splits skewed sources."""
+    return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
+
+
+def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """``sized`` with source_size, target and copies of each row."""
+    joined = sized.join(_bounded(plan), F.col("source").eqNullSafe(F.col("of")), "left")
+    more = F.coalesce(F.struct("key", "doc_id") <= F.col("cut"), F.lit(False)).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("passes") + more).otherwise(0)
+    return joined.withColumn("copies", copies.cast("long")).drop("of", "passes", "cut")
+
+
 def mix_sources(
     docs: DataFrame,
     seed: int = 11,
@@ -85,56 +161,33 @@ def mix_sources(
     size counts words; taken is size * copies, the words that the mix takes. Every document
     of a source is taken ``floor(target / source_size)`` times, and once more while the
     running size in key order stays within the rest of the target. So a source misses its
-    target by less than one document, no document is taken more than ``most`` times, and
-    reruns agree, on any layout. Null text has size 0 and is never taken; a null source is
-    a source; draws come from the id's text (null: empty), ties go by id, then size.
-    Repeated rows have equal keys and are taken one after the other. Other columns are not
-    read; an empty table gives no rows.
+    target by less than one document (or one run of rows with equal ids), no document is
+    taken more than ``most`` times, and reruns agree, on any layout. Null text has size 0
+    and is never taken; a null source is a source; draws come from the id's text (null:
+    empty), ties go by id, and rows that share key and id are taken alike. Other columns
+    are not read; an empty table gives no rows.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long")
-    sized = stage(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text.alias("text"), words.alias("size")
-        ).select("doc_id", "source", "size", quality_weight(F.col("text"), F.col("size")).alias("quality")),
-        "sized",
-    )
-    targets = stage(source_targets(sized, most, cycle), "targets")
-    small = targets.count() <= BROADCAST_SOURCES
-    wanted = targets.select(F.col("source").alias("from"), "source_size", "n_docs", "mean_quality", "target")
-    joined = sized.join(F.broadcast(wanted) if small else wanted, F.col("source").eqNullSafe(F.col("from")), "left")
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    key = -F.log(draw(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))) / F.col("quality")
-    ranges = F.ceil(F.col("n_docs") / RANGE_ROWS)
-    keyed = stage(
-        joined.withColumn("passes", passes.cast("long"))
-        .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-        .withColumn("key", key)
-        .withColumn("range", F.floor((1 - F.exp(-F.col("key") * F.col("mean_quality"))) * ranges))
-        .drop("from", "n_docs", "quality", "mean_quality"),
-        "keyed",
-    )
-    in_order = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = keyed.groupBy("source", "range").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    # A range with words before it and through it; the budget ends in at most one per source.
-    ends = (
-        totals.withColumn("before", F.coalesce(F.sum("words").over(in_order), F.lit(0)))
-        .filter("before <= rest and before + words > rest")
-        .select(F.col("source").alias("from"), F.col("range").alias("last"), "before")
-    )
-    last = keyed.join(F.broadcast(ends) if small else ends, F.col("source").eqNullSafe(F.col("from")), "left")
-    inside = F.col("range") == F.col("last")
-    settled = last.filter(~F.coalesce(inside, F.lit(False)))
-    # No range ends the budget: the rest covers the source (only when nothing is left over).
-    one_more = F.when(F.col("last").isNull(), F.col("rest") >= F.col("source_size")).otherwise(F.col("range") < F.col("last"))
-    running = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    sorted_range = last.filter(inside).withColumn("reached", F.col("before") + F.sum("size").over(running))
-    names = ["doc_id", "size", "source_size", "target", "passes"]
-    both = settled.select(*names, one_more.alias("more")).unionAll(
-        sorted_range.select(*names, (F.col("reached") <= F.col("rest")).alias("more"))
-    )
-    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("passes") + F.col("more").cast("long"))
-    return both.select(
+    sized = stage(measured(docs, seed, id_col, text_col, source_col), "sized")
+    plan = stage(mixing_plan(sized, most, cycle), "plan")
+    return with_copies(sized, plan).select(
         F.col("doc_id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * copies).alias("taken"), copies.cast("long").alias("copies"),
+        (F.col("size") * F.col("copies")).alias("taken"), "copies",
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    seed: int = 11,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    most: int = MOST_PASSES,
+    cycle: int = 3,
+) -> DataFrame:
+    """The mix itself: every row of ``docs``, all columns, as often as ``mix_sources`` takes it."""
+    sized = stage(measured(docs, seed, id_col, text_col, source_col), "sized")
+    plan = stage(mixing_plan(sized, most, cycle), "plan")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col), F.col(text_col), F.col(source_col))
+    kept = measured(rows, seed, id_col, text_col, source_col, keep="row")
+    taken = with_copies(kept, plan).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

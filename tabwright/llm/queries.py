@@ -133,8 +133,8 @@ keyed as (select doc_id, size, w.source, source_size, target, passes, target - p
     -ln((('0x' || substr(md5('11|' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0)
         / quality as key
     from weighed w join budgets b on w.source is not distinct from b.source),
-filled as (select *, sum(size) over (partition by source order by key, doc_id nulls first, size
-    rows between unbounded preceding and current row) as reached from keyed),
+filled as (select *, sum(size) over (partition by source order by key, doc_id nulls first
+    range between unbounded preceding and current row) as reached from keyed),
 taken as (select *, case when size = 0 then 0 else passes + (reached <= rest)::bigint end as copies from filled)
 select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies::bigint as copies from taken"""
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.llm import mixing
-from tabwright.llm.mixing import mix_sources
+from tabwright.llm.mixing import mix_sources, mixed_documents
 from tests.llm.helpers import documents
 
 
@@ -79,6 +79,15 @@ def test_draw_is_uniform(spark):
     assert sum(-math.log(r["u"]) for r in rows) / 20_000 == pytest.approx(1, abs=0.03)
 
 
+def test_mix_repeats_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("row", F.lit("clash"))
+    copies = {r["doc_id"]: r["copies"] for r in mix_sources(docs).collect()}
+    mixed_rows = mixed_documents(docs)
+    assert mixed_rows.columns == docs.columns
+    counts = {r["doc_id"]: r["count"] for r in mixed_rows.groupBy("doc_id").count().collect()}
+    assert counts == {i: n for i, n in copies.items() if n}
+
+
 def test_odd_rows(spark):
     docs = documents(spark, [None, "", "x y", (2, "x y"), (None, "z"), "w " * 100_000], sources=["s", None, "s", "s", None, "t"])
     docs = docs.withColumns({"size": F.lit("a"), "target": F.lit(1), "range": F.lit(0), "from": F.lit(2)})
