@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tabwright.llm.components import components
-from tabwright.llm.support import WordIds, chained, lower_words, mix, prepare
+from tabwright.llm.support import WordIds, bounded, chained, lower_words, mix, prepare
 from tabwright.scratch import stage
 
 # A list of ids is broadcast only when it was counted and is not longer than this.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 2_000_000
 # Documents in a block of those that pivots leave open, and elements compared at a time.
 BLOCK_DOCS = 512
 CHUNK_ELEMENTS = 8192
@@ -156,7 +156,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, length: int) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles"])
 
-    listed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    listed = bounded(ids, BROADCAST_IDS)
     wanted = docs.join(listed, docs["doc_id"] == listed["doc"], "left_semi")
     return wanted.mapInArrow(sets, "doc long, shingles array<long>").dropDuplicates(["doc"])
 
@@ -297,12 +297,11 @@ def jaccard_components(
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = stage(
         usable.select("doc_id", "digest").join(classes, "digest").filter("doc_id != least")
-        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), "digest").distinct(),
+        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), F.xxhash64("doc_id", "digest").alias("row")).distinct(),
         "copies",
     )
-    one_each = usable.join(
-        copies, (usable["doc_id"] == copies["u"]) & (usable["digest"] == copies["digest"]), "left_anti"
-    )
+    rows = usable.select("doc_id", "signatures", F.xxhash64("doc_id", "digest").alias("row"))
+    one_each = rows.join(bounded(copies.select("row"), BROADCAST_IDS), "row", "left_anti")
     buckets = stage(_buckets(one_each.select("doc_id", "signatures")), "buckets")
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
     ids = buckets.select("doc").unionAll(buckets.select(F.col("pivot").alias("doc"))).distinct()

@@ -41,6 +41,11 @@ def id_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bounded(small: DataFrame, rows: int) -> DataFrame:
+    """To be broadcast when counted and of at most ``rows`` rows; else Spark picks the join."""
+    return F.broadcast(small) if small.count() <= rows else small
+
+
 def text_column(function: Callable[[list[str]], list[dict]], fields: str) -> Callable[[Column], Column]:
     """A column of structs with the DDL ``fields``, from a function of a batch of texts."""
     kind = StructType.fromDDL(fields)
