@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.support import WordIds, id_text, lower_words, mix, prepare
 from tabwright.scratch import stage
 
-BLOCK_BYTES = 16 * 1024**2
+BLOCK_BYTES = 8 * 1024**2
 # Bucket 0: context never seen; bucket b: seen 2^(b-1) times or more, less than 2^b.
 BUCKETS = 24
 ROUNDS = 60

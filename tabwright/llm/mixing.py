@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import digest
-from tabwright.llm.support import WORD_PATTERN
+from tabwright.llm.support import WORD_PATTERN, bounded
 from tabwright.scratch import stage
 
 # Most times a document may be taken, and documents per range of keys.
@@ -100,7 +100,7 @@ def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> Da
     plan = targets.withColumn("passes", passes.cast("long")).withColumn(
         "rest", F.col("target") - F.col("passes") * F.col("source_size")
     )
-    joined = sized.join(_bounded(plan), F.col("source").eqNullSafe(F.col("of")))
+    joined = sized.join(bounded(plan, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of")))
     # Keys lie in ranges of about RANGE_ROWS rows.
     ranges = F.ceil(F.col("n_docs") / RANGE_ROWS)
     dealt = joined.select(
@@ -119,7 +119,7 @@ def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> Da
         .select(F.col("source").alias("of"), F.col("range").alias("last"), "before", "top_before")
     )
     ends = stage(ends, "ends")
-    inside = dealt.join(_bounded(ends), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("last")))
+    inside = dealt.join(bounded(ends, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("last")))
     running = Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
     fitting = (
         inside.withColumn("reached", F.col("before") + F.sum("size").over(running))
@@ -134,14 +134,9 @@ def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> Da
     )
 
 
-def _bounded(sources: DataFrame) -> DataFrame:
-    """To be broadcast when counted and short; else Spark shuffles, and splits skewed sources."""
-    return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
-
-
 def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with source_size, target and copies of each row."""
-    joined = sized.join(_bounded(plan), F.col("source").eqNullSafe(F.col("of")), "left")
+    joined = sized.join(bounded(plan, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of")), "left")
     more = F.coalesce(F.struct("key", "doc_id") <= F.col("cut"), F.lit(False)).cast("long")
     copies = F.when(F.col("size") > 0, F.col("passes") + more).otherwise(0)
     return joined.withColumn("copies", copies.cast("long")).drop("of", "passes", "cut")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.support import WORD_PATTERN
+from tabwright.llm.support import WORD_PATTERN, bounded
 from tabwright.scratch import stage
 
 # Features and cutoffs, lenient ones first. Fixed before any label is seen.
@@ -177,10 +177,7 @@ def quality_rules(
     good = found.filter(~F.col("base_failed")).join(good_ids, "doc_id", "left_semi")
     cutoffs = stage(risk_controlled_cutoffs(good, alpha, delta, rules), "cutoffs").drop("n")
     cutoffs = cutoffs.withColumnRenamed("stratum", "of")
-    small = cutoffs.count() <= BROADCAST_STRATA
-    joined = found.join(
-        F.broadcast(cutoffs) if small else cutoffs, F.col("stratum").eqNullSafe(F.col("of")), "left"
-    )
+    joined = found.join(bounded(cutoffs, BROADCAST_STRATA), F.col("stratum").eqNullSafe(F.col("of")), "left")
     failed = [F.when(F.col(r) > F.col(f"cutoff_{r}"), F.lit(r)) for r in rules]
     rejected = F.when(F.col("base_failed"), F.lit("")).otherwise(F.concat_ws(",", *failed))
     return joined.withColumn("rejected_by", rejected).select(

@@ -1,0 +1,105 @@
+"""The pipeline's stages against plain Python, one after the other."""
+
+import base64
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tabwright.llm.pii import Field, all_spans, redacted, train
+from tabwright.scratch import stage
+from tests.llm.helpers import documents
+from tests.llm.test_jaccard import brute_force
+from tests.llm.test_mixing import targets
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_stages_on_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wordless = documents(spark, [(9001, "12 34"), (9002, None), (9003, "!!")], sources=["src0"] * 3)
+    docs = docs.unionByName(wordless)
+    by = {r["doc_id"]: r for r in docs.collect()}
+
+    told = stage(STAGES["language"](spark, docs, sf_dir), "t")
+    assert told.columns == docs.columns
+    assert {r["doc_id"] for r in told.collect()} == set(by) - {9001, 9002, 9003}
+
+    single = stage(STAGES["near_copies"](spark, told, sf_dir), "t")
+    groups = brute_force([(r["doc_id"], r["text"]) for r in told.collect()], 5, 80)
+    assert rows_of(single) == rows_of(told.filter(F.col("doc_id").isin([i for i, (_, c) in groups.items() if i == c])))
+
+    clean = stage(STAGES["personal_data"](spark, single, sf_dir), "t")
+    field = Field(train())
+    for r in clean.collect():
+        text = by[r["doc_id"]]["text"]
+        base, more = all_spans(text, field)
+        assert r["text"] == redacted(text, base + more) and r["n_chars"] == len(r["text"])
+        assert r["source"] == by[r["doc_id"]]["source"]
+
+    mixed = stage(STAGES["mix"](spark, clean, sf_dir), "t")
+    assert mixed.columns == docs.columns
+    size = {r["doc_id"]: (r["source"], len(r["text"].encode().split())) for r in clean.collect()}
+    taken, per_source = Counter(), Counter()
+    for r in mixed.collect():
+        taken[size[r["doc_id"]][0]] += size[r["doc_id"]][1]
+    for source, n in size.values():
+        per_source[source] += n
+    for source, target in targets(per_source).items():
+        assert target - max(n for s, n in size.values() if s == source) <= taken[source] <= target + 1e-6
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text = {r["doc_id"]: r["text"] for r in clean.collect()}
+    last = STAGES["encode"](spark, mixed, sf_dir).collect()
+    assert Counter(r["doc_id"] for r in last) == Counter(r["doc_id"] for r in mixed.collect())
+    for r in last:
+        ids = np.array(library.encode_ordinary(text[r["doc_id"]]), "<u4").tobytes()
+        assert bytes(r["ids"]) == ids and r["n_tokens"] == len(ids) // 4
+        assert r["ids_sha256"] == hashlib.sha256(ids).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest()
+
+
+def test_run_is_its_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, sf_dir), name)
+    assert rows_of(corpus_pipeline.run(spark, sf_dir)) == rows_of(docs)
+
+
+def odd(spark):
+    texts = [None, "", "the cat sat on the mat with x@y.zz", (2, "the cat sat on the mat with x@y.zz"), (None, "der hund"),
+             "the " * 50_000, "² 12", "the cat sat on a mat"]
+    docs = documents(spark, texts, langs=["en", "en", "en", "en", "de", None, "en", "en"], sources=[None, "a", "a", "a", "b", "b", "b", None])
+    clash = {"row": F.lit(1), "found": F.lit("x"), "copy": F.lit(None).cast("int"), "key": F.lit(2.0), "copies": F.lit(7), "of": F.lit("q")}
+    return docs.withColumns(clash)
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_odd_rows(spark, sf_dir, name):
+    docs = odd(spark)
+    out = STAGES[name](spark, docs, sf_dir)
+    rows = out.collect()
+    assert rows
+    if name != "encode":
+        assert out.columns == docs.columns
+    assert STAGES[name](spark, docs.limit(0), sf_dir).count() == 0
+    if name == "language":
+        assert {r["doc_id"] for r in rows} == {2, None, 5, 7} and all(r["lang"] for r in rows)
+    if name == "near_copies":
+        assert len(rows) == 8
+    if name == "personal_data":
+        assert [r["text"] for r in rows if r["doc_id"] == 2] == ["the cat sat on the mat with [EMAIL]"] * 2
+        assert [r["text"] for r in rows if r["doc_id"] == 0] == [None]
+    if name == "mix":
+        assert {r["doc_id"] for r in rows} <= {2, None, 5, 7, 6}
