@@ -78,3 +78,18 @@ def evaluate_one(spark, sf_dir):
 def evaluate_many(spark, sf_dir):
     """Several models over the same rows, evaluated together."""
     return evaluate(candidates(spark, sf_dir), ["trial_id"]).withColumn("value", F.round("value", 6))
+
+
+NULL_MODEL_SQL = f"select coalesce(nullif(trial_id, 1), -1) as trial_id, score, prediction, label from ({CANDIDATES_SQL})"
+
+
+@query(
+    "evaluate_null_models",
+    f"""with {metrics_ctes(NULL_MODEL_SQL)} select coalesce(nullif(trial_id, -1)::varchar, 'none') as model, metric,
+    round(value, 6) as value from metric_rows""",
+)
+def evaluate_null_models(spark, sf_dir):
+    """One of the models has no id, and enough distinct scores for several ranges."""
+    scored = candidates(spark, sf_dir).withColumn("trial_id", F.nullif("trial_id", F.lit(1).cast("long")))
+    model = F.coalesce(F.col("trial_id").cast("string"), F.lit("none")).alias("model")
+    return evaluate(scored, ["trial_id"]).select(model, "metric", F.round("value", 6).alias("value"))

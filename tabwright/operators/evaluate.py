@@ -8,7 +8,9 @@ score order give the two areas, exactly and without binning scores.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import isfinite
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -21,9 +23,8 @@ from tabwright.scratch import stage
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 OUTCOMES = ["tp", "fn", "fp", "tn"]
 
-# Scores one task should accumulate, and the most score ranges to form.
+# Scores one task should accumulate.
 RANGE_ROWS = 50_000
-MAX_RANGES = 4096
 SAMPLE_PER_RANGE = 200
 
 
@@ -34,11 +35,16 @@ def score_table(
     label: str = "label",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Outcome counts per model (``by``) and score; counted map-side before the shuffle."""
+    """Outcome counts per model (``by``) and score; counted map-side before the shuffle.
+
+    A missing score is refused: no place in the order is right for it. Null model ids are a
+    model of their own.
+    """
     actual, predicted = F.col(label), F.col(prediction)
+    ranked = F.coalesce(F.col(score).cast("double"), F.raise_error(F.lit("scores must not be null")).cast("double"))
     known = F.when(actual.isin(0.0, 1.0) & predicted.isin(0.0, 1.0), True)
     checked = F.coalesce(known, F.raise_error(F.lit("labels and predictions must be 0.0 or 1.0")).cast("boolean"))
-    return df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    return df.groupBy(*by, ranked.alias("score")).agg(
         F.count_if(checked & (actual == 1.0) & (predicted == 1.0)).alias("tp"),
         F.count_if((actual == 1.0) & (predicted == 0.0)).alias("fn"),
         F.count_if((actual == 0.0) & (predicted == 1.0)).alias("fp"),
@@ -77,10 +83,11 @@ def _cuts(table: DataFrame, range_rows: int) -> list[float]:
 
     Scores are distinct within a model here, so quantiles cut evenly however the
     predictions pile up on single scores. Any cuts give the same result, so those of a
-    sample will do.
+    sample will do. Their number follows the rows without a ceiling; the driver holds one
+    number per range.
     """
     rows = table.count()
-    ranges = min(MAX_RANGES, -(-rows // range_rows))
+    ranges = -(-rows // range_rows)
     if ranges <= 1:
         return []
     sample = table.sample(min(1.0, SAMPLE_PER_RANGE * ranges / rows), seed=SEED)
@@ -105,8 +112,8 @@ def _curve(table: DataFrame, by: Sequence[str]) -> DataFrame:
 def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> DataFrame:
     """The same, one score range per task.
 
-    The totals of the ranges, a few thousand rows at most per model, are accumulated
-    first; each range then starts from what the higher ones hold.
+    The totals of the ranges, a row each per model, are accumulated first; each range then
+    starts from what the higher ones hold. Null model ids meet their own totals.
     """
     ranges = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
@@ -115,9 +122,9 @@ def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) ->
     totals = ranged.groupBy(*by, "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     higher = Window.partitionBy(*by).orderBy(F.desc("range"))
     every = Window.partitionBy(*by)
+    keys = [*by, "range"]
     starts = totals.select(
-        *by,
-        "range",
+        *[F.col(k).alias(f"_start_{k}") for k in keys],
         (F.sum("pos").over(higher) - F.col("pos")).alias("start_hits"),
         (F.sum("neg").over(higher) - F.col("neg")).alias("start_misses"),
         F.sum("pos").over(every).alias("all_pos"),
@@ -128,7 +135,8 @@ def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) ->
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return ranged.join(starts, [*by, "range"]).select(
+    own = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys])
+    return ranged.join(starts, own).select(
         *table.columns,
         (F.col("start_hits") + F.sum("pos").over(so_far)).alias("hits"),
         (F.col("start_misses") + F.sum("neg").over(so_far)).alias("misses"),

@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -73,6 +75,45 @@ def test_other_labels_are_refused(spark, bad):
         evaluate_wide(df)
 
 
+@pytest.mark.parametrize("range_rows", [1, 10**6])
+def test_null_scores_are_refused(spark, range_rows):
+    df = spark.createDataFrame([(0.1, 0.0, 0.0), (None, 1.0, 1.0)], "score double, label double, prediction double")
+    with pytest.raises(Exception, match="scores must not be null"):
+        evaluate_wide(df, range_rows=range_rows)
+
+
+@pytest.mark.parametrize("range_rows", [40, 10**6])
+def test_null_model_ids_are_a_model(spark, range_rows):
+    parts = {i: scored(spark, *random_scores("plain", 900, seed=i or 7)) for i in (None, 1)}
+    both = parts[None].withColumn("m", F.lit(None).cast("int")).unionByName(parts[1].withColumn("m", F.lit(1)))
+    both = both.withColumn("k", F.lit(None).cast("string"))
+    rows = evaluate_wide(both, ["m", "k"], range_rows=range_rows).collect()
+    assert {r.m for r in rows} == {None, 1}
+    for r in rows:
+        assert {m: r[m] for m in METRICS} == pytest.approx(built_in(parts[r.m]), abs=1e-12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([float("nan"), float("inf"), float("-inf"), 0.0, 0.5, 1.0]) | st.floats(-5, 5),
+            st.sampled_from([0.0, 1.0]), st.sampled_from([0.0, 1.0]), st.sampled_from([None, 1, 2]),
+        ),
+        min_size=1, max_size=40,
+    )
+)
+def test_both_ways_agree_and_metrics_are_shares(spark, rows):
+    df = spark.createDataFrame(rows, "score double, label double, prediction double, m int")
+    one, many = (
+        {r.m: [r[x] for x in METRICS] for r in evaluate_wide(df, ["m"], range_rows=n).collect()} for n in (10**6, 3)
+    )
+    assert one.keys() == many.keys() == {m for *_, m in rows}
+    for m, values in one.items():
+        assert many[m] == pytest.approx(values, abs=1e-12)
+        assert all(0 <= v <= 1 + 1e-12 for v in values)
+
+
 def test_nothing_to_evaluate_is_an_error(spark):
     df = scored(spark, [0.1], [1]).filter("score > 1")
     with pytest.raises(ValueError, match="no predictions"):
