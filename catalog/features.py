@@ -39,30 +39,50 @@ def string_index(spark, sf_dir):
     return _fitted(_segments(spark, sf_dir), "cust_id").select("cust_id", "segment_index")
 
 
+def _slots(vector):
+    """The filled slots of a vector column as (slot, value), in order."""
+    placed = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
+    return F.filter(placed, lambda s: F.isnan(s["value"]) | (s["value"] != 0.0))
+
+
+def _at(slots, place, field):
+    return F.get(slots, F.lit(place))[field]
+
+
 @query(
     "one_hot",
-    f"""with {SEGMENT_SQL} select cust_id, pos::int as slot,
-    case when seg.segment = ranks.segment then 1e0 else 0e0 end as value from seg, ranks""",
+    f"""with {SEGMENT_SQL} select cust_id, coalesce(pos, -1)::int as slot,
+    case when pos is null then 0 else 1 end as n_filled, (select count(*) from ranks)::int as n_slots
+    from seg left join ranks using (segment)""",
 )
 def one_hot(spark, sf_dir):
+    """The one filled slot; a null segment fills none (-1)."""
     encoded = _fitted(_segments(spark, sf_dir), "cust_id")
-    return encoded.select("cust_id", F.posexplode(vector_to_array("segment_encoded")).alias("slot", "value"))
+    filled = _slots("segment_encoded")
+    return encoded.select(
+        "cust_id",
+        F.coalesce(_at(filled, 0, "slot"), F.lit(-1)).alias("slot"),
+        F.size(filled).alias("n_filled"),
+        F.size(vector_to_array("segment_encoded")).alias("n_slots"),
+    )
 
 
 @query(
     "assemble",
-    f"""with {SEGMENT_SQL}
-    select cust_id, 0 as slot, coalesce(tenure, -1) as value from seg
-    union all select cust_id, pos::int + 1,
-    case when seg.segment = ranks.segment then 1e0 else 0e0 end from seg, ranks""",
+    f"""with {SEGMENT_SQL} select cust_id, coalesce(tenure, -1) as number, coalesce(pos + 1, -1)::int as slot,
+    (select count(*) + 1 from ranks)::int as n_slots from seg left join ranks using (segment)""",
 )
 def assemble(spark, sf_dir):
     """A missing number stays in the vector as NaN; it is shown as -1 here."""
     vectors = _fitted(_segments(spark, sf_dir), "tenure")
-    slots = vectors.select(
-        "cust_id", F.posexplode(vector_to_array("unscaled_features")).alias("slot", "value")
+    values = vector_to_array("unscaled_features")
+    category = F.filter(_slots("unscaled_features"), lambda s: s["slot"] > 0)
+    return vectors.select(
+        "cust_id",
+        F.nanvl(values[0], F.lit(-1.0)).alias("number"),
+        F.coalesce(_at(category, 0, "slot"), F.lit(-1)).alias("slot"),
+        F.size(values).alias("n_slots"),
     )
-    return slots.withColumn("value", F.nanvl("value", F.lit(-1.0)))
 
 
 @query(
@@ -97,21 +117,25 @@ def scale(spark, sf_dir):
         from train, p group by slot
       union all
       select slot, stddev_samp(case when o_orderstatus = name then 1e0 else 0e0 end) from train, s group by slot)
-    select o_orderkey, 0 as slot,
-      round(o_totalprice / (select stddev_samp(o_totalprice) from train), 6) as value from test
-    union all select o_orderkey, slot::int, round(case when o_orderpriority = name then 1e0 else 0e0 end / d, 6)
-      from test, p join dev using (slot)
-    union all select o_orderkey, slot::int, round(case when o_orderstatus = name then 1e0 else 0e0 end / d, 6)
-      from test, s join dev using (slot)""",
+    select o_orderkey, round(o_totalprice / (select stddev_samp(o_totalprice) from train), 6) as price,
+      p.slot::int as priority_slot, round(1 / dp.d, 6) as priority_value,
+      s.slot::int as status_slot, round(1 / ds.d, 6) as status_value
+    from test join p on o_orderpriority = p.name join dev dp on dp.slot = p.slot
+      join s on o_orderstatus = s.name join dev ds on ds.slot = s.slot""",
 )
 def fitted_stages(spark, sf_dir):
-    """All stages learnt on the training part and applied to the test part."""
+    """All stages learnt on the training part and applied to the test part: the filled slots."""
     train, test = hash_split(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"),
         ["o_orderkey"],
     )
     model = Pipeline(stages=feature_stages(["o_orderpriority", "o_orderstatus"], ["o_totalprice"])).fit(train)
-    slots = model.transform(test).select(
-        "o_orderkey", F.posexplode(vector_to_array("features")).alias("slot", "value")
+    filled = model.transform(test).select("o_orderkey", _slots("features").alias("filled"))
+    return filled.select(
+        "o_orderkey",
+        F.round(_at("filled", 0, "value"), 6).alias("price"),
+        _at("filled", 1, "slot").alias("priority_slot"),
+        F.round(_at("filled", 1, "value"), 6).alias("priority_value"),
+        _at("filled", 2, "slot").alias("status_slot"),
+        F.round(_at("filled", 2, "value"), 6).alias("status_value"),
     )
-    return slots.withColumn("value", F.round("value", 6))

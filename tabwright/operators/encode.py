@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.stats import weights_from_counts
 
-# Category lists are held by the driver and turned into vector slots, so they are bounded.
-MAX_CATEGORIES = 10_000
-
 RAW_VECTOR = "unscaled_features"
 SCALED_VECTOR = "features"
 
@@ -36,12 +33,14 @@ def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bo
         inputs += encoded
     stages.append(VectorAssembler(inputCols=inputs, outputCol=RAW_VECTOR, handleInvalid="keep"))
     if scale:
-        stages.append(
-            StandardScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR, withMean=False, withStd=True)
-        )
+        stages.append(scaler())
     return stages
 
 
+def scaler() -> StandardScaler:
+    return StandardScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR, withMean=False, withStd=True)
+
+
 def build_pipeline(
     categorical: Sequence[str], numeric: Sequence[str], estimator: Estimator | None = None, scale: bool = True
 ) -> Pipeline:
@@ -62,13 +61,14 @@ def training_facts(
     categorical: Sequence[str],
     numeric: Sequence[str],
     label: str = "label",
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> tuple[int, dict[float, float]]:
     """Rows and class weights of a training table, checked in the same pass.
 
     Refuses a missing class, a label other than 0 and 1, missing numbers (the models
-    cannot take them), blank categories (a vector slot needs a name) and columns with
-    too many categories to hold as a list.
+    cannot take them) and blank categories (a vector slot needs a name). The categories
+    of a column become a list on the driver and slots of a vector; ``max_categories``, when
+    given, refuses columns with more, counted exactly.
     """
     aggregates = [
         F.count("*").alias("rows"),
@@ -79,10 +79,9 @@ def training_facts(
         value = F.col(c).cast("double")
         aggregates.append(F.count_if(value.isNull() | F.isnan(value)).alias(f"missing:{c}"))
     for c in categorical:
-        aggregates += [
-            F.count_if(F.col(c) == "").alias(f"blank:{c}"),
-            F.approx_count_distinct(c).alias(f"categories:{c}"),
-        ]
+        aggregates.append(F.count_if(F.col(c) == "").alias(f"blank:{c}"))
+        if max_categories is not None:
+            aggregates.append(F.count_distinct(c).alias(f"categories:{c}"))
     row = df.agg(*aggregates).first()
 
     missing = [c for c in numeric if row[f"missing:{c}"]]
@@ -91,7 +90,8 @@ def training_facts(
     blank = [c for c in categorical if row[f"blank:{c}"]]
     if blank:
         raise ValueError(f"blank categories in {', '.join(blank)}: fill them before training")
-    crowded = [c for c in categorical if row[f"categories:{c}"] > max_categories]
-    if crowded:
-        raise ValueError(f"more than {max_categories} categories in {', '.join(crowded)}")
+    if max_categories is not None:
+        crowded = [c for c in categorical if row[f"categories:{c}"] > max_categories]
+        if crowded:
+            raise ValueError(f"more than {max_categories} categories in {', '.join(crowded)}")
     return row["rows"], weights_from_counts(row["rows"], row["negative"], row["positive"])

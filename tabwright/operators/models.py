@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tabwright.fixed import FOREST_SETTINGS, LOGISTIC_SETTINGS, SEED
 from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR
 
-# Rows that a task of an iterative fit should hold at least.
-ROWS_PER_PIECE = 100_000
+# Rows of one piece of a training table, and the fewest pieces.
+ROWS_PER_PIECE = 1_000_000
+LEAST_PIECES = 8
+PLACE = "_place"
 
 
 def logistic(label: str = "label", weight: str | None = "classWeight", **settings) -> LogisticRegression:
@@ -33,16 +36,21 @@ def forest(label: str = "label", weight: str | None = "classWeight", **settings)
     return model.setWeightCol(weight) if weight else model
 
 
-def fit_input(estimator: Estimator, df: DataFrame, rows: int) -> DataFrame:
-    """Training rows in as many pieces as the estimator makes use of.
+def row_place(*columns: str) -> Column:
+    """A number from the row's content, to lay rows out by."""
+    return F.xxhash64(*columns)
 
-    Logistic regression runs a job per iteration, so tasks for few rows each cost more
-    than they compute; a table with more rows per piece passes unchanged. Forests run few
-    jobs with much work in each and take the rows as they are.
+
+def fit_layout(df: DataFrame, rows: int, place: str = PLACE, pieces: int | None = None) -> DataFrame:
+    """Training rows in pieces and in an order that depend on the rows alone.
+
+    A fit adds numbers up piece by piece, and a forest draws its samples per piece, so the
+    same rows give the same model only in the same layout, whatever the number of cores.
+    Rows are dealt by their content into one piece per ``ROWS_PER_PIECE``, ``LEAST_PIECES``
+    at least, unless ``pieces`` says how many.
     """
-    if isinstance(estimator, LogisticRegression):
-        return df.coalesce(max(1, -(-rows // ROWS_PER_PIECE)))
-    return df
+    pieces = pieces or max(LEAST_PIECES, -(-rows // ROWS_PER_PIECE))
+    return df.repartition(pieces, place).sortWithinPartitions(place)
 
 
 def positive_part(vector: str) -> Column:

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from tabwright.fixed import SEED
 from tabwright.functions import log_uniform, pick, unit_uniform
-from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline, training_facts
+from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline, scaler, training_facts
 from tabwright.operators.evaluate import METRICS, evaluate_wide, to_long
-from tabwright.operators.models import fit_input, positive_part, predictions
+from tabwright.operators.models import PLACE, fit_layout, positive_part, predictions, row_place
 from tabwright.operators.stats import with_class_weight
 from tabwright.scratch import stage
 
 # Models that score one pass over the validation rows together; their trees travel with the task.
 MODELS_PER_PASS = 6
+WEIGHT = "classWeight"
 
 
 @dataclass(frozen=True)
@@ -71,11 +72,12 @@ def draw_trials(spark: SparkSession, n: int, space: Space, seed: int = SEED) ->
 
 
 def fit_trials(
-    estimator: Estimator, train: DataFrame, settings: Sequence[Mapping[str, object]], parallelism: int = 2
-) -> list:
+    estimator: Estimator, train: DataFrame, settings: Sequence[Mapping[str, object]], parallelism: int = 2,
+    pieces: int | None = None,
+) -> list:
     """One model per setting; fits overlap so that short jobs do not leave executors idle."""
     maps = [{estimator.getParam(name): value for name, value in s.items()} for s in settings]
-    fits = estimator.fitMultiple(fit_input(estimator, train, train.count()), maps)
+    fits = estimator.fitMultiple(fit_layout(train, train.count(), pieces=pieces), maps)
     with ThreadPool(min(parallelism, len(maps))) as pool:
         models = dict(pool.imap_unordered(lambda _: next(fits), range(len(maps))))
     return [models[i] for i in range(len(maps))]
@@ -110,6 +112,7 @@ def run_trials(
     label: str = "label",
     parallelism: int = 2,
     models_per_pass: int = MODELS_PER_PASS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """The trials with the six validation metrics of each.
 
@@ -118,7 +121,7 @@ def run_trials(
     models per pass, and all trials are evaluated together.
     """
     rows = trials.orderBy("trial_id").collect()
-    models = fit_trials(estimator, train, [{name: r[name] for name in space} for r in rows], parallelism)
+    models = fit_trials(estimator, train, [{name: r[name] for name in space} for r in rows], parallelism, pieces)
     numbered = {r["trial_id"]: m for r, m in zip(rows, models)}
     ids = list(numbered)
     metrics = None
@@ -138,25 +141,66 @@ def best_trial(trials: DataFrame, metric: str = "roc_auc") -> DataFrame:
 def featurize(
     model: PipelineModel, df: DataFrame, label: str = "label", weight: str | None = None
 ) -> DataFrame:
-    """Only the vectors, the label and the weight: what fitting and validating read."""
+    """Only the vectors, the label and the weight: what fitting and validating read.
+
+    Rows to fit on (with a weight) keep their place in the layout.
+    """
     out = model.transform(df)
     vectors = [v for v in (RAW_VECTOR, SCALED_VECTOR) if v in out.columns]
-    return out.select(*vectors, label, *([weight] if weight else []))
+    return out.select(*vectors, label, *([weight, PLACE] if weight else []))
 
 
-def refit(
-    estimator: Estimator,
+@dataclass(frozen=True)
+class TrainingSet:
+    """Checked and weighted training rows, and the fitted stages up to the unscaled vector."""
+
+    rows: int
+    weighted: DataFrame
+    stages: PipelineModel
+    label: str
+
+    def vectors(self, scaled: bool) -> tuple[list, DataFrame]:
+        """The fitted stages that make the vector, and the rows to fit a model on."""
+        made = self.stages.transform(self.weighted)
+        if not scaled:
+            return list(self.stages.stages), made.select(RAW_VECTOR, self.label, WEIGHT, PLACE)
+        fitted = scaler().fit(made)
+        return [*self.stages.stages, fitted], fitted.transform(made).select(SCALED_VECTOR, self.label, WEIGHT, PLACE)
+
+
+def training_set(
     train: DataFrame,
-    test: DataFrame,
     categorical: Sequence[str],
     numeric: Sequence[str],
     label: str = "label",
+    max_categories: int | None = None,
+) -> TrainingSet:
+    """One pass for the checks and class weights, one fit of the stages; for any number of models.
+
+    Rows take their place from all columns of ``train``: keep its key to spread equal rows.
+    """
+    rows, weights = training_facts(train, categorical, numeric, label, max_categories)
+    weighted = with_class_weight(train, weights, label, WEIGHT)
+    weighted = weighted.withColumn(PLACE, row_place(*sorted(train.columns)))
+    return TrainingSet(rows, weighted, build_pipeline(categorical, numeric, scale=False).fit(weighted), label)
+
+
+def fit_model(estimator: Estimator, training: TrainingSet, scale: bool, pieces: int | None = None) -> PipelineModel:
+    """All stages and the model, fitted on rows laid out by their content."""
+    stages, vectors = training.vectors(scale)
+    return PipelineModel([*stages, estimator.fit(fit_layout(vectors, training.rows, pieces=pieces))])
+
+
+def refit(
+    estimator: Estimator,
+    training: TrainingSet,
+    test: DataFrame,
     scale: bool = True,
+    pieces: int | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit feature stages and model on all of ``train``, weighted by its own classes; test metrics."""
-    rows, weights = training_facts(train, categorical, numeric, label)
-    weighted = fit_input(estimator, with_class_weight(train, weights, label), rows)
-    model = build_pipeline(categorical, numeric, estimator, scale).fit(weighted)
+    """Fit a model on all training rows, weighted by their own classes; test metrics."""
+    model = fit_model(estimator, training, scale, pieces)
+    label = training.label
     return model, stage(evaluate_wide(predictions(model, test, label), label=label), "metrics")
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tabwright.fixed import CUSTOMERS, FOREST_SETTINGS, LOGISTIC_SETTINGS, CustomerTable
 from tabwright.operators.evaluate import metric_values
 from tabwright.operators.models import forest, logistic
-from tabwright.operators.search import model_metrics, refit
-from tabwright.scratch import spread
+from tabwright.operators.search import model_metrics, refit, training_set
+from tabwright.scratch import shared_folder
 from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
@@ -28,13 +28,17 @@ def run_train(
     experiment: str = EXPERIMENT,
     logistic_settings: dict | None = None,
     forest_settings: dict | None = None,
+    max_categories: int | None = None,
+    fit_pieces: int | None = None,
 ) -> DataFrame:
     """Rows of (model, metric, value) on the test table.
 
-    Models go to ``output_path/models``, the run log to ``output_path/runs``.
+    Checks, class weights and feature stages are shared by both models. Models go to ``output_path/models``, the run log to ``output_path/runs``.
     """
     columns = [*table.model_categorical, *table.model_numeric, "label"]
-    train, test = (spread(read_parquet(spark, p, columns)) for p in (train_path, test_path))
+    shared_folder(spark)
+    train, test = (read_parquet(spark, p) for p in (train_path, test_path))
+    train = train.select(*[c for c in train.columns if c in {table.key, *columns}])
     settings = {
         "LogisticRegression": {**LOGISTIC_SETTINGS, **(logistic_settings or {})},
         "RandomForest": {**FOREST_SETTINGS, **(forest_settings or {})},
@@ -45,15 +49,9 @@ def run_train(
     }
     results = {}
     with sized_shuffles(spark, train_path, test_path):
+        training = training_set(train, table.model_categorical, table.model_numeric, max_categories=max_categories)
         for name, estimator in estimators.items():
-            model, metrics = refit(
-                estimator,
-                train,
-                test,
-                table.model_categorical,
-                table.model_numeric,
-                scale=name == "LogisticRegression",
-            )
+            model, metrics = refit(estimator, training, test, name == "LogisticRegression", fit_pieces)
             stored = save_model(model, f"{output_path}/models/{ARTIFACTS[name]}")
             log_run(
                 spark,

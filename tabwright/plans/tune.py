@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabwright.fixed import CUSTOMERS, SEED, TRAIN_SHARE, TRIALS, CustomerTable
 from tabwright.operators.encode import build_pipeline, training_weights
 from tabwright.operators.evaluate import METRICS, metric_values
-from tabwright.operators.models import forest, logistic
+from tabwright.operators.models import PLACE, forest, logistic, row_place
 from tabwright.operators.search import (
     FOREST_SPACE,
     LOGISTIC_SPACE,
@@ -18,11 +18,12 @@ from tabwright.operators.search import (
     refit,
     run_trials,
     selection_record,
+    training_set,
 )
 from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
 from tabwright.plans.train import MODELS
-from tabwright.scratch import spread, stage
+from tabwright.scratch import shared_folder, stage
 from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
@@ -33,7 +34,9 @@ SPACES = {"LogisticRegression": LOGISTIC_SPACE, "RandomForest": FOREST_SPACE}
 ESTIMATORS = {"LogisticRegression": logistic, "RandomForest": forest}
 
 
-def tuning_tables(train: DataFrame, table: CustomerTable = CUSTOMERS) -> tuple[DataFrame, DataFrame]:
+def tuning_tables(
+    train: DataFrame, table: CustomerTable = CUSTOMERS, max_categories: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Assembled tuning and validation rows, staged for the many fits that read them.
 
     Training rows carry no key any more unless it was kept; without it a row's own
@@ -41,12 +44,12 @@ def tuning_tables(train: DataFrame, table: CustomerTable = CUSTOMERS) -> tuple[D
     """
     keys = [table.key] if table.key in train.columns else sorted(train.columns)
     tuning, validation = hash_split(train, keys, TRAIN_SHARE, VALIDATION_SALT)
-    weights = training_weights(tuning, table.model_categorical, table.model_numeric)
-    weighted = with_class_weight(tuning, weights)
+    weights = training_weights(tuning, table.model_categorical, table.model_numeric, max_categories=max_categories)
+    weighted = with_class_weight(tuning, weights).withColumn(PLACE, row_place(*sorted(tuning.columns)))
     stages = build_pipeline(table.model_categorical, table.model_numeric).fit(weighted)
     return (
-        spread(stage(featurize(stages, weighted, weight="classWeight"), "tuning")),
-        spread(stage(featurize(stages, validation), "validation")),
+        stage(featurize(stages, weighted, weight="classWeight"), "tuning"),
+        stage(featurize(stages, validation), "validation"),
     )
 
 
@@ -60,14 +63,20 @@ def run_tune(
     trials: int = TRIALS,
     seed: int = SEED,
     parallelism: int = 2,
+    max_categories: int | None = None,
+    fit_pieces: int | None = None,
 ) -> DataFrame:
     """Rows of (model, metric, value) of the two refitted models on the test table.
 
     Trials go to ``output_path/trials`` as CSV, models to ``output_path/models``, and
     the search, the final models and the choice to the run log in ``output_path/runs``.
     """
+    shared_folder(spark)
     with sized_shuffles(spark, train_path, test_path):
-        return _run_tune(spark, train_path, test_path, output_path, table, experiment, trials, seed, parallelism)
+        return _run_tune(
+            spark, train_path, test_path, output_path, table, experiment, trials, seed, parallelism, max_categories,
+            fit_pieces,
+        )
 
 
 def _run_tune(
@@ -80,16 +89,20 @@ def _run_tune(
     trials: int,
     seed: int,
     parallelism: int,
+    max_categories: int | None,
+    fit_pieces: int | None,
 ) -> DataFrame:
     log_path = f"{output_path}/runs"
-    train, test = (spread(read_parquet(spark, p)) for p in (train_path, test_path))
-    tuning, validation = tuning_tables(train, table)
+    train, test = (read_parquet(spark, p) for p in (train_path, test_path))
+    tuning, validation = tuning_tables(train, table, max_categories)
 
     settings = {}
     for name in MODELS:
         space = SPACES[name]
         drawn = draw_trials(spark, trials, space, seed)
-        tried = run_trials(ESTIMATORS[name](), drawn, space, tuning, validation, parallelism=parallelism)
+        tried = run_trials(
+            ESTIMATORS[name](), drawn, space, tuning, validation, parallelism=parallelism, pieces=fit_pieces
+        )
         trials_path = f"{output_path}/trials/{name}"
         write_csv(tried, trials_path, single_file=True)
         best = best_trial(tried).first()
@@ -106,15 +119,10 @@ def _run_tune(
         )
 
     results = {}
+    training = training_set(train, table.model_categorical, table.model_numeric, max_categories=max_categories)
     for name in MODELS:
-        model, metrics = refit(
-            ESTIMATORS[name](**settings[name]),
-            train,
-            test,
-            table.model_categorical,
-            table.model_numeric,
-            scale=name == "LogisticRegression",
-        )
+        scale = name == "LogisticRegression"
+        model, metrics = refit(ESTIMATORS[name](**settings[name]), training, test, scale, fit_pieces)
         results[name] = metrics
         log_run(
             spark,

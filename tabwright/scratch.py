@@ -51,18 +51,6 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A stored table with a piece for every core.
-
-    Fitting is bound by computation, so a table stored in fewer pieces than there are
-    cores, which is a small one, is rewritten in as many. Larger ones pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return stage(df.repartition(cores), "spread")
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df``, for column types that Parquet cannot hold."""
     shared_folder(df.sparkSession)

@@ -81,7 +81,7 @@ def test_train_finds_the_signal(spark, folder):
 
 
 def test_tune_searches_refits_and_chooses(spark, folder, monkeypatch):
-    small = {"numTrees": Choice((3, 6)), "maxDepth": Choice((3, 5)), "maxBins": Choice((32,)), "minInstancesPerNode": Choice((1, 2))}
+    small = {"numTrees": Choice((6, 12)), "maxDepth": Choice((3, 5)), "maxBins": Choice((32,)), "minInstancesPerNode": Choice((1, 2))}
     monkeypatch.setitem(tune_plan.SPACES, "RandomForest", small)
     out = f"{folder}/tune-out"
     metrics = run_tune(spark, f"{folder}/train", f"{folder}/test", out, trials=2).toPandas()

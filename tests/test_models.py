@@ -1,10 +1,15 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 
 from tabwright.operators.encode import build_pipeline
 from tabwright.operators import models
-from tabwright.operators.models import fit_input, forest, logistic, score
+from tabwright.operators.models import PLACE, fit_layout, forest, logistic, row_place, score
 from tabwright.operators.search import featurize
 from tabwright.operators.stats import fit_class_weights, with_class_weight
 from tabwright.scratch import scratch_path, stage
@@ -19,7 +24,7 @@ def rows(spark):
     label = (rng.uniform(size=n) < 1 / (1 + np.exp(-(1.5 * x - z - 1)))).astype(float)
     data = [(i, float(a), float(b), float(y)) for i, (a, b, y) in enumerate(zip(x, z, label))]
     df = spark.createDataFrame(data, "id int, x double, z double, label double")
-    return stage(with_class_weight(df, fit_class_weights(df)), "rows")
+    return stage(with_class_weight(df, fit_class_weights(df)).withColumn(PLACE, row_place("id")), "rows")
 
 
 def newton(features, labels, weights, ridge, steps=50):
@@ -59,12 +64,42 @@ def test_cached_node_ids_change_speed_only(rows):
     assert trees[0] == trees[1]
 
 
-def test_only_small_tables_of_iterative_fits_are_gathered(spark, rows, monkeypatch):
-    wide = rows.repartition(6)
-    assert fit_input(logistic(), wide, 1200).rdd.getNumPartitions() == 1
-    assert fit_input(forest(), wide, 1200) is wide
+def test_layout_depends_on_the_rows_alone(spark, rows, monkeypatch):
+    vectors = build_pipeline([], ["x", "z"], scale=False).fit(rows).transform(rows)
+    fits = [
+        forest(numTrees=5, maxDepth=4).fit(fit_layout(vectors.repartition(n), 1200)).toDebugString.split("\n", 1)[1]
+        for n in (1, 3, 7)
+    ]
+    assert fits[0] == fits[1] == fits[2]
+    assert fit_layout(vectors, 1200).rdd.getNumPartitions() == models.LEAST_PIECES
+    assert fit_layout(vectors, 1200, pieces=3).rdd.getNumPartitions() == 3
     monkeypatch.setattr(models, "ROWS_PER_PIECE", 100)
-    assert fit_input(logistic(), wide, 1200).rdd.getNumPartitions() == 6
+    assert fit_layout(vectors, 1200).rdd.getNumPartitions() == 12
+
+
+SAME_FOREST = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false").config("spark.driver.memory", "2g").getOrCreate()
+from catalog.modelling import _parts, CATEGORICAL, NUMERIC
+from tabwright.operators.models import forest
+from tabwright.operators.search import fit_model, training_set
+train, _ = _parts(spark, "/root/testdata/sf0.01")
+model = fit_model(forest(numTrees=3, maxDepth=4), training_set(train, CATEGORICAL, NUMERIC), scale=False)
+print("TREES", hash(model.stages[-1].toDebugString.split("\\n", 1)[1]))
+"""
+
+
+def test_same_forest_on_any_number_of_cores():
+    outputs = []
+    for master in ("local[2]", "local[8]"):
+        done = subprocess.run(
+            [sys.executable, "-c", SAME_FOREST, master], capture_output=True, text=True, timeout=600,
+            env=os.environ | {"PYTHONHASHSEED": "1", "PYTHONPATH": str(Path(__file__).resolve().parents[1])},
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        outputs.append([line for line in done.stdout.splitlines() if line.startswith("TREES")])
+    assert outputs[0] == outputs[1] and len(outputs[0]) == 1
 
 
 def test_defaults_of_the_two_models():

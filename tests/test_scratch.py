@@ -1,6 +1,6 @@
 import pytest
 
-from tabwright.scratch import checkpoint, persisted, scratch_path, shared_folder, spread, stage
+from tabwright.scratch import checkpoint, persisted, scratch_path, shared_folder, stage
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -24,14 +24,6 @@ def test_staged_partitions_are_pruned(spark):
     assert "PartitionFilters: [isnotnull(part" in df.filter("part = 1")._jdf.queryExecution().toString()
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark):
-    small = stage(spark.range(100).coalesce(1), "small")
-    assert spread(small).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert spread(small).count() == 100
-    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism)
-    assert spread(wide) is wide
-
-
 def test_persisted_releases_even_after_an_error(spark):
     df = spark.range(10)
     with pytest.raises(RuntimeError):

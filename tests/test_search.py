@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from tabwright.operators.encode import build_pipeline
-from tabwright.operators.models import forest, logistic
+from tabwright.operators.models import PLACE, fit_layout, forest, logistic, row_place
 from tabwright.operators.search import (
     FOREST_SPACE,
     LOGISTIC_SPACE,
@@ -29,7 +29,7 @@ def vectors(spark):
     x = rng.normal(size=800)
     label = (x + rng.normal(size=800) > 0).astype(float)
     data = [(float(a), float(y), 1.0) for a, y in zip(x, label)]
-    df = spark.createDataFrame(data, "x double, label double, classWeight double")
+    df = spark.createDataFrame(data, "x double, label double, classWeight double").withColumn(PLACE, row_place("x"))
     model = build_pipeline([], ["x"]).fit(df)
     return stage(featurize(model, df, weight="classWeight"), "vectors")
 
@@ -63,7 +63,7 @@ def test_trial_metrics_equal_those_of_single_fits(spark, vectors, per_pass):
     got = run_trials(logistic(), drawn, space, vectors, vectors, models_per_pass=per_pass)
     assert got.columns == [*drawn.columns, *METRICS]
     for row in got.collect():
-        model = logistic(maxIter=row["maxIter"], regParam=row["regParam"]).fit(vectors)
+        model = logistic(maxIter=row["maxIter"], regParam=row["regParam"]).fit(fit_layout(vectors, 800))
         single = evaluate_wide(predictions(model, vectors)).first()
         assert {m: row[m] for m in METRICS} == pytest.approx(single.asDict(), abs=1e-9)
 
