@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from catalog.registry import DIRTY_SQL, dirty, query, table
@@ -10,7 +12,7 @@ from tabwright.functions import binary_label, bucket, count_matching, safe_ratio
 from tabwright.operators.clean import blanks_to_null, cast_doubles, dedup, fill_text, trim_all, trim_strings
 from tabwright.operators.impute import apply_medians, exact_medians
 from tabwright.operators.split import in_first_part
-from tabwright.plans.clean import prepare, run_clean
+from tabwright.plans.clean import part_counts, prepare, run_clean
 from tabwright.scratch import scratch_path, stage
 from tabwright.sources.tables import write_csv
 
@@ -190,15 +192,18 @@ DIRTY_TABLE = CustomerTable(
     flags=(),
     categorical=("segment_raw",),
     services=("segment_raw", "churn"),
+    columns=("cust_id", "total_raw", "segment_raw", "tenure", "churn"),
 )
 
 
-CLEAN_SQL = f"""with {DIRTY_SQL},
+def clean_sql(medians_from: str = "where part = 'train'") -> str:
+    """The steps of the cleaning job, with medians of the rows that are named."""
+    return f"""with {DIRTY_SQL},
     typed as (select cust_id, trim(segment_raw) as segment_raw, tenure, {TOTAL_SQL} as total_raw, churn,
         case when md5(concat_ws('|', '42', cust_id::varchar)) < 'cccccccd' then 'train' else 'test' end as part
         from dirty),
     m as (select quantile_disc(tenure, 0.5) as tenure_m, quantile_disc(total_raw, 0.5) as total_m
-        from typed where part = 'train'),
+        from typed {medians_from}),
     filled as (select cust_id, part, churn, coalesce(segment_raw, 'Unknown') as segment_raw,
         coalesce(tenure, tenure_m) as tenure, coalesce(total_raw, total_m) as total_raw from typed, m)
     select cust_id, part, segment_raw, tenure, total_raw,
@@ -208,6 +213,9 @@ CLEAN_SQL = f"""with {DIRTY_SQL},
     from filled"""
 
 
+CLEAN_SQL = clean_sql()
+
+
 @query("clean_table", CLEAN_SQL)
 def clean_table(spark, sf_dir):
     """The steps of the cleaning job: typed, unique, split, medians of the training part, features."""
@@ -218,13 +226,39 @@ def clean_table(spark, sf_dir):
     return prepare(rows, medians, DIRTY_TABLE).drop("churn")
 
 
-@query("clean_job", CLEAN_SQL)
-def clean_job(spark, sf_dir):
-    """The cleaning job itself, from a CSV file to the two written tables."""
+def _cleaned(spark, sf_dir, files, **options):
+    """The cleaning job from CSV files to the two written tables."""
     raw, train, test = (scratch_path(spark, name) for name in ("raw-csv", "train", "test"))
-    write_csv(dirty(spark, sf_dir), raw)
-    run_clean(spark, raw, train, test, DIRTY_TABLE, median_error=0.0, keep_key=True)
+    rows = dirty(spark, sf_dir)
+    write_csv(rows.repartition(files, "cust_id") if files > 1 else rows, raw)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the view has blank segments on purpose
+        run_clean(spark, f"{raw}/*.csv", train, test, DIRTY_TABLE, median_error=0.0, keep_key=True, **options)
     both = [
         spark.read.parquet(path).withColumn("part", F.lit(part)) for part, path in (("train", train), ("test", test))
     ]
     return both[0].unionByName(both[1]).withColumn("cust_id", F.col("cust_id").cast("long"))
+
+
+@query("clean_job", CLEAN_SQL)
+def clean_job(spark, sf_dir):
+    """The cleaning job itself, from several CSV files named by a wildcard."""
+    return _cleaned(spark, sf_dir, files=4)
+
+
+@query("clean_job_all", clean_sql(""))
+def clean_job_all(spark, sf_dir):
+    """The same with medians of all rows."""
+    return _cleaned(spark, sf_dir, files=1, medians_from="all")
+
+
+@query(
+    "part_counts",
+    f"""with cleaned as ({CLEAN_SQL}) select part, label, count(*) as count,
+    round(count(*) * 100 / sum(count(*)) over (partition by part), 6) as percentage from cleaned group by part, label""",
+)
+def rows_per_part(spark, sf_dir):
+    """Rows and classes of each part, as the cleaning job returns them."""
+    rows = clean_table(spark, sf_dir)
+    counts = part_counts(rows.filter("part = 'train'"), rows.filter("part = 'test'"))
+    return counts.withColumn("percentage", F.round("percentage", 6))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.registry import DIRTY_SQL, dirty, query, table
 from tabwright.operators.stats import preview, profile
-from tabwright.scratch import checkpoint, scratch_path, stage
+from tabwright.scratch import checkpoint, persisted, scratch_path, stage
 from tabwright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 CUSTOMER_TYPES = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -49,11 +51,12 @@ def parquet_roundtrip(spark, sf_dir):
 @query(
     "profile",
     f"""with {DIRTY_SQL}
-    select 1 as position, 'cust_id' as column_name, 'bigint' as data_type, count(cust_id) as non_null from dirty
-    union all select 2, 'total_raw', 'string', count(total_raw) from dirty
-    union all select 3, 'segment_raw', 'string', count(segment_raw) from dirty
-    union all select 4, 'tenure', 'double', count(tenure) from dirty
-    union all select 5, 'churn', 'string', count(churn) from dirty""",
+    select 1 as position, 'cust_id' as column_name, 'bigint' as data_type, count(*) as n_rows,
+      count(cust_id) as non_null from dirty
+    union all select 2, 'total_raw', 'string', count(*), count(total_raw) from dirty
+    union all select 3, 'segment_raw', 'string', count(*), count(segment_raw) from dirty
+    union all select 4, 'tenure', 'double', count(*), count(tenure) from dirty
+    union all select 5, 'churn', 'string', count(*), count(churn) from dirty""",
 )
 def profile_table(spark, sf_dir):
     return profile(dirty(spark, sf_dir))
@@ -83,3 +86,18 @@ def staged(spark, sf_dir):
         "customer",
         ("c_nationkey",),
     ).select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query(
+    "persisted",
+    """select o_orderstatus, count(*) as n_orders, (select count(*) from orders) as n_all,
+    min(o_orderkey) as first_key from orders group by o_orderstatus""",
+)
+def held(spark, sf_dir):
+    """Rows kept for two readers and let go after both."""
+    with persisted(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")) as (orders,):
+        total = orders.count()
+        groups = orders.groupBy("o_orderstatus").agg(
+            F.count("*").alias("n_orders"), F.lit(total).cast("long").alias("n_all"), F.min("o_orderkey").alias("first_key")
+        )
+        return stage(groups, "held")

@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabwright.fixed import MEDIAN_ERROR, SEED, TRIALS
 from tabwright.operators.search import best_model, compare_models
 from tabwright.operators.stats import preview, profile
 from tabwright.plans.clean import run_clean
@@ -26,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     }.items():
         command = commands.add_parser(name, help=text)
         if name in ("profile", "clean", "daily"):
-            command.add_argument("--raw", required=True, help="raw CSV path")
+            command.add_argument("--raw", required=True, nargs="+", help="raw CSV paths, with wildcards or without")
         if name != "profile":
             command.add_argument("--train", required=True, help="train table path")
             command.add_argument("--test", required=True, help="test table path")
@@ -34,7 +35,17 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--output", required=True, help="folder for models, trials and run log")
         if name in ("clean", "daily"):
             command.add_argument("--medians-from", choices=["train", "all"], default="train")
+            command.add_argument("--median-error", type=float, default=MEDIAN_ERROR, help="0 for exact medians")
             command.add_argument("--blank-as-null", action="store_true", help="fill blank categories too")
+            command.add_argument("--keep-key", action="store_true", help="keep the key column in both tables")
+            command.add_argument("--seed", type=int, default=SEED, help="seed of the split")
+        if name in ("train", "tune", "daily"):
+            command.add_argument("--fit-pieces", type=int, help="pieces that fits deal the training rows into")
+            command.add_argument("--max-categories", type=int, help="refuse columns with more categories")
+        if name == "tune":
+            command.add_argument("--trials", type=int, default=TRIALS, help="settings to try per model")
+            command.add_argument("--seed", type=int, default=SEED, help="seed of the settings")
+            command.add_argument("--parallelism", type=int, default=2, help="fits that overlap")
     return parser
 
 
@@ -47,7 +58,7 @@ def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"tabwright-{args.command}").getOrCreate()
     if args.command == "profile":
-        raw = read_csv(spark, args.raw)
+        raw = read_csv(spark, args.raw, infer=True)
         profile(raw).show(len(raw.columns), truncate=False)
         preview(raw).show(truncate=False)
     if args.command in ("clean", "daily"):
@@ -57,12 +68,20 @@ def main(arguments: list[str] | None = None) -> None:
             args.train,
             args.test,
             medians_from=args.medians_from,
+            median_error=args.median_error,
+            seed=args.seed,
             blank_as_null=args.blank_as_null,
-        ).show()
+            keep_key=args.keep_key,
+            refuse_blanks=args.command == "daily",
+        ).orderBy("part", "label").show()
+    fits = {}
+    if args.command in ("train", "tune", "daily"):
+        fits = {"max_categories": args.max_categories, "fit_pieces": args.fit_pieces}
     if args.command in ("train", "daily"):
-        _show_models(run_train(spark, args.train, args.test, args.output))
+        _show_models(run_train(spark, args.train, args.test, args.output, **fits))
     if args.command == "tune":
-        _show_models(run_tune(spark, args.train, args.test, args.output))
+        options = {"trials": args.trials, "seed": args.seed, "parallelism": args.parallelism, **fits}
+        _show_models(run_tune(spark, args.train, args.test, args.output, **options))
 
 
 if __name__ == "__main__":

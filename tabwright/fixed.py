@@ -93,6 +93,8 @@ class CustomerTable:
     flags: tuple[str, ...] = ("SeniorCitizen",)
     categorical: tuple[str, ...] = tuple(CATEGORICAL_COLUMNS)
     services: tuple[str, ...] = tuple(SERVICE_COLUMNS)
+    # Columns of the raw file in their order; empty takes them from the header.
+    columns: tuple[str, ...] = tuple(CUSTOMER_COLUMNS)
 
     @property
     def numeric(self) -> tuple[str, ...]:

@@ -21,7 +21,7 @@ SKETCH_ACCURACY = 10_000
 
 def _number(df: DataFrame, column: str) -> Column:
     """The column as a double with NaN read as missing."""
-    value = F.col(column).cast("double")
+    value = F.col(f"`{column}`").cast("double")
     return F.when(~F.isnan(value), value)
 
 

@@ -16,7 +16,7 @@ from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline
 from tabwright.operators.evaluate import METRICS, evaluate_wide, to_long
 from tabwright.operators.models import PLACE, fit_layout, positive_part, predictions, row_place
 from tabwright.operators.stats import with_class_weight
-from tabwright.scratch import stage
+from tabwright.scratch import persisted, stage
 
 # Models that score one pass over the validation rows together; their trees travel with the task.
 MODELS_PER_PASS = 6
@@ -77,9 +77,11 @@ def fit_trials(
 ) -> list:
     """One model per setting; fits overlap so that short jobs do not leave executors idle."""
     maps = [{estimator.getParam(name): value for name, value in s.items()} for s in settings]
-    fits = estimator.fitMultiple(fit_layout(train, train.count(), pieces=pieces), maps)
-    with ThreadPool(min(parallelism, len(maps))) as pool:
-        models = dict(pool.imap_unordered(lambda _: next(fits), range(len(maps))))
+    # Every fit reads the rows in this layout: it is made once and let go after the last.
+    with persisted(fit_layout(train, train.count(), pieces=pieces)) as (rows,):
+        fits = estimator.fitMultiple(rows, maps)
+        with ThreadPool(min(parallelism, len(maps))) as pool:
+            models = dict(pool.imap_unordered(lambda _: next(fits), range(len(maps))))
     return [models[i] for i in range(len(maps))]
 
 
@@ -201,7 +203,7 @@ def refit(
     """Fit a model on all training rows, weighted by their own classes; test metrics."""
     model = fit_model(estimator, training, scale, pieces)
     label = training.label
-    return model, stage(evaluate_wide(predictions(model, test, label), label=label), "metrics")
+    return model, stage(evaluate_wide(predictions(model, test, label), label=label), "metrics", keep=True)
 
 
 def compare_models(metrics: DataFrame, models: Sequence[str], places: int = 4) -> DataFrame:

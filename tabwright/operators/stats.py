@@ -13,18 +13,21 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type and non-null count, from one pass."""
+    """One row per column: position, name, type, rows and non-null count, from one pass."""
     types = [t for _, t in df.dtypes]
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    # Counts by position: a column may have any name.
+    filled = [F.count(F.col(f"`{c.replace('`', '``')}`")).alias(f"_{i}") for i, c in enumerate(df.columns)]
+    counts = df.agg(F.count("*").alias("n_rows"), *filled)
     entries = F.array(
         *[
             F.struct(
-                F.lit(i).alias("position"),
+                F.lit(i + 1).alias("position"),
                 F.lit(c).alias("column_name"),
                 F.lit(t).alias("data_type"),
-                F.col(c).alias("non_null"),
+                F.col("n_rows").alias("n_rows"),
+                F.col(f"_{i}").alias("non_null"),
             )
-            for i, (c, t) in enumerate(zip(df.columns, types), start=1)
+            for i, (c, t) in enumerate(zip(df.columns, types))
         ]
     )
     return counts.select(F.inline(entries))

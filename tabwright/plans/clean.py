@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.fixed import (
@@ -20,10 +23,9 @@ from tabwright.functions import binary_label, bucket, count_matching, safe_ratio
 from tabwright.operators.clean import cast_doubles, dedup, fill_text, trim_strings
 from tabwright.operators.impute import apply_medians, fit_medians
 from tabwright.operators.split import in_first_part
-from tabwright.operators.stats import class_percentage
-from tabwright.scratch import stage
+from tabwright.scratch import scoped_staging, shared_folder, stage
 from tabwright.sizing import sized_shuffles
-from tabwright.sources.tables import read_csv, write_parquet
+from tabwright.sources.tables import read_csv, text_schema, write_parquet
 
 
 def typed(df: DataFrame, table: CustomerTable = CUSTOMERS) -> DataFrame:
@@ -54,9 +56,23 @@ def prepare(
     return features(apply_medians(filled, medians), table)
 
 
+def blank_categories(df: DataFrame, table: CustomerTable = CUSTOMERS) -> list[str]:
+    """Categorical columns with a cell that holds nothing but blanks."""
+    row = df.agg(*[F.count_if(F.trim(c) == "").alias(c) for c in table.categorical]).first()
+    return [c for c in table.categorical if row[c]]
+
+
+def part_counts(train: DataFrame, test: DataFrame) -> DataFrame:
+    """part, label, count and percentage of the part."""
+    both = train.select("label", F.lit("train").alias("part")).unionAll(test.select("label", F.lit("test").alias("part")))
+    counts = both.groupBy("part", "label").agg(F.count("*").alias("count"))
+    total = F.sum("count").over(Window.partitionBy("part"))
+    return counts.withColumn("percentage", F.col("count") / total * 100)
+
+
 def run_clean(
     spark: SparkSession,
-    raw_path: str,
+    raw_path: str | Sequence[str],
     train_path: str,
     test_path: str,
     table: CustomerTable = CUSTOMERS,
@@ -66,18 +82,33 @@ def run_clean(
     seed: int = SEED,
     blank_as_null: bool = False,
     keep_key: bool = False,
+    refuse_blanks: bool = False,
 ) -> DataFrame:
-    """Write the train and test tables; returns the class distribution of both together.
+    """Write the train and test tables; returns rows and share per part and class.
 
-    ``medians_from="train"`` learns the medians from the training rows only;
-    ``"all"`` learns them from every raw row, before deduplication and split.
+    The raw text is read once, under the table's column names, which the header of every
+    file must match. ``medians_from="train"`` learns the medians from the training rows
+    only; ``"all"`` learns them from every raw row, before deduplication and split. A model
+    cannot be trained on blank categories: they are warned of, or refused before anything
+    is written, unless ``blank_as_null`` fills them.
     """
     if medians_from not in ("train", "all"):
         raise ValueError("medians_from must be 'train' or 'all'")
-    with sized_shuffles(spark, raw_path):
-        raw = typed(read_csv(spark, raw_path), table)
+    shared_folder(spark)
+    paths = [raw_path] if isinstance(raw_path, str) else list(raw_path)
+    with sized_shuffles(spark, *paths), scoped_staging(spark):
+        schema = text_schema(table.columns) if table.columns else None
+        raw = typed(read_csv(spark, paths, schema), table)
+        if medians_from == "all":
+            raw = stage(raw, "typed")
         part = F.when(in_first_part([table.key], train_share, seed), "train").otherwise("test")
         rows = stage(dedup(raw, [table.key]).withColumn("_part", part), "customers", ("_part",))
+        blank = [] if blank_as_null or not table.categorical else blank_categories(rows, table)
+        if blank:
+            message = f"blank categories in {', '.join(blank)}: training refuses them; blank_as_null fills them"
+            if refuse_blanks:
+                raise ValueError(message)
+            warnings.warn(message, stacklevel=2)
         train = rows.filter("_part = 'train'")
         numeric = list(table.numeric)
         medians = fit_medians(train if medians_from == "train" else raw, numeric, median_error)
@@ -86,4 +117,4 @@ def run_clean(
         ready = prepare(rows, medians, table, blank_as_null)
         for name, path in (("train", train_path), ("test", test_path)):
             write_parquet(ready.filter(F.col("_part") == name).drop(*unwanted), path)
-    return class_percentage(spark.read.parquet(train_path, test_path).select("label"))
+    return part_counts(spark.read.parquet(train_path), spark.read.parquet(test_path))

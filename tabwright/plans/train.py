@@ -8,7 +8,7 @@ from tabwright.fixed import CUSTOMERS, FOREST_SETTINGS, LOGISTIC_SETTINGS, Custo
 from tabwright.operators.evaluate import metric_values
 from tabwright.operators.models import forest, logistic
 from tabwright.operators.search import model_metrics, refit, training_set
-from tabwright.scratch import shared_folder
+from tabwright.scratch import scoped_staging, shared_folder
 from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
@@ -48,7 +48,7 @@ def run_train(
         "RandomForest": forest(**settings["RandomForest"]),
     }
     results = {}
-    with sized_shuffles(spark, train_path, test_path):
+    with sized_shuffles(spark, train_path, test_path), scoped_staging(spark):
         training = training_set(train, table.model_categorical, table.model_numeric, max_categories=max_categories)
         for name, estimator in estimators.items():
             model, metrics = refit(estimator, training, test, name == "LogisticRegression", fit_pieces)

@@ -23,7 +23,7 @@ from tabwright.operators.search import (
 from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
 from tabwright.plans.train import MODELS
-from tabwright.scratch import shared_folder, stage
+from tabwright.scratch import scoped_staging, shared_folder, stage
 from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
 from tabwright.sources.runlog import log_run
@@ -72,7 +72,7 @@ def run_tune(
     the search, the final models and the choice to the run log in ``output_path/runs``.
     """
     shared_folder(spark)
-    with sized_shuffles(spark, train_path, test_path):
+    with sized_shuffles(spark, train_path, test_path), scoped_staging(spark):
         return _run_tune(
             spark, train_path, test_path, output_path, table, experiment, trials, seed, parallelism, max_categories,
             fit_pieces,

@@ -40,13 +40,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scoped_staging(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block at its end, errors included.
+
+    A table that is still read afterwards must be staged outside, or under ``keep``.
+    """
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and carry on from the written table.
 
     Cuts the lineage, survives the loss of executors, fixes the row order for the
-    readers, and keeps column pruning and filter pushdown for them.
+    readers, and keeps column pruning and filter pushdown for them. Inside
+    ``scoped_staging`` the table goes at the end of the block, unless ``keep``.
     """
     path = scratch_path(df.sparkSession, name)
+    if _open_scopes and not keep:
+        _open_scopes[-1].append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -5,19 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+def text_schema(columns: Sequence[str]) -> StructType:
+    return StructType([StructField(c, StringType()) for c in columns])
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType | str | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """CSV with a header row.
+    """CSV with a header row; one path or several, with wildcards or without.
 
     With a schema the file is read once, and a header that does not match it is an
     error. Without one every column is text; ``infer`` spends a further pass over the
     whole file on guessing types.
     """
     reader = spark.read.option("header", True)
+    path = path if isinstance(path, str) else list(path)
     if schema is not None:
         return reader.schema(schema).option("enforceSchema", False).csv(path)
     return reader.option("inferSchema", infer).csv(path)

@@ -1,6 +1,6 @@
 import pytest
 
-from tabwright.scratch import checkpoint, persisted, scratch_path, shared_folder, stage
+from tabwright.scratch import checkpoint, persisted, scoped_staging, scratch_path, shared_folder, stage
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -31,3 +31,18 @@ def test_persisted_releases_even_after_an_error(spark):
             assert held.count() == 10 and held.is_cached
             raise RuntimeError
     assert not df.is_cached and not df.storageLevel.useMemory
+
+
+def test_scoped_tables_go_with_the_block(spark):
+    with scoped_staging(spark):
+        inside, kept = stage(spark.range(5), "inside"), stage(spark.range(5), "kept", keep=True)
+        assert inside.count() == 5
+    assert kept.count() == 5
+    outside = stage(spark.range(3), "outside")
+    with pytest.raises(RuntimeError), scoped_staging(spark):
+        failed = stage(spark.range(5), "failed")
+        raise RuntimeError
+    assert outside.count() == 3
+    for gone in (inside, failed):
+        with pytest.raises(Exception, match="(?i)does not exist|not.found"):
+            gone.select("id").collect()

@@ -31,5 +31,11 @@ def test_percentages_add_up(spark):
 
 def test_profile_and_preview(spark):
     df = spark.createDataFrame([(i, None if i % 2 else "x") for i in range(10)], "a int, b string")
-    assert [tuple(r) for r in profile(df).orderBy("position").collect()] == [(1, "a", "int", 10), (2, "b", "string", 5)]
+    assert [tuple(r) for r in profile(df).orderBy("position").collect()] == [(1, "a", "int", 10, 10), (2, "b", "string", 10, 5)]
     assert [r.a for r in preview(df, "a").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_profile_counts_rows_under_any_name(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "`a.b` int, n_rows string")
+    rows = [tuple(r) for r in profile(df).collect()]
+    assert rows == [(1, "a.b", "int", 3, 2), (2, "n_rows", "string", 3, 2)]
