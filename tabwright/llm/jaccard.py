@@ -6,7 +6,8 @@ for the next. Sets of one band that are similar enough differ in at most ``k`` e
 The domain (hashed shingles) is cut into ``n1`` parts, so that some part holds at most
 ``k2`` of the differences, and each part into ``n2`` cells; one signature stands for each
 choice of ``n2 - k2`` cells. The cells left out may hold the differences, so two sets that
-are similar enough share a signature: no link is lost.
+are similar enough share a signature: no link is lost. Choices of empty cells sign only
+where a set has too few others.
 
 Documents of one shingle set form a class first, and only its least id goes on. Members of
 a bucket (one signature) are compared with its least member, the pivot. Where that leaves a
@@ -17,6 +18,7 @@ whole sets.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from itertools import combinations
 from collections.abc import Iterator
@@ -38,6 +40,7 @@ BROADCAST_IDS = 2_000_000
 BLOCK_DOCS = 512
 CHUNK_ELEMENTS = 8192
 U64 = np.uint64
+NAMES = ["doc_id", "n_shingles", "digest", "signatures"]
 
 
 def differences(size: int, percent: int) -> int:
@@ -45,13 +48,26 @@ def differences(size: int, percent: int) -> int:
     return (100 - percent) * 2 * size // (100 + percent)
 
 
-def choices(k: int) -> tuple[int, int, int]:
-    """n1, n2 and k2 for ``k`` differences; a part gets k // n1 <= k2 of them."""
+@lru_cache(maxsize=10_000)
+def choices(k: int, least: int) -> tuple[int, int, int]:
+    """n1, n2 and k2 for ``k`` differences between sets of ``least`` elements or more.
+
+    A part gets k // n1 <= k2 differences. A few parts more than that needs stand in for
+    those that a small set leaves nearly empty.
+    """
     if k == 0:
         return 1, 1, 0
     if k <= 2:
         return 1, 2 * k + 1, k
-    return k // 2 + 1, 3, 1
+    needed = k // 2 + 1
+    n1 = needed
+    while n1 < 2 * needed:
+        empty = math.exp(-least / (3 * n1))
+        bad = 3 * empty**2 - 2 * empty**3
+        if n1 * (1 - bad) - 2 * math.sqrt(n1 * bad) >= needed:
+            break
+        n1 += 1
+    return n1, 3, 1
 
 
 @lru_cache(maxsize=100_000)
@@ -65,20 +81,31 @@ def band(size: int, percent: int) -> tuple[int, int, int]:
         number, low = number + 1, high + 1
 
 
-def _sign(shingles: np.ndarray, running: np.ndarray, tag: int, k: int) -> np.ndarray:
-    """Signatures of one sorted set for one band; ``running`` sums its mixed elements."""
-    n1, n2, k2 = choices(k)
+def _sign(shingles: np.ndarray, running: np.ndarray, tag: int, high: int, percent: int) -> np.ndarray:
+    """Signatures of one sorted set for one band; ``running`` sums its mixed elements.
+
+    A choice of cells without elements says nothing and would bring strangers together. It
+    is left out where the parts all of whose choices have elements are so many that the
+    differences cannot spoil them all. Of two similar sets only one need leave it out: one
+    of its parts then shows both the same elements.
+    """
+    k = differences(high, percent)
+    n1, n2, k2 = choices(k, high * percent * percent // 10_000)
     cells = n1 * n2
     with np.errstate(over="ignore"):
         starts = np.arange(1, cells, dtype=U64) * U64((2**64 - 1) // cells)
-        ends = running[np.concatenate([[0], np.searchsorted(shingles, starts), [len(shingles)]])]
-        sums = (ends[1:] - ends[:-1]).reshape(n1, n2)
+        edges = np.concatenate([[0], np.searchsorted(shingles, starts), [len(shingles)]])
+        ends = running[edges]
+        sums, sizes = (ends[1:] - ends[:-1]).reshape(n1, n2), np.diff(edges).reshape(n1, n2)
         if k2 == 1:
-            kept = sums.sum(axis=1, dtype=U64)[:, None] - sums
+            kept, filled = [x.sum(axis=1, dtype=x.dtype)[:, None] - x for x in (sums, sizes)]
         else:
-            kept = np.array([[sums[0, list(c)].sum(dtype=U64) for c in combinations(range(n2), n2 - k2)]], U64)
+            some = [list(c) for c in combinations(range(n2), n2 - k2)]
+            kept, filled = [np.array([[x[0, c].sum(dtype=x.dtype) for c in some]]) for x in (sums, sizes)]
         place = np.arange(kept.size, dtype=U64) + (U64(tag) << U64(32))
-        return mix(kept.ravel() + mix(place + U64(1)))
+        signed = mix(kept.ravel() + mix(place + U64(1)))
+    whole = (filled > 0).all(axis=1).sum()
+    return signed[filled.ravel() > 0] if whole * (k2 + 1) > k else signed
 
 
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -86,8 +113,8 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     number, high, next_high = band(len(shingles), percent)
     with np.errstate(over="ignore"):
         running = np.concatenate([np.zeros(1, U64), np.cumsum(mix(shingles), dtype=U64)])
-    own = _sign(shingles, running, number, differences(high, percent))
-    return np.concatenate([own, _sign(shingles, running, number + 1, differences(next_high, percent))])
+    own = _sign(shingles, running, number, high, percent)
+    return np.concatenate([own, _sign(shingles, running, number + 1, next_high, percent)])
 
 
 def shingle_sets(texts: list[bytes], length: int) -> Iterator[np.ndarray]:
@@ -103,22 +130,23 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def _set_table(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest and signatures; no digest where a text has no words."""
-    kind = pa.list_(pa.int64())
+def _set_table(docs: DataFrame, length: int, percent: int | None = None) -> DataFrame:
+    """doc_id, n_shingles and digest, and with ``percent`` signatures; none where a text has no words."""
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.int64())]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, signed = [], [], []
+            rows: list[list] = [[], [], []]
             for found in shingle_sets(_texts(batch), length):
-                sizes.append(len(found))
-                digests.append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
-                signed.append(signatures(found, percent).view(np.int64) if len(found) else None)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(signed, kind)], ["doc_id", "n_shingles", "digest", "signatures"])
+                rows[0].append(len(found))
+                rows[1].append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
+                if percent:
+                    rows[2].append(signatures(found, percent).view(np.int64) if len(found) else None)
+            columns = [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)][: 3 if percent else 2]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], NAMES[: len(columns) + 1])
 
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(sets, f"doc_id {id_kind}, n_shingles long, digest string, signatures array<long>")
+    kind = "doc_id long, n_shingles long, digest string" + ", signatures array<long>" * bool(percent)
+    return docs.mapInArrow(sets, kind)
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
@@ -292,7 +320,7 @@ def jaccard_components(
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    table = stage(_set_table(texts, length, percent), "sets")
+    table = stage(_set_table(texts, length), "sets")
     usable = table.filter("doc_id is not null and digest is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = stage(
@@ -300,7 +328,9 @@ def jaccard_components(
         .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), F.xxhash64("doc_id", "digest").alias("row")).distinct(),
         "copies",
     )
-    rows = usable.select("doc_id", "signatures", F.xxhash64("doc_id", "digest").alias("row"))
+    # Signatures are many times a set's size in bytes: they are made anew, not stored.
+    rows = _set_table(texts, length, percent).filter("doc_id is not null and digest is not null")
+    rows = rows.select("doc_id", "signatures", F.xxhash64("doc_id", "digest").alias("row"))
     one_each = rows.join(bounded(copies.select("row"), BROADCAST_IDS), "row", "left_anti")
     buckets = stage(_buckets(one_each.select("doc_id", "signatures")), "buckets")
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
