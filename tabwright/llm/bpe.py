@@ -25,7 +25,7 @@ from tabwright.llm.support import text_column, with_results
 LONG_BYTES = 1024
 # Rows times columns of one matrix, and pre-tokens remembered by a worker.
 MATRIX_CELLS = 2_000_000
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 NO_PAIR = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 

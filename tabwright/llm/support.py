@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 # Rows of one Arrow batch; a long text then meets few neighbours in a worker's memory.
-BATCH_ROWS = 1000
+BATCH_ROWS = 400
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
