@@ -8,9 +8,7 @@ score order give the two areas, exactly and without binning scores.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from math import isfinite
-from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -118,25 +116,23 @@ def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) ->
     ranges = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     )
-    ranged = ranges.transform(table)
-    totals = ranged.groupBy(*by, "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    higher = Window.partitionBy(*by).orderBy(F.desc("range"))
-    every = Window.partitionBy(*by)
-    keys = [*by, "range"]
+    # As fields of a struct, null ids equal one another, and one shuffle serves all that follows.
+    keys = ["_model", "range"] if by else ["range"]
+    ranged = ranges.transform(table.withColumn("_model", F.struct(*by)) if by else table)
+    totals = ranged.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    every = Window.partitionBy(*keys[:-1])
+    higher = every.orderBy(F.desc("range"))
     starts = totals.select(
-        *[F.col(k).alias(f"_start_{k}") for k in keys],
+        *keys,
         (F.sum("pos").over(higher) - F.col("pos")).alias("start_hits"),
         (F.sum("neg").over(higher) - F.col("neg")).alias("start_misses"),
         F.sum("pos").over(every).alias("all_pos"),
         F.sum("neg").over(every).alias("all_neg"),
     )
     so_far = (
-        Window.partitionBy(*by, "range")
-        .orderBy(F.desc("score"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    own = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys])
-    return ranged.join(starts, own).select(
+    return ranged.join(starts, keys).select(
         *table.columns,
         (F.col("start_hits") + F.sum("pos").over(so_far)).alias("hits"),
         (F.col("start_misses") + F.sum("neg").over(so_far)).alias("misses"),
