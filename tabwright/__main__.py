@@ -6,11 +6,11 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.fixed import MEDIAN_ERROR, SEED, TRIALS
+from tabwright.fixed import MEDIAN_ERROR, MODELS, SEED, TRIALS
 from tabwright.operators.search import best_model, compare_models
 from tabwright.operators.stats import preview, profile
 from tabwright.plans.clean import run_clean
-from tabwright.plans.train import MODELS, run_train
+from tabwright.plans.train import run_train
 from tabwright.plans.tune import run_tune
 from tabwright.sources.tables import read_csv
 

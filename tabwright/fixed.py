@@ -79,6 +79,12 @@ FOREST_SETTINGS = {"numTrees": 100, "maxDepth": 8}
 # Number of search trials per model.
 TRIALS = 6
 
+# Models, runs, artifacts and tags as the run log names them.
+MODELS = ["LogisticRegression", "RandomForest"]
+ARTIFACTS = {"LogisticRegression": "logistic-regression-model", "RandomForest": "random-forest-model"}
+SEARCH_RUN, FINAL_RUN, SELECTION_RUN = "Search_{}", "Final_{}", "Best_Model_Selection"
+SEARCH_TYPE, FINAL_TYPE = "hyperparameter_tuning", "final_model"
+
 
 @dataclass(frozen=True)
 class CustomerTable:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.fixed import CUSTOMERS, FOREST_SETTINGS, LOGISTIC_SETTINGS, CustomerTable
+from tabwright.fixed import ARTIFACTS, CUSTOMERS, FOREST_SETTINGS, LOGISTIC_SETTINGS, MODELS, CustomerTable
 from tabwright.operators.evaluate import metric_values
 from tabwright.operators.models import forest, logistic
 from tabwright.operators.search import model_metrics, refit, training_set
@@ -15,8 +15,6 @@ from tabwright.sources.runlog import log_run
 from tabwright.sources.tables import read_parquet
 
 EXPERIMENT = "Customer outcome"
-MODELS = ["LogisticRegression", "RandomForest"]
-ARTIFACTS = {"LogisticRegression": "logistic-regression-model", "RandomForest": "random-forest-model"}
 
 
 def run_train(

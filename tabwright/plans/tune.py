@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.fixed import CUSTOMERS, SEED, TRAIN_SHARE, TRIALS, CustomerTable
+from tabwright.fixed import (
+    CUSTOMERS,
+    FINAL_RUN,
+    FINAL_TYPE,
+    MODELS,
+    SEARCH_RUN,
+    SEARCH_TYPE,
+    SEED,
+    SELECTION_RUN,
+    TRAIN_SHARE,
+    TRIALS,
+    CustomerTable,
+)
 from tabwright.operators.encode import build_pipeline, training_weights
 from tabwright.operators.evaluate import METRICS, metric_values
 from tabwright.operators.models import PLACE, forest, logistic, row_place
@@ -22,7 +34,6 @@ from tabwright.operators.search import (
 )
 from tabwright.operators.split import VALIDATION_SALT, hash_split
 from tabwright.operators.stats import with_class_weight
-from tabwright.plans.train import MODELS
 from tabwright.scratch import scoped_staging, shared_folder, stage
 from tabwright.sizing import sized_shuffles
 from tabwright.sources.models import save_model
@@ -111,8 +122,8 @@ def _run_tune(
             spark,
             log_path,
             experiment,
-            f"Search_{name}",
-            tags={"model_type": name, "run_type": "hyperparameter_tuning"},
+            SEARCH_RUN.format(name),
+            tags={"model_type": name, "run_type": SEARCH_TYPE},
             params={**{f"best_{p}": v for p, v in settings[name].items()}, "num_tuning_trials": trials},
             metrics={f"best_validation_{m}": best[m] for m in METRICS},
             artifacts={"trials": trials_path},
@@ -128,8 +139,8 @@ def _run_tune(
             spark,
             log_path,
             experiment,
-            f"Final_{name}",
-            tags={"model_type": name, "run_type": "final_model"},
+            FINAL_RUN.format(name),
+            tags={"model_type": name, "run_type": FINAL_TYPE},
             params={**settings[name], "training_data": train_path, "test_data": test_path},
             metrics={f"test_{m}": v for m, v in metric_values(metrics).items()},
             artifacts={"model": save_model(model, f"{output_path}/models/{name}")},
@@ -141,7 +152,7 @@ def _run_tune(
         spark,
         log_path,
         experiment,
-        "Best_Model_Selection",
+        SELECTION_RUN,
         tags={k: r["value_str"] for (kind, k), r in record.items() if kind == "tag"},
         params={k: r["value_str"] for (kind, k), r in record.items() if kind == "param"},
         metrics={k: r["value_dbl"] for (kind, k), r in record.items() if kind == "metric"},

@@ -6,14 +6,14 @@ import pandas as pd
 import pytest
 
 from tabwright.__main__ import main
-from tabwright.fixed import CUSTOMERS
+from tabwright.fixed import CUSTOMERS, MODELS
 from tabwright.operators.evaluate import METRICS
 from tabwright.operators import search
 from tabwright.plans import clean as clean_plan
 from tabwright.plans import train as train_plan
 from tabwright.plans import tune as tune_plan
 from tabwright.plans.clean import run_clean
-from tabwright.plans.train import MODELS, run_train
+from tabwright.plans.train import run_train
 from tabwright.plans.tune import run_tune
 from tabwright.operators.search import Choice
 from tabwright.scratch import shared_folder
