@@ -11,9 +11,9 @@ where a set has too few others.
 
 Documents of one shingle set form a class first, and only its least id goes on. Members of
 a bucket (one signature) are compared with its least member, the pivot. Where that leaves a
-bucket in several components, its documents are compared in bounded blocks, each pair of
-blocks a task that gives no more links than join the components. Every link is checked on
-whole sets.
+bucket in several components, element counts in parts of the domain rule most pairs out.
+Documents that remain together are compared in bounded blocks, each pair of blocks a task
+that gives no more links than join the components. Every link is checked on whole sets.
 """
 
 from __future__ import annotations
@@ -36,9 +36,12 @@ from tabwright.scratch import stage
 
 # A list of ids is broadcast only when it was counted and is not longer than this.
 BROADCAST_IDS = 2_000_000
+BROADCAST_CLASSES = 500_000
 # Documents in a block of those that pivots leave open, and elements compared at a time.
 BLOCK_DOCS = 512
-CHUNK_ELEMENTS = 8192
+CHUNK_ELEMENTS = 2048
+# Parts of the domain whose element counts rule pairs out.
+COUNT_CELLS = 64
 U64 = np.uint64
 NAMES = ["doc_id", "n_shingles", "digest", "signatures"]
 
@@ -175,18 +178,31 @@ def _buckets(signed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(members, "signature long, pivot long, doc long")
 
 
+def cell_counts(shingles: np.ndarray) -> bytes:
+    """Elements of a sorted set in each of ``COUNT_CELLS`` equal parts of the domain, 255 at most."""
+    edges = np.searchsorted(shingles, np.arange(1, COUNT_CELLS, dtype=U64) * U64(2**64 // COUNT_CELLS))
+    counts = np.diff(np.concatenate([[0], edges, [len(shingles)]]))
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, length: int) -> DataFrame:
-    """doc and its whole set, for the listed ids."""
+    """doc, its whole set, the set's size and its cell counts, for the listed ids."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.view(np.int64) for s in shingle_sets(_texts(batch), length)]
-            columns = [batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles"])
+            found = list(shingle_sets(_texts(batch), length))
+            columns = [
+                batch.column("doc_id"),
+                pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
+                pa.array([len(s) for s in found], pa.int64()),
+                pa.array([cell_counts(s) for s in found], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "n", "counts"])
 
     listed = bounded(ids, BROADCAST_IDS)
     wanted = docs.join(listed, docs["doc_id"] == listed["doc"], "left_semi")
-    return wanted.mapInArrow(sets, "doc long, shingles array<long>").dropDuplicates(["doc"])
+    kind = "doc long, shingles array<long>, n long, counts binary"
+    return wanted.mapInArrow(sets, kind).dropDuplicates(["doc"])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,25 +218,97 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+class Bucket:
+    """Members of one bucket, and the edges between those that may be similar."""
+
+    def __init__(self, docs: np.ndarray, parts: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
+        self.docs, self.parts, self.sizes, self.counts = docs, parts, sizes, counts.astype(np.int16)
+
+    def edges(self, percent: int) -> list[tuple[int, int]]:
+        """As few as connect the members that may be similar across components.
+
+        Two sets differ in at least as many elements as their cell counts differ, so a pair
+        whose counts differ by more than similar sets may is none.
+        """
+        labels = np.arange(len(self.docs))
+        found = []
+        for i in range(len(self.docs) - 1):
+            if (labels == labels[0]).all():
+                break
+            for start in range(i + 1, len(self.docs), 4096):
+                rest = slice(start, start + 4096)
+                open_ = (labels[rest] != labels[i]) & (self.parts[rest] != self.parts[i])
+                apart = np.abs(self.counts[rest] - self.counts[i]).sum(axis=1)
+                allowed = (100 - percent) * (self.sizes[rest] + self.sizes[i]) // (100 + percent)
+                for j in np.flatnonzero(open_ & (apart <= allowed)) + start:
+                    if labels[j] != labels[i]:
+                        found.append((int(self.docs[i]), int(self.docs[j])))
+                        labels[labels == labels[j]] = labels[i]
+        return found
+
+
+def _edges_in_buckets(percent: int):
+    """Stream members sorted by signature; one bucket is held at a time."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+
+        def flush() -> list[tuple[int, int]]:
+            if not held:
+                return []
+            docs, parts, sizes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            return Bucket(docs, parts, sizes, counts).edges(percent)
+
+        def table(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+            u, v = zip(*rows, strict=True) if rows else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            found = []
+            signature, docs, parts, sizes = (batch.column(i).to_numpy() for i in range(4))
+            raw = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(-1, COUNT_CELLS)
+            cuts = [0, *(np.flatnonzero(signature[1:] != signature[:-1]) + 1), len(signature)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    if signature[a] != last:
+                        found += flush()
+                    last = signature[a]
+                    held.append((docs[a:b], parts[a:b], sizes[a:b], raw[a:b]))
+            yield table(found)
+        yield table(flush())
+
+    return edges
+
+
+def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """family, block, doc, component and size of the documents that the pivots did not settle.
 
-    A bucket is settled when all its members are in one component. Families are the
-    connected pieces of the other buckets; a family's members, ordered by set size, form
-    blocks of ``BLOCK_DOCS``.
+    A bucket is settled when all its members are in one component; of buckets with the same
+    members one is enough. In each other bucket, members that may be similar by their cell
+    counts are connected; families are the connected pieces. A family's members, ordered by
+    set size, form blocks of ``BLOCK_DOCS``.
     """
     found = components(links)
     known = stage(
         buckets.join(found, buckets["doc"] == found["node"], "left")
-        .select("signature", "pivot", "doc", F.coalesce("component", "doc").alias("component")),
+        .select("signature", "doc", F.coalesce("component", "doc").alias("component")),
         "known",
     )
-    spans = known.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = known.join(spans.filter("low < high").select("signature"), "signature")
-    families = stage(components(mixed.select(F.col("pivot").alias("u"), F.col("doc").alias("v"))), "families")
+    each = F.xxhash64("doc")
+    spans = known.groupBy("signature").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("members"), F.min(each).alias("a"), F.max(each).alias("b"), F.bit_xor(each).alias("c"),
+    )
+    mixed = spans.filter("low < high").groupBy("members", "a", "b", "c").agg(F.min("signature").alias("signature"))
+    open_ = known.join(mixed.select("signature"), "signature").join(sets.select("doc", "n", "counts"), "doc")
+    dealt = open_.select("signature", "doc", "component", "n", "counts").repartition("signature")
+    edges = dealt.sortWithinPartitions("signature", "doc").mapInArrow(_edges_in_buckets(percent), "u long, v long")
+    families = components(edges)
     of = families.select(F.col("node").alias("doc"), F.col("component").alias("family"))
     found = found.select(F.col("node").alias("doc"), "component")
-    rows = of.join(found, "doc", "left").join(sets.select("doc", F.size("shingles").alias("n")), "doc")
+    rows = of.join(found, "doc", "left").join(sets.select("doc", "n"), "doc")
     place = F.row_number().over(Window.partitionBy("family").orderBy("n", "doc")) - 1
     return rows.select(
         "family", F.floor(place / BLOCK_DOCS).alias("block"), "doc",
@@ -295,7 +383,7 @@ def _links_between_blocks(members: DataFrame, sets: DataFrame, percent: int) ->
             .otherwise(F.array(*[F.struct(F.col(c).alias("block"), F.lit(n).alias("side")) for c, n in (("i", 0), ("j", 1))]))
         ).alias("at"),
     ).select("family", "i", "j", "at.*")
-    rows = members.join(sides, ["family", "block"]).join(sets, "doc")
+    rows = members.join(sides, ["family", "block"]).join(sets.select("doc", "shingles"), "doc")
     grouped = rows.select("family", "i", "j", "side", "doc", "component", "shingles").groupBy("family", "i", "j")
     return grouped.applyInArrow(_compare(percent), "u long, v long")
 
@@ -322,10 +410,14 @@ def jaccard_components(
     )
     table = stage(_set_table(texts, length), "sets")
     usable = table.filter("doc_id is not null and digest is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    classes = stage(classes.filter("n > 1").drop("n"), "classes")
+    # Joined to stored classes, a class that holds a third of the rows can be split.
+    joined = table.join(bounded(classes, BROADCAST_CLASSES), "digest", "left")
+    node = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     copies = stage(
-        usable.select("doc_id", "digest").join(classes, "digest").filter("doc_id != least")
-        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), F.xxhash64("doc_id", "digest").alias("row")).distinct(),
+        joined.filter("doc_id != least")
+        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), F.xxhash64("doc_id", "digest").alias("row")),
         "copies",
     )
     # Signatures are many times a set's size in bytes: they are made anew, not stored.
@@ -338,11 +430,14 @@ def jaccard_components(
     sets = stage(_sets_of(texts, ids, length), "candidates")
     links = stage(_linked(pairs, sets, percent), "links")
 
-    members = stage(_members_to_compare(buckets, links, sets), "members")
+    members = stage(_members_to_compare(buckets, links, sets, percent), "members")
     links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
 
-    found = components(links.unionAll(copies.select("u", "v")))
-    out = table.select("doc_id", "n_shingles")
-    return out.join(found, out["doc_id"] == found["node"], "left").select(
-        F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    # A copy follows its class. Only an id that stands for several texts ties classes together.
+    texts_of = usable.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = texts_of.filter("low != high").select(F.col("doc_id").alias("u"))
+    found = components(links.unionAll(copies.select("u", "v").join(several, "u", "left_semi")))
+    out = joined.select("doc_id", "n_shingles", node.alias("class_id"))
+    return out.join(found, out["class_id"] == found["node"], "left").select(
+        F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "class_id").alias("component_id")
     )

@@ -81,6 +81,38 @@ def test_similar_sets_share_a_signature():
                 assert set(signatures(base, percent)) & set(signatures(other, percent)), (percent, size)
 
 
+def test_cell_counts_never_rule_out_similar_sets():
+    rng = np.random.default_rng(8)
+    for percent in (80, 90):
+        sets = []
+        for _ in range(12):
+            base = np.unique(rng.integers(0, 2**64, int(rng.integers(10, 400)), dtype=np.uint64))
+            for _ in range(4):
+                n = int(len(base) * rng.uniform(0, 0.2))
+                kept = np.delete(base, rng.choice(len(base), n, replace=False))
+                sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**64, n // 3, dtype=np.uint64)])))
+        counts = np.stack([np.frombuffer(jaccard.cell_counts(s), np.uint8) for s in sets])
+        ids = np.arange(len(sets))
+        edges = jaccard.Bucket(ids, ids, np.array([len(s) for s in sets]), counts).edges(percent)
+        label = ids.copy()
+        for a, b in edges:
+            label[label == label[b]] = label[a]
+        assert len(edges) < len(sets) - 1
+        for a in ids:
+            for b in ids[:a]:
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    assert label[a] == label[b]
+
+
+def test_edges_leave_no_similar_pair_apart_across_components():
+    """0 and 1 are of one component, so are 2 and 3; 0-2 and 1-3 may both be similar."""
+    counts = np.zeros((4, 64), np.uint8)
+    counts[[0, 2], 0], counts[[1, 3], 1] = 200, 200
+    bucket = jaccard.Bucket(np.arange(4), np.array([7, 7, 8, 8]), np.full(4, 200), counts)
+    assert {frozenset(e) for e in bucket.edges(90)} == {frozenset({0, 2}), frozenset({1, 3})}
+
+
 def test_bands_and_choices():
     for percent in (50, 80, 90):
         for size in range(1, 500):
@@ -116,6 +148,12 @@ def test_components(spark):
     assert got == {n: root(n) for a, b in links if a != b for n in (a, b)}
 
 
+def test_ids_of_several_texts_tie_them_together(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "e f g h"), (2, "e f g h"), (4, "i j k l"), (5, "i j k l")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(documents(spark, rows), 3, 90).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     texts = [None, "", " \t", "one", "ONE", "one two", "one two", long, long + " end", (5, "one two"), (None, "one two")]
