@@ -37,8 +37,10 @@ from tabwright.scratch import stage
 # A list of ids is broadcast only when it was counted and is not longer than this.
 BROADCAST_IDS = 2_000_000
 BROADCAST_CLASSES = 500_000
-# Documents in a block of those that pivots leave open, and elements compared at a time.
+# Most documents and elements in a block of those that pivots leave open (a longer one is
+# alone), and elements compared at a time.
 BLOCK_DOCS = 512
+BLOCK_ELEMENTS = 200_000
 CHUNK_ELEMENTS = 2048
 # Parts of the domain whose element counts rule pairs out.
 COUNT_CELLS = 64
@@ -205,6 +207,22 @@ def _sets_of(docs: DataFrame, ids: DataFrame, length: int) -> DataFrame:
     return wanted.mapInArrow(sets, kind).dropDuplicates(["doc"])
 
 
+def apart(first: pa.Array, second: pa.Array) -> pa.Array:
+    """In how many elements two sets differ at least, by their cell counts."""
+    a, b = [np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, COUNT_CELLS) for x in (first, second)]
+    return pa.array(np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64))
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and cell counts do not rule out; whole sets stay where they are."""
+    left = sets.select(F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("counts").alias("c_u"))
+    right = sets.select(F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("counts").alias("c_v"))
+    allowed = F.floor((F.col("n_u") + F.col("n_v")) * (100 - percent) / (100 + percent))
+    both = pairs.join(left, "u").join(right, "v")
+    differ = F.arrow_udf(apart, "long")(F.col("c_u"), F.col("c_v"))
+    return both.filter(differ <= allowed).select("u", "v")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough."""
     left = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
@@ -288,7 +306,7 @@ def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, p
     A bucket is settled when all its members are in one component; of buckets with the same
     members one is enough. In each other bucket, members that may be similar by their cell
     counts are connected; families are the connected pieces. A family's members, ordered by
-    set size, form blocks of ``BLOCK_DOCS``.
+    set size, form blocks of at most ``BLOCK_DOCS`` documents and ``BLOCK_ELEMENTS`` elements.
     """
     found = components(links)
     known = stage(
@@ -309,9 +327,11 @@ def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, p
     of = families.select(F.col("node").alias("doc"), F.col("component").alias("family"))
     found = found.select(F.col("node").alias("doc"), "component")
     rows = of.join(found, "doc", "left").join(sets.select("doc", "n"), "doc")
-    place = F.row_number().over(Window.partitionBy("family").orderBy("n", "doc")) - 1
+    # A block is full with BLOCK_DOCS small sets, or with fewer whose elements fill it.
+    weight = F.col("n") + BLOCK_ELEMENTS // BLOCK_DOCS
+    before = F.sum(weight).over(Window.partitionBy("family").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0))
     return rows.select(
-        "family", F.floor(place / BLOCK_DOCS).alias("block"), "doc",
+        "family", F.floor((before - weight) / BLOCK_ELEMENTS).alias("block"), "doc",
         F.coalesce("component", "doc").alias("component"), "n",
     )
 
@@ -428,7 +448,8 @@ def jaccard_components(
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
     ids = buckets.select("doc").unionAll(buckets.select(F.col("pivot").alias("doc"))).distinct()
     sets = stage(_sets_of(texts, ids, length), "candidates")
-    links = stage(_linked(pairs, sets, percent), "links")
+    possible = stage(_possible(pairs, sets, percent), "possible")
+    links = stage(_linked(possible, sets, percent), "links")
 
     members = stage(_members_to_compare(buckets, links, sets, percent), "members")
     links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
