@@ -3,8 +3,9 @@
 The vocabulary of a byte-pair tokenizer was learned from text that people write, so words,
 names and code pack into few tokens, while random keys fall apart into one or two
 characters a token. A long unbroken string with few characters per token is reported,
-unless it is of a known harmless form: a digest in hexadecimal or a UUID, a number, or an
-identifier put together from words.
+unless it is of a known harmless form: a digest in hexadecimal or a UUID, a number, an
+identifier put together from words, or letters set apart by marks. A run of 20 letters or
+more is no such word: there the tokens decide.
 """
 
 from __future__ import annotations
@@ -35,16 +36,22 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+# A run of letters too long to pass as a word untested.
+LONG_RUN = re.compile(r"[A-Za-z]{20}")
 # Words joined by marks, with numbers of up to four digits between or after them.
 IDENTIFIER = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/=+-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|(?<![0-9])[0-9]{1,4}(?![0-9])))*[_/=+-]*")
 
 
 def harmless(text: str) -> bool:
-    """Of a known form that is no secret: digest, UUID, number, identifier, or without digits."""
-    if not any(c.isdigit() for c in text) or not any(c.isalpha() for c in text):
+    """Of a known form that is no secret: digest, UUID, number, identifier, or letters among many marks."""
+    if not any(c.isalpha() for c in text):
         return True
     if UUID.fullmatch(text) or len(text) in DIGEST_LENGTHS and ALL_HEX.fullmatch(text):
         return True
+    if not any(c.isdigit() for c in text) and 3 * sum(not c.isalpha() for c in text) > len(text):
+        return True
+    if LONG_RUN.search(text):
+        return False
     # An identifier switches between letters and digits once per word; a key does so all the time.
     switches = sum(a.isdigit() != b.isdigit() for a, b in zip(text, text[1:], strict=False) if a.isalnum() and b.isalnum())
     return switches <= len(text) // 10 and IDENTIFIER.fullmatch(text) is not None

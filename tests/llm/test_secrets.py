@@ -48,6 +48,26 @@ def test_random_strings_are_found():
         assert sum(random_spans(f"here is {k} as given") == [k] for k in keys) > 195
 
 
+def test_random_letters_are_found():
+    rng = random.Random(3)
+    for letters in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase):
+        for size in (20, 32, 40):
+            keys = ["".join(rng.choice(letters) for _ in range(size)) for _ in range(200)]
+            assert sum(random_spans(f"here is {k} as given") == [k] for k in keys) > 160
+    # Two digits at the end do not make an identifier of such a run.
+    keys = ["".join(rng.choice(string.ascii_lowercase) for _ in range(24)) + "12" for _ in range(200)]
+    assert sum(random_spans(f"here is {k} as given") == [k] for k in keys) > 130
+
+
+def test_words_without_digits_are_not():
+    for text in (
+        "getElementsByTagNameAndClass", "Donaudampfschifffahrtsgesellschaft", "some_variable_name_of_words",
+        "com/services/webhook/handlers", "-----BEGIN-----CERTIFICATE-----", "a-b-c-d-e-f-g-h-i-j-k-l-m",
+        "electroencephalographically", "INTERNATIONALIZATION_TABLE", "=" * 30 + "x",
+    ):
+        assert random_spans(f"see {text} there") == [], text
+
+
 def test_ordinary_strings_are_not():
     for text in (
         "550e8400-e29b-41d4-a716-446655440000", "D41D8CD98F00B204E9800998ECF8427E", "my_long_variable_name_2",
