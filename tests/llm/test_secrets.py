@@ -68,6 +68,33 @@ def test_words_without_digits_are_not():
         assert random_spans(f"see {text} there") == [], text
 
 
+def test_names_glued_to_random_strings():
+    rng = random.Random(5)
+    for name in ("client_credentials_value=", "com/services/webhook/", "private_key=", "session_"):
+        for size in (20, 32):
+            keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size)) for _ in range(100)]
+            assert sum(random_spans(f"see {name}{k} there") == [k] for k in keys) >= 95, name
+            assert sum(random_spans(f"see {name}{k}/download/latest there") == [k] for k in keys) >= 95, name
+            both = [random_spans(f"see {name}{k}&other_long_name={j}") for k, j in zip(keys, keys[1:])]
+            assert sum(found == [k, j] for found, k, j in zip(both, keys, keys[1:])) >= 90, name
+    # Marks of base 64 do not split a key.
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(43)) + "=" for _ in range(200)]
+    assert sum(random_spans(f"see {k} there") == [k] for k in keys) >= 195
+
+
+def test_glued_ordinary_strings_are_not():
+    for text in (
+        "session/550e8400-e29b-41d4-a716-446655440000/of/the/user", "path/to/D41D8CD98F00B204E9800998ECF8427E/some/thing",
+        "blog/2024/01/01/some-title-of-a-post", "user_id=12345678901234567890123456", "com/services/webhook/incomprehensibilities",
+    ):
+        assert random_spans(f"see {text} there") == [], text
+
+
+def test_long_strings_are_quick():
+    for text in ("a/" * 100_000, "x9=" * 50_000, "zq9-the_" * 20_000, "0123456789abcdef01234567/" * 8_000):
+        finder(RANKS, PATTERN, 1.85).random_spans([text], [base_spans(text)])
+
+
 def test_ordinary_strings_are_not():
     for text in (
         "550e8400-e29b-41d4-a716-446655440000", "D41D8CD98F00B204E9800998ECF8427E", "my_long_variable_name_2",
