@@ -4,8 +4,9 @@ The field labels token runs, not tokens: a segment (from, to, kind) is scored on
 the whole span (its shape, digit groups, checksum, separators, the words beside it), and a
 dynamic programme over segments of at most ``MAX_TOKENS`` tokens finds the best set of
 non-overlapping entities, boundaries and kinds together. Tokens outside entities score 0.
-A segment must hold a digit, an at sign or the word for one, so the programme runs on the
-neighbourhoods of those only; elsewhere no entity is possible and the result is the same.
+A segment must hold a digit, an at sign, or the word for one before a dotted name, so the
+programme runs on the neighbourhoods of those only, with the words beside them; elsewhere no
+segment is possible and the result is the same.
 
 The weights are learned here by maximum likelihood (forward and backward sums over the same
 segments) from written-out training lines made from fixed patterns and a fixed seed.
@@ -80,7 +81,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # The field.
 
 MAX_TOKENS = 21
-TRIGGER = re.compile(r"[0-9]+|@|[\[({]\s?(?:at|AT)\s?[\])}]|(?<![^\W\d_])dot(?![^\W\d_])|(?<![^\W\d_])DOT(?![^\W\d_])")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL)
 # Text on each side of a trigger that a segment can reach.
 REACH = 120
@@ -98,6 +98,15 @@ WRITTEN_EMAIL = re.compile(
     r"(?:\s*(?:\.|[\[({]\s*dot\s*[\])}]|\sdot\s)\s*[A-Za-z0-9-]+)+",
     re.IGNORECASE,
 )
+# Every segment of a form above holds one of these: what WRITTEN_EMAIL has between the name
+# and the first part after a dot, or a digit. Spaces around "at" may be shared with others.
+TRIGGER = re.compile(
+    r"[0-9]+|@|(?:[\[({]\s{0,120}at\s{0,120}[\])}]|(?<=\s)at\s)\s{0,120}[A-Z0-9-]{1,120}"
+    r"(?=\s{0,120}(?:\.|[\[({]\s{0,120}dot\s{0,120}[\])}]|\sdot\s)\s{0,120}[A-Z0-9-])",
+    re.IGNORECASE,
+)
+# Tokens before a segment among which a cue is looked for.
+CUE_TOKENS = 4
 
 
 class Tokens:
@@ -114,7 +123,7 @@ class Tokens:
 
     def word_before(self, i: int) -> str:
         """The nearest word before token ``i``, if near."""
-        for j in range(i - 1, max(-1, i - 5), -1):
+        for j in range(i - 1, max(-1, i - CUE_TOKENS - 1), -1):
             if self.words[j]:
                 return self.text[self.starts[j] : self.ends[j]].lower()
         return ""
@@ -344,29 +353,54 @@ def train(seed: int = 7, n: int = 700, rounds: int = 6, rate: float = 0.5, penal
     return dict(weights)
 
 
+def token_before(text: str, end: int) -> int:
+    """Where the token (see ``TOKEN``) that ends at ``end`` begins."""
+    kind, start = kind_of(text[end - 1]), end - 1
+    while kind and start and kind_of(text[start - 1]) == kind:
+        start -= 1
+    return start
+
+
+def kind_of(c: str) -> int:
+    """0 for a character that is a token of its own."""
+    return 1 if c in "0123456789" else 2 if c.isspace() else 3 if c.isalnum() and not c.isdecimal() else 0
+
+
 def neighbourhoods(text: str) -> list[tuple[int, int]]:
-    """Stretches of text around digits, at signs and words for marks, merged where they meet."""
+    """Stretches of text around what segments must hold, merged where they meet.
+
+    They reach as far as a segment can, to the ends of words, and back over the tokens in
+    which a cue may be; a segment is seen there as in the whole text.
+    """
     found: list[list[int]] = []
     for m in TRIGGER.finditer(text):
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
         if found and a <= found[-1][1]:
+            found[-1][1] = max(b, found[-1][1])
+            continue
+        low = found[-1][1] if found else 0
+        # Whole words only: a stretch must not begin or end inside one.
+        while a > low and text[a - 1].isalnum() and text[a].isalnum():
+            a -= 1
+        for _ in range(CUE_TOKENS):
+            a = token_before(text, a) if a > low else a
+        if found and a <= low:
             found[-1][1] = b
         else:
             found.append([a, b])
-    return [(a, b) for a, b in found]
+    out: list[tuple[int, int]] = []
+    for a, b in found:
+        while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+            b += 1
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], b
+        else:
+            out.append((a, b))
+    return out
 
 
 def field_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
-    spans, done = [], 0
-    for a, b in neighbourhoods(text):
-        # Whole words only: a stretch must not begin or end inside one.
-        while a > done and text[a - 1].isalnum() and text[a].isalnum():
-            a -= 1
-        while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
-            b += 1
-        a, done = max(a, done), b
-        spans += [(s + a, kind, e + a) for s, kind, e in field.best(Tokens(text[a:b]))]
-    return spans
+    return [(s + a, kind, e + a) for a, b in neighbourhoods(text) for s, kind, e in field.best(Tokens(text[a:b]))]
 
 
 def all_spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

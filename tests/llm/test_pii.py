@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.llm.pii import (
-    KINDS, Field, Tokens, all_spans, base_spans, field_spans, find_personal_data, luhn, redacted, train, training_lines,
+    KINDS, Field, Tokens, all_spans, base_spans, field_spans, find_personal_data, luhn, neighbourhoods, redacted, train, training_lines,
 )
 from tests.llm.helpers import by_id, documents
 
@@ -68,6 +68,42 @@ def test_field_adds_to_base():
     assert redacted(text, more).startswith("call [PHONE] or write to [EMAIL], not 4111111111111112")
 
 
+def test_neighbourhoods_give_what_the_whole_text_gives():
+    field = Field(train())
+    for mail in (
+        "jane [At] example.com", "jane [ at ] example.org", "Jane At Example Dot Com", "jane.doe at example.com",
+        "jane {\t at  } example ( DOT ) org", "jane\u00a0at\u00a0example dot com",
+    ):
+        text = "word " * 60 + mail + " word" * 60
+        assert [(s + a, k, e + a) for a, b in neighbourhoods(text) for s, e, k in tokens_at(text, a, b)] == [
+            (s, k, e) for s, e, k in tokens_at(text, 0, len(text))
+        ] != []
+    rng = random.Random(6)
+    pieces = ["jane", "Doe", " at ", " At ", "[at]", "( aT )", "{ AT}", ".", " dot ", "(DOT)", "[ dot ]", " . ", "example", "com",
+              "12", "4111 1111 1111 1111", "(415) 555-0134", "1.2.3.4", "@", " ", "\n", "call ", "card: ", "email",
+              "mail" + " " * 50, "x" * 130, " words" * 22, "\u0663", "\u00b2", "_", "-", "at at "]
+    found = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 40)))
+        spans = field.best(Tokens(text))
+        assert field_spans(text, field) == spans, text
+        found += len(spans)
+    assert found > 1000
+
+
+def tokens_at(text, a, b):
+    """Every segment of a stretch of text: start, end and kind."""
+    tokens = Tokens(text[a:b])
+    return [(tokens.starts[i], tokens.ends[j - 1], kind) for i, j, kind in tokens.segments()]
+
+
+def test_written_addresses_away_from_digits():
+    field = Field(train())
+    for mail in ("jane [At] example.com", "jane [ at ] example.org", "Jane At Example Dot Com"):
+        text = "word " * 60 + mail + " word" * 60
+        assert [text[a:b] for a, _, b in field_spans(text, field)] == [mail]
+
+
 def test_programme_is_the_best_labelling():
     """Against all sets of non-overlapping segments."""
     field = Field(train())
