@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from tabwright.llm.support import id_text, prepare, text_column, text_or_empty
 
 FEATURES = 4096
-# Bounds of the sample that the classifiers are fitted on: languages, texts in all, and per language.
-MAX_LANGUAGES = 200
+# Bounds of the sample that the classifiers are fitted on: texts in all, and per language the
+# most and, whatever the sum, the least. Every language is a class.
 SAMPLE_TEXTS = 4000
-SAMPLE_PER_LANGUAGE = 800
+SAMPLE_PER_LANGUAGE, LEAST_PER_LANGUAGE = 800, 5
+# More classes than this get one draw of codewords, without comparing all pairs.
+COMPARED_CLASSES = 1000
 STEPS, RATE, PENALTY = 150, 30.0, 1e-5
 UNKNOWN = "und"
 SPACE = np.uint32(32)
@@ -66,6 +68,10 @@ def codewords(classes: int) -> np.ndarray:
     rng, best, widest = np.random.default_rng(17), None, -1
     for _ in range(200):
         code = rng.choice([-1.0, 1.0], (classes, bits))
+        if classes > COMPARED_CLASSES:
+            if len(np.unique(code, axis=0)) == classes:
+                return code
+            continue
         apart = (bits - code @ code.T) / 2 + np.eye(classes) * bits
         mixed = np.abs(code.sum(axis=0)).max() < classes
         if mixed and apart.min() > widest:
@@ -85,7 +91,9 @@ class Model:
     def predict(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class, its share of the evidence (0 to 1), and whether another is nearly as near."""
         margins = vectors @ self.weights + self.bias
-        losses = np.logaddexp(0, -margins[:, None, :] * self.code[None, :, :]) @ self.reliability
+        # The loss of a bit depends on the class by its sign only.
+        ups, downs = np.logaddexp(0, -margins) * self.reliability, np.logaddexp(0, margins) * self.reliability
+        losses = ups @ (self.code > 0).T + downs @ (self.code < 0).T
         first = losses.argmin(axis=1)
         shares = np.exp(losses.min(axis=1, keepdims=True) - losses)
         score = 1 / shares.sum(axis=1)
@@ -119,25 +127,26 @@ def learn(
 ) -> Model | None:
     """A model from a bounded sample of texts with a language and a letter, drawn by id.
 
-    At most ``MAX_LANGUAGES`` languages (the most frequent), ``SAMPLE_PER_LANGUAGE`` texts of
-    each and ``SAMPLE_TEXTS`` in all; None without any.
+    Every language is a class. At most ``SAMPLE_PER_LANGUAGE`` texts of each and
+    ``SAMPLE_TEXTS`` in all, but ``LEAST_PER_LANGUAGE`` of each where there are; None without any.
     """
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return None
     languages = sorted(r["lang"] for r in counts)
-    per_language = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_TEXTS // len(languages)))
-    # Twice the wanted share of each language by a draw from the id; of those, the first by draw.
+    per_language = max(LEAST_PER_LANGUAGE, min(SAMPLE_PER_LANGUAGE, SAMPLE_TEXTS // len(languages)))
+    # Twice the wanted share of each language and 20 by a draw from the id; of those, the first by draw.
     draw = F.pmod(F.xxhash64(id_text("id")), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * per_language / r["count"]))])
+    shares = [(r["lang"], min(1.0, (2 * per_language + 20) / r["count"])) for r in counts]
+    share = F.broadcast(spark.createDataFrame(shares, "lang string, share double"))
     order = Window.partitionBy("lang").orderBy("draw", "id", F.md5("text"))
     sample = (
-        labelled.withColumn("draw", draw)
-        .filter(F.col("draw") < F.coalesce(share[F.col("lang")], F.lit(0.0)) * 1_000_000)
+        labelled.withColumn("draw", draw).join(share, "lang")
+        .filter(F.col("draw") < F.col("share") * 1_000_000)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= per_language)
     )

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm.langid import codewords, fit, identify_languages, FEATURES
+from tabwright.llm.langid import codewords, fit, identify_languages, language_of, learn, FEATURES
 from tests.llm.helpers import documents
 
 
@@ -39,6 +39,19 @@ def test_codewords(classes):
         assert (np.abs(code.sum(axis=0)) < classes).all()
 
 
+def test_every_language_is_a_class(spark):
+    """More languages than 200, each of words of its own."""
+    rng = np.random.default_rng(3)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(4)] for _ in range(260)]
+    texts = [" ".join(rng.permutation(w * 3)) for w in words for _ in range(4)]
+    langs = [f"l{i:03d}" for i in range(260) for _ in range(4)]
+    docs = documents(spark, texts, langs=langs)
+    model = learn(docs)
+    assert model.languages == sorted(set(langs))
+    found = docs.select("lang", language_of(model)(F.col("text")).alias("found")).select("lang", "found.*").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) / len(found) > 0.97
+
+
 def test_wrong_bit_is_corrected():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(6, FEATURES)).astype(np.float32)
