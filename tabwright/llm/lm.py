@@ -245,7 +245,8 @@ def score_documents(
     sizes = texts.agg(*[F.sum(F.when(x, F.octet_length("text") + 16)).alias(n) for x, n in ((held, "held"), (~held & main, "train"), (deleted, "fold"))]).first()
     n_held, n_train, n_fold = [-(-(sizes[n] or 1) // block_bytes) for n in ("held", "train", "fold")]
     # Blocks: held-out ones first, then training ones, the deleted fold at the end.
-    spot = F.xxhash64(id_text("doc_id"))
+    # The text deals too, so that rows of one id (or none) do not fill a single block.
+    spot = F.xxhash64(id_text("doc_id"), F.col("text"))
     blocks = (
         F.when(held, F.pmod(spot, F.lit(n_held)))
         .when(main, F.pmod(spot, F.lit(n_train)) + n_held)

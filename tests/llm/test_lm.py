@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.llm import lm
 from tabwright.llm.lm import BUCKETS, learn_weights, score_documents
 from tests.llm.helpers import by_id, documents
 
@@ -106,3 +107,28 @@ def test_odd_rows(spark):
     assert by_text[5]["n_tokens"] == 60_001
     assert by_text[3]["base_score"] == pytest.approx(by_text[4]["base_score"])
     assert score_documents(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("one", [None, 7])
+def test_rows_of_one_id_fill_no_block(spark, monkeypatch, tmp_path, one):
+    """Blocks stay near ``block_bytes`` in every pass, and the scores are those of one block."""
+    docs = documents(spark, [(one, f"the word {i} and w{i % 7}") for i in range(600)] + [(i, "and the word") for i in range(30)])
+
+    folder = str(tmp_path)
+    ask = lm._ask
+    monkeypatch.setattr(lm, "_ask", lambda *args: spied(ask(*args), folder))
+    some = sorted((str(r["doc_id"]), r["n_known"], round(r["score"], 9)) for r in score_documents(docs, block_bytes=2000).collect())
+    assert max(map(int, (tmp_path / "sizes").read_text().split())) < 6000
+    monkeypatch.setattr(lm, "_ask", ask)
+    assert some == sorted((str(r["doc_id"]), r["n_known"], round(r["score"], 9)) for r in score_documents(docs).collect())
+
+
+def spied(ask, folder):
+    """``ask`` that notes the bytes of each block."""
+
+    def noted(group):
+        with open(f"{folder}/sizes", "a") as out:
+            out.write(f"{sum(len(t) for t in group.column('text').to_pylist())}\n")
+        return ask(group)
+
+    return noted
