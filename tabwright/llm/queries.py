@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import encode_documents
 from tabwright.llm.jaccard import jaccard_components
 from tabwright.llm.langid import identify_languages
+from tabwright.llm.lemp import hard_negatives
 from tabwright.llm.lm import score_documents
 from tabwright.llm.mixing import mix_sources
 from tabwright.llm.pii import find_personal_data
@@ -187,3 +189,29 @@ def op9_output_codes_lid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_interpolated_lm")
 def op10_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
+
+
+HARD_NEGATIVES_SQL = """
+with usable as (select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    list_transform(embedding, lambda x: floor(x::double * 256)) as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as alike,
+    list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+    from usable a join usable c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id and len(a.v) = len(c.v)),
+positives as (select * from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place
+    from scores where alike) where place <= 5),
+pairs as (select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id,
+    p.score as positive_score, n.score as negative_score
+    from positives p join scores n on p.anchor_id = n.anchor_id and not n.alike
+    and 80 * p.score <= 100 * n.score and n.score <= p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from (select *,
+    row_number() over (partition by anchor_id, positive_id order by negative_score desc, negative_id)::int as rank
+    from pairs) where rank <= 5"""
+
+
+@query("op11_lemp_hard_negatives", HARD_NEGATIVES_SQL)
+def op11_lemp_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), anchors=F.col("vec_id") % 100 == 0)
