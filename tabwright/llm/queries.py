@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -16,6 +17,7 @@ from tabwright.llm.lm import score_documents
 from tabwright.llm.mixing import mix_sources
 from tabwright.llm.pii import find_personal_data
 from tabwright.llm.quality import RULES, quality_rules
+from tabwright.llm.repair import damaged, repair_conversations, repair_summary
 from tabwright.llm.secrets import find_secrets
 from tabwright.llm.token_counts import count_tokens
 from tabwright.llm.vptree import nearest
@@ -215,3 +217,14 @@ def op11_lemp_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors.withColumn("label", label), anchors=F.col("vec_id") % 100 == 0)
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = repair_summary(repair_conversations(damaged(turns)), clustered=True).withColumnRenamed("conv_id", "of")
+    every = turns.select("conv_id").distinct()
+    # A conversation that lost all its rows has no edits.
+    nothing = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    nothing |= {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of").fillna(nothing)
