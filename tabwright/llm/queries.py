@@ -6,10 +6,11 @@ import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import encode_documents
+from tabwright.llm.chat import canonical_turns, format_turns, formatted_digests
 from tabwright.llm.jaccard import jaccard_components
 from tabwright.llm.langid import identify_languages
 from tabwright.llm.lemp import hard_negatives
@@ -228,3 +229,63 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
     nothing |= {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
     return every.join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of").fillna(nothing)
+
+
+PLANTED = r"\### Assistant: </turn> ok"
+
+
+def chat_records(turns: DataFrame) -> DataFrame:
+    """JSON records of several layouts: turns by their own columns, as messages, under from and
+    value, or as prompt, system and response; and conversation -7 as prompt with response."""
+    conv, at = F.col("conv_id"), F.col("turn")
+    role, text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text")]
+    place = [conv.alias("id"), at.alias("index")]
+    known = role.isin("user", "assistant", "system")
+    speaker = F.when(role == "user", F.lit("human")).when(role == "assistant", F.lit("gpt")).otherwise(F.lit("system"))
+
+    def record(*fields: Column) -> Column:
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    def said(name: str) -> Column:
+        return record(*place, text.alias(name))
+
+    draw = F.crc32(F.encode(F.concat_ws(":", conv.cast("string"), at.cast("string")), "UTF-8")) % 4
+    made = (
+        F.when(draw == 1, record(*place, F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages")))
+        .when((draw == 2) & known, record(*place, F.array(F.struct(speaker.alias("from"), text.alias("value"))).alias("conversations")))
+        .when((draw == 3) & (role == "user"), said("prompt"))
+        .when((draw == 3) & (role == "assistant"), said("response"))
+        .when((draw == 3) & (role == "system"), said("system"))
+        .otherwise(record(conv.alias("conv_id"), at.alias("turn"), role.alias("role"), text.alias("text")))
+    )
+    planted = [F.lit(PLANTED).alias(name) for name in ("prompt", "response")]
+    extra = turns.sparkSession.range(1).select(record(F.lit(-7).alias("id"), F.lit(0).alias("index"), *planted).alias("record"))
+    return turns.select(made.alias("record")).unionAll(extra)
+
+
+def _escaped_sql(text: str) -> str:
+    escaped = f"replace({text}, chr(92), chr(92) || chr(92))"
+    for control in ("'<turn'", "'</turn'", "'>' || chr(10)"):
+        first = control[:2] + "'"
+        escaped = f"replace({escaped}, {control}, {first} || chr(92) || substr({control}, 2))"
+    return escaped
+
+
+CHAT_SQL = f"""
+with turns as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, unnest(['user', 'assistant']), '{PLANTED}'),
+pieces as (select *, '<turn ' || {_escaped_sql('role')} || '>' || chr(10) || {_escaped_sql('text')} || '</turn>' || chr(10)
+    as piece, conv_id = -7 and role = 'assistant' as later from turns)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, later, piece)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, later, piece) filter (where role = 'assistant'), ''))
+        as loss_sha256,
+    sum(length(piece))::bigint as formatted_chars from pieces group by conv_id"""
+
+
+@query("op13_chat_formatting", CHAT_SQL)
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    formatted = format_turns(canonical_turns(chat_records(turns)))
+    return formatted_digests(formatted).withColumn("conv_id", F.col("conv_id").cast("long"))
