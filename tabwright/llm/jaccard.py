@@ -9,11 +9,13 @@ choice of ``n2 - k2`` cells. The cells left out may hold the differences, so two
 are similar enough share a signature: no link is lost. Choices of empty cells sign only
 where a set has too few others.
 
-Documents of one shingle set form a class first, and only its least id goes on. Members of
-a bucket (one signature) are compared with its least member, the pivot. Where that leaves a
-bucket in several components, element counts in parts of the domain rule most pairs out.
-Documents that remain together are compared in bounded blocks, each pair of blocks a task
-that gives no more links than join the components. Every link is checked on whole sets.
+Rows of one shingle set form a class, numbered by a hash of the set, and one row signs for
+it. Members of a bucket (one signature) are compared with its least member, the pivot. Where
+that leaves a bucket in several components, element counts in parts of the domain rule most
+pairs out. What remains together is compared on whole sets. Both steps deal a large bucket
+or family into bounded blocks, large components apart from the rest, and take up only pairs
+of blocks that more than one component is in; a pair of blocks gives no more links than
+join the components. Every link is checked on whole sets.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -37,15 +39,15 @@ from tabwright.scratch import stage
 # A list of ids is broadcast only when it was counted and is not longer than this.
 BROADCAST_IDS = 2_000_000
 BROADCAST_CLASSES = 500_000
-# Most documents and elements in a block of those that pivots leave open (a longer one is
-# alone), and elements compared at a time.
+# About how many members of a bucket are in a block, and documents and elements in a block
+# of whole sets (a longer set is alone); elements compared at a time.
+BUCKET_DOCS = 2048
 BLOCK_DOCS = 512
 BLOCK_ELEMENTS = 200_000
 CHUNK_ELEMENTS = 2048
 # Parts of the domain whose element counts rule pairs out.
 COUNT_CELLS = 64
 U64 = np.uint64
-NAMES = ["doc_id", "n_shingles", "digest", "signatures"]
 
 
 def differences(size: int, percent: int) -> int:
@@ -135,23 +137,68 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def _set_table(docs: DataFrame, length: int, percent: int | None = None) -> DataFrame:
-    """doc_id, n_shingles and digest, and with ``percent`` signatures; none where a text has no words."""
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.int64())]
+def node_of(shingles: np.ndarray, seed: int) -> int:
+    """The number of a set's class."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes(), seed)).view(np.int64))
+
+
+def _set_table(texts: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc_id, said, n_shingles, node and digest of each text; the last two are null without words."""
+    kinds = [pa.int64(), pa.int64(), pa.string()]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[], [], []]
             for found in shingle_sets(_texts(batch), length):
                 rows[0].append(len(found))
-                rows[1].append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
-                if percent:
-                    rows[2].append(signatures(found, percent).view(np.int64) if len(found) else None)
-            columns = [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)][: 3 if percent else 2]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], NAMES[: len(columns) + 1])
+                rows[1].append(node_of(found, seed) if len(found) else None)
+                rows[2].append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
+            columns = [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)]
+            names = ["doc_id", "said", "n_shingles", "node", "digest"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("said"), *columns], names)
+
+    return texts.mapInArrow(sets, "doc_id long, said long, n_shingles long, node long, digest string")
+
+
+def _signed(texts: DataFrame, length: int, percent: int, seed: int) -> DataFrame:
+    """The class and the signatures of each text that has words."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [s for s in shingle_sets(_texts(batch), length) if len(s)]
+            nodes = pa.array([node_of(s, seed) for s in found], pa.int64())
+            signed = pa.array([signatures(s, percent).view(np.int64) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([nodes, signed], ["node", "signatures"])
+
+    return texts.mapInArrow(sign, "node long, signatures array<long>")
 
-    kind = "doc_id long, n_shingles long, digest string" + ", signatures array<long>" * bool(percent)
-    return docs.mapInArrow(sets, kind)
+
+def _classes(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame, int]:
+    """The set of each text, the classes of equal sets, and a seed under which no two share a number.
+
+    A class has node, n (its rows) and its least doc_id with that row's said.
+    """
+    seed = 0
+    while True:
+        table = stage(_set_table(texts, length, seed), "sets")
+        one = F.min(F.struct("doc_id", "said")).alias("one")
+        spans = [F.min("digest").alias("low"), F.max("digest").alias("high")]
+        classes = table.filter("doc_id is not null and node is not null").groupBy("node").agg(one, F.count("*").alias("n"), *spans)
+        classes = stage(classes.select("node", "one.*", "n", "low", "high"), "classes")
+        if classes.filter("low != high").isEmpty():
+            return table, classes.drop("low", "high"), seed
+        seed += 1
+
+
+def _signers(texts: DataFrame, table: DataFrame, classes: DataFrame) -> DataFrame:
+    """One text per class: rows alone in theirs, and one of each class of several."""
+    several = bounded(stage(classes.filter("n > 1"), "several"), BROADCAST_CLASSES)
+    key = ["doc_id", "said"]
+    passed = table.join(several.select("node"), "node", "left_semi").select(*key).distinct()
+    alone = texts.join(bounded(stage(passed, "passed"), BROADCAST_IDS), key, "left_anti")
+    chosen = texts.join(several.select(*key), key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"))
+    columns = [*key, "text"]
+    return alone.select(*columns).unionAll(chosen.select(*columns))
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
@@ -175,7 +222,7 @@ def _buckets(signed: DataFrame) -> DataFrame:
             columns = [pa.array(x[keep]) for x in (sig, first, doc)]
             yield pa.RecordBatch.from_arrays(columns, ["signature", "pivot", "doc"])
 
-    flat = signed.select(F.explode("signatures").alias("signature"), F.col("doc_id").alias("doc"))
+    flat = signed.select(F.explode("signatures").alias("signature"), F.col("node").alias("doc"))
     dealt = flat.repartition("signature").sortWithinPartitions("signature", "doc")
     return dealt.mapInArrow(members, "signature long, pivot long, doc long")
 
@@ -187,22 +234,22 @@ def cell_counts(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, length: int) -> DataFrame:
-    """doc, its whole set, the set's size and its cell counts, for the listed ids."""
+def _sets_of(texts: DataFrame, classes: DataFrame, ids: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc (a class), its whole set, the set's size and its cell counts, for the listed classes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(_texts(batch), length))
             columns = [
-                batch.column("doc_id"),
+                pa.array([node_of(s, seed) for s in found], pa.int64()),
                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
                 pa.array([len(s) for s in found], pa.int64()),
                 pa.array([cell_counts(s) for s in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "n", "counts"])
 
-    listed = bounded(ids, BROADCAST_IDS)
-    wanted = docs.join(listed, docs["doc_id"] == listed["doc"], "left_semi")
+    listed = stage(classes.join(ids, classes["node"] == ids["doc"], "left_semi").select("doc_id", "said"), "listed")
+    wanted = texts.join(bounded(listed, BROADCAST_IDS), ["doc_id", "said"], "left_semi")
     kind = "doc long, shingles array<long>, n long, counts binary"
     return wanted.mapInArrow(sets, kind).dropDuplicates(["doc"])
 
@@ -217,7 +264,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that sizes and cell counts do not rule out; whole sets stay where they are."""
     left = sets.select(F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("counts").alias("c_u"))
     right = sets.select(F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("counts").alias("c_v"))
-    allowed = F.floor((F.col("n_u") + F.col("n_v")) * (100 - percent) / (100 + percent))
+    allowed = F.expr(f"(n_u + n_v) * {100 - percent} div {100 + percent}")
     both = pairs.join(left, "u").join(right, "v")
     differ = F.arrow_udf(apart, "long")(F.col("c_u"), F.col("c_v"))
     return both.filter(differ <= allowed).select("u", "v")
@@ -227,8 +274,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough."""
     left = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
     right = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("second"))
-    n, m = F.size("first"), F.size("second")
-    both = F.size(F.array_intersect("first", "second"))
+    n, m = F.size("first").cast("long"), F.size("second").cast("long")
+    both = F.size(F.array_intersect("first", "second")).cast("long")
     near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return (
         pairs.join(left, "u").join(right, "v").filter(near)
@@ -237,10 +284,17 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Bucket:
-    """Members of one bucket, and the edges between those that may be similar."""
-
-    def __init__(self, docs: np.ndarray, parts: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
-        self.docs, self.parts, self.sizes, self.counts = docs, parts, sizes, counts.astype(np.int16)
+    """Members of one bucket, or of two of its blocks, and the edges between those that may be similar."""
+
+    def __init__(
+        self, docs: np.ndarray, parts: np.ndarray, sizes: np.ndarray, counts: np.ndarray, sides: np.ndarray | None = None
+    ) -> None:
+        sides = np.zeros(len(docs), np.int64) if sides is None else sides
+        order = np.argsort(sides, kind="stable")
+        self.docs, self.parts, self.sizes = docs[order], parts[order], sizes[order]
+        self.counts = counts[order].astype(np.int16)
+        # Members of the first side meet all of the second, those of an only side the ones behind them.
+        self.first = int((sides == 0).sum()) if sides.any() else 0
 
     def edges(self, percent: int) -> list[tuple[int, int]]:
         """As few as connect the members that may be similar across components.
@@ -250,15 +304,15 @@ class Bucket:
         """
         labels = np.arange(len(self.docs))
         found = []
-        for i in range(len(self.docs) - 1):
-            if (labels == labels[0]).all():
-                break
-            for start in range(i + 1, len(self.docs), 4096):
-                rest = slice(start, start + 4096)
-                open_ = (labels[rest] != labels[i]) & (self.parts[rest] != self.parts[i])
-                apart = np.abs(self.counts[rest] - self.counts[i]).sum(axis=1)
-                allowed = (100 - percent) * (self.sizes[rest] + self.sizes[i]) // (100 + percent)
-                for j in np.flatnonzero(open_ & (apart <= allowed)) + start:
+        for i in range(self.first or len(self.docs) - 1):
+            begin = self.first or i + 1
+            rest = np.flatnonzero(self.parts[begin:] != self.parts[i]) + begin
+            rest = rest[labels[rest] != labels[i]]
+            for start in range(0, len(rest), 4096):
+                some = rest[start : start + 4096]
+                apart = np.abs(self.counts[some] - self.counts[i]).sum(axis=1)
+                allowed = (100 - percent) * (self.sizes[some] + self.sizes[i]) // (100 + percent)
+                for j in some[apart <= allowed]:
                     if labels[j] != labels[i]:
                         found.append((int(self.docs[i]), int(self.docs[j])))
                         labels[labels == labels[j]] = labels[i]
@@ -266,7 +320,7 @@ class Bucket:
 
 
 def _edges_in_buckets(percent: int):
-    """Stream members sorted by signature; one bucket is held at a time."""
+    """Stream members sorted by bucket and pair of blocks; one pair is held at a time."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -275,9 +329,9 @@ def _edges_in_buckets(percent: int):
         def flush() -> list[tuple[int, int]]:
             if not held:
                 return []
-            docs, parts, sizes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            docs, parts, sizes, counts, sides = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            return Bucket(docs, parts, sizes, counts).edges(percent)
+            return Bucket(docs, parts, sizes, counts, sides).edges(percent)
 
         def table(rows: list[tuple[int, int]]) -> pa.RecordBatch:
             u, v = zip(*rows, strict=True) if rows else ((), ())
@@ -285,28 +339,75 @@ def _edges_in_buckets(percent: int):
 
         for batch in batches:
             found = []
-            signature, docs, parts, sizes = (batch.column(i).to_numpy() for i in range(4))
+            key = np.stack([batch.column(c).to_numpy() for c in ("signature", "i", "j")], axis=1)
+            docs, parts, sizes, sides = [batch.column(c).to_numpy() for c in ("doc", "component", "n", "side")]
             raw = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(-1, COUNT_CELLS)
-            cuts = [0, *(np.flatnonzero(signature[1:] != signature[:-1]) + 1), len(signature)]
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(key)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b > a:
-                    if signature[a] != last:
+                    if tuple(key[a]) != last:
                         found += flush()
-                    last = signature[a]
-                    held.append((docs[a:b], parts[a:b], sizes[a:b], raw[a:b]))
+                    last = tuple(key[a])
+                    held.append((docs[a:b], parts[a:b], sizes[a:b], raw[a:b], sides[a:b]))
             yield table(found)
         yield table(flush())
 
     return edges
 
 
+def _in_blocks(rows: DataFrame, key: str, limit: int, percent: int) -> DataFrame:
+    """``rows`` of (key, doc, component, n, weight) in pairs of blocks (i, j) with their side.
+
+    A group of rows with one key and a weight above ``limit`` is dealt into blocks of about
+    that weight: a component that fills a block has blocks of its own, the others share
+    theirs. Pairs of blocks come up when more than one component and sizes near enough are
+    in them. A row is in as many pairs as its block.
+    """
+    per = rows.groupBy(key, "component").agg(F.sum("weight").alias("own"))
+    totals = per.groupBy(key).agg(
+        F.sum("own").alias("total"), F.sum(F.when(F.col("own") < limit, F.col("own"))).alias("pooled")
+    )
+    large = totals.filter(F.col("total") > limit).drop("total")
+    filled = F.col("own") >= limit
+    parts = F.ceil(F.when(filled, F.col("own")).otherwise(F.col("pooled")) / limit)
+    large = stage(per.join(large, key).select(key, "component", filled.alias("filled"), parts.alias("parts")), "large")
+    whole = {c: F.lit(0).cast("long") for c in ("i", "j", "side")}
+    if large.isEmpty():
+        return rows.withColumns(whole)
+    dealt = rows.join(bounded(large, BROADCAST_CLASSES), [key, "component"], "left")
+    place = F.pmod(F.xxhash64("doc"), F.col("parts"))
+    # Only a label: two blocks of one label are one block.
+    label = F.when(F.col("filled"), F.xxhash64("component", place)).otherwise(place)
+    dealt = stage(dealt.select(*rows.columns, F.when(F.col("parts").isNotNull(), label).alias("block")), "dealt")
+    small = dealt.filter("block is null").drop("block").withColumns(whole)
+    dealt = dealt.filter("block is not null")
+    blocks = dealt.groupBy(key, "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("component").alias("first"), F.max("component").alias("last"),
+    )
+    blocks = stage(blocks, "blocks")
+    names = ("block", "low", "high", "first", "last")
+    one, other = [blocks.select(key, *[F.col(c).alias(f"{c}_{side}") for c in names]) for side in (0, 1)]
+    meet = one.join(other, key).filter(
+        f"block_0 <= block_1 and low_1 * {percent} <= high_0 * 100 and low_0 * {percent} <= high_1 * 100 "
+        "and least(first_0, first_1) < greatest(last_0, last_1)"
+    )
+    places = meet.select(key, F.col("block_0").alias("i"), F.col("block_1").alias("j"))
+
+    def at(column: str, side: int) -> Column:
+        return F.struct(F.col(column).alias("block"), F.lit(side).cast("long").alias("side"))
+
+    both = F.when(F.col("i") == F.col("j"), F.array(at("i", 0))).otherwise(F.array(at("i", 0), at("j", 1)))
+    sides = stage(places.select(key, "i", "j", F.explode(both).alias("at")).select(key, "i", "j", "at.*"), "sides")
+    return small.unionByName(dealt.join(sides, [key, "block"]).drop("block"))
+
+
 def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """family, block, doc, component and size of the documents that the pivots did not settle.
+    """family, doc, component, n and weight of the documents that the pivots did not settle.
 
     A bucket is settled when all its members are in one component; of buckets with the same
-    members one is enough. In each other bucket, members that may be similar by their cell
-    counts are connected; families are the connected pieces. A family's members, ordered by
-    set size, form blocks of at most ``BLOCK_DOCS`` documents and ``BLOCK_ELEMENTS`` elements.
+    members one is enough. In each other bucket, members of unlike components that may be
+    similar by their cell counts are connected; families are the connected pieces.
     """
     found = components(links)
     known = stage(
@@ -320,20 +421,19 @@ def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, p
         F.count("*").alias("members"), F.min(each).alias("a"), F.max(each).alias("b"), F.bit_xor(each).alias("c"),
     )
     mixed = spans.filter("low < high").groupBy("members", "a", "b", "c").agg(F.min("signature").alias("signature"))
-    open_ = known.join(mixed.select("signature"), "signature").join(sets.select("doc", "n", "counts"), "doc")
-    dealt = open_.select("signature", "doc", "component", "n", "counts").repartition("signature")
-    edges = dealt.sortWithinPartitions("signature", "doc").mapInArrow(_edges_in_buckets(percent), "u long, v long")
+    open_ = known.join(mixed.select("signature"), "signature").join(sets.select("doc", "n"), "doc")
+    open_ = stage(open_.select("signature", "doc", "component", "n", F.lit(1).alias("weight")), "open")
+    pairs = _in_blocks(open_, "signature", BUCKET_DOCS, percent).join(sets.select("doc", "counts"), "doc")
+    order = ["signature", "i", "j"]
+    dealt = pairs.select(*order, "side", "doc", "component", "n", "counts").repartition(*order)
+    edges = dealt.sortWithinPartitions(*order, "side", "doc").mapInArrow(_edges_in_buckets(percent), "u long, v long")
     families = components(edges)
     of = families.select(F.col("node").alias("doc"), F.col("component").alias("family"))
     found = found.select(F.col("node").alias("doc"), "component")
     rows = of.join(found, "doc", "left").join(sets.select("doc", "n"), "doc")
     # A block is full with BLOCK_DOCS small sets, or with fewer whose elements fill it.
     weight = F.col("n") + BLOCK_ELEMENTS // BLOCK_DOCS
-    before = F.sum(weight).over(Window.partitionBy("family").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.select(
-        "family", F.floor((before - weight) / BLOCK_ELEMENTS).alias("block"), "doc",
-        F.coalesce("component", "doc").alias("component"), "n",
-    )
+    return rows.select("family", "doc", F.coalesce("component", "doc").alias("component"), "n", weight.alias("weight"))
 
 
 def _compare(percent: int):
@@ -353,14 +453,14 @@ def _compare(percent: int):
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == sides.max())
-        both = np.zeros((len(left), len(right)), np.float32)
+        both = np.zeros((len(left), len(right)), np.float64)
         for start in range(0, int(shared.sum()), CHUNK_ELEMENTS):
             a, b = np.searchsorted(column, [start, start + CHUNK_ELEMENTS])
             there = np.zeros((len(docs), CHUNK_ELEMENTS), np.float32)
             there[row[a:b], column[a:b] - start] = 1
             both += there[left] @ there[right].T
         union = sizes[left][:, None] + sizes[right][None, :] - both
-        near = (both * 100 >= union * percent) & (parts[left][:, None] != parts[right][None, :])
+        near = (both * 100.0 >= union * float(percent)) & (parts[left][:, None] != parts[right][None, :])
         roots = {int(p): int(p) for p in parts}
 
         def root(x: int) -> int:
@@ -383,27 +483,7 @@ def _compare(percent: int):
 
 def _links_between_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that pivots did not find: blocks of a family against one another, on whole sets."""
-    blocks = members.groupBy("family", "block").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"),
-        F.min("component").alias("first"), F.max("component").alias("last"),
-    )
-    one, other = [
-        blocks.select("family", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high", "first", "last")])
-        for side in (0, 1)
-    ]
-    # Sizes rise with the blocks; blocks too far apart in size, or of one component, hold no new link.
-    meet = one.join(other, "family").filter(
-        "block_0 <= block_1 and low_1 * %d <= high_0 * 100 and least(first_0, first_1) < greatest(last_0, last_1)" % percent
-    )
-    places = meet.select("family", F.col("block_0").alias("i"), F.col("block_1").alias("j"))
-    sides = places.select(
-        "family", "i", "j",
-        F.explode(
-            F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("block"), F.lit(0).alias("side"))))
-            .otherwise(F.array(*[F.struct(F.col(c).alias("block"), F.lit(n).alias("side")) for c, n in (("i", 0), ("j", 1))]))
-        ).alias("at"),
-    ).select("family", "i", "j", "at.*")
-    rows = members.join(sides, ["family", "block"]).join(sets.select("doc", "shingles"), "doc")
+    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(sets.select("doc", "shingles"), "doc")
     grouped = rows.select("family", "i", "j", "side", "doc", "component", "shingles").groupBy("family", "i", "j")
     return grouped.applyInArrow(_compare(percent), "u long, v long")
 
@@ -421,44 +501,40 @@ def jaccard_components(
     100 * intersection >= ``percent`` * union. component_id is the least id reachable by
     links. A text with fewer words is one shingle. Null and wordless texts have the empty
     set and link with nothing. Ids are integers; a row with a null id links with nothing
-    and has no component; rows with equal ids are one document and repeat in the result.
-    Other columns are not read. An empty table gives no rows.
+    and has no component; rows with equal ids are one document, linked by each of its texts,
+    and repeat in the result. Other columns are not read. An empty table gives no rows.
     """
-    spark = prepare(docs.sparkSession)
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
-    table = stage(_set_table(texts, length), "sets")
-    usable = table.filter("doc_id is not null and digest is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    classes = stage(classes.filter("n > 1").drop("n"), "classes")
-    # Joined to stored classes, a class that holds a third of the rows can be split.
-    joined = table.join(bounded(classes, BROADCAST_CLASSES), "digest", "left")
-    node = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    copies = stage(
-        joined.filter("doc_id != least")
-        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"), F.xxhash64("doc_id", "digest").alias("row")),
-        "copies",
-    )
+    prepare(docs.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    rows = rows.withColumn("said", F.xxhash64("text"))
+    table, classes, seed = _classes(rows, length)
+    texts = rows.filter("doc_id is not null")
     # Signatures are many times a set's size in bytes: they are made anew, not stored.
-    rows = _set_table(texts, length, percent).filter("doc_id is not null and digest is not null")
-    rows = rows.select("doc_id", "signatures", F.xxhash64("doc_id", "digest").alias("row"))
-    one_each = rows.join(bounded(copies.select("row"), BROADCAST_IDS), "row", "left_anti")
-    buckets = stage(_buckets(one_each.select("doc_id", "signatures")), "buckets")
+    signers = _signers(texts, table, classes)
+    buckets = stage(_buckets(_signed(signers, length, percent, seed)), "buckets")
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
     ids = buckets.select("doc").unionAll(buckets.select(F.col("pivot").alias("doc"))).distinct()
-    sets = stage(_sets_of(texts, ids, length), "candidates")
+    sets = stage(_sets_of(texts, classes, ids, length, seed), "candidates")
     possible = stage(_possible(pairs, sets, percent), "possible")
     links = stage(_linked(possible, sets, percent), "links")
 
     members = stage(_members_to_compare(buckets, links, sets, percent), "members")
     links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
 
-    # A copy follows its class. Only an id that stands for several texts ties classes together.
-    texts_of = usable.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    several = texts_of.filter("low != high").select(F.col("doc_id").alias("u"))
-    found = components(links.unionAll(copies.select("u", "v").join(several, "u", "left_semi")))
-    out = joined.select("doc_id", "n_shingles", node.alias("class_id"))
-    return out.join(found, out["class_id"] == found["node"], "left").select(
-        F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "class_id").alias("component_id")
+    # An id that stands for several texts ties their classes together.
+    usable = table.filter("doc_id is not null and node is not null")
+    several = usable.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
+    ties = usable.join(bounded(stage(several, "several"), BROADCAST_IDS), "doc_id").select(F.col("node").alias("u"), F.col("low").alias("v"))
+    found = components(links.unionAll(ties))
+    # Components go by their least id.
+    named = found.join(classes, "node").select("node", "component", "doc_id")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = named.join(least, "component").select("node", "component_id")
+    alone = classes.filter("n > 1").select("node", F.col("doc_id").alias("own"))
+    names = stage(alone.join(linked, "node", "full").select("node", F.coalesce("component_id", "own").alias("component_id")), "names")
+    # Joined to stored names, a class that holds a third of the rows can be split.
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return table.join(bounded(names, BROADCAST_CLASSES), "node", "left").select(
+        F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id")
     )

@@ -49,6 +49,8 @@ def test_given_documents(spark, sf_dir):
 @pytest.mark.parametrize("block_docs", [3, 512])
 def test_families_of_near_copies(spark, monkeypatch, block_docs):
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", block_docs)
+    monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 400 * block_docs)
+    monkeypatch.setattr(jaccard, "BUCKET_DOCS", block_docs)
     rng = random.Random(block_docs)
     texts = []
     for family in range(6):
@@ -154,6 +156,63 @@ def test_ids_of_several_texts_tie_them_together(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
 
 
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_near_copies_of_both_texts_of_an_id(spark, parts):
+    """An id with the texts A and B, a near copy of A and one of B: one component, on any layout."""
+    rng = random.Random(11)
+    rows = []
+    for group in range(40):
+        a, b = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(2)]
+        for at, words in ((1, a), (1, b), (2, [*a, "end"]), (3, [*b, "end"])):
+            rows.append((10 * group + at, " ".join(words)))
+    rng.shuffle(rows)
+    docs = documents(spark, rows).repartition(parts)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs, 5, 80).collect()}
+    assert got == {i: i // 10 * 10 + 1 for i, _ in rows}
+
+
+def test_numbers_of_classes_are_drawn_anew_if_two_share_one(spark, monkeypatch):
+    real = jaccard.node_of
+    monkeypatch.setattr(jaccard, "node_of", lambda shingles, seed: real(shingles, seed) if seed else len(shingles))
+    rows = [(1, "a b c d"), (2, "e f g h"), (3, "A b c d"), (4, "e f g h i j k l m n o p"), (5, "")]
+    docs = documents(spark, rows)
+    table, classes, seed = jaccard._classes(docs.withColumn("said", F.xxhash64("text")), 3)
+    assert seed == 1 and classes.count() == 3 and table.count() == 5
+
+
+def test_blocks_bring_all_components_together(spark):
+    """Every pair of documents of one key and of unlike components and near sizes is in some pair of blocks."""
+    rng = random.Random(6)
+    rows = [(key, doc, 7 if doc < 60 else doc, 100 + rng.randrange(60), 1) for key in (1, 2) for doc in range(60 + 25 * key)]
+    rows += [(3, 0, 0, 100, 1), (3, 1, 1, 100, 1)]
+    table = spark.createDataFrame(rows, "k long, doc long, component long, n long, weight long")
+    dealt = jaccard._in_blocks(table, "k", 10, 80).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r["k"], r["i"], r["j"]), {}).setdefault(r["side"], []).append(r)
+    met = set()
+    for (key, i, j), sides in groups.items():
+        assert max(len(x) for x in sides.values()) <= 25
+        left, right = sides[0], sides.get(1, sides[0])
+        met |= {(key, *sorted((a["doc"], b["doc"]))) for a in left for b in right if a["component"] != b["component"]}
+    wanted = {
+        (k, a, b) for k, a, p, n, _ in rows for k2, b, q, m, _ in rows
+        if k == k2 and a < b and p != q and 100 * min(n, m) >= 80 * max(n, m)
+    }
+    assert wanted <= met
+    # Blocks of the large component alone are not compared among themselves.
+    assert not any(all(r["component"] == 7 for s in sides.values() for r in s) for sides in groups.values())
+
+
+def test_one_outsider_in_a_hot_bucket(spark):
+    """20,000 members of one component and one outsider: only the outsider's block meets the others."""
+    rows = [(1, doc, 0 if doc else 1, 500, 1) for doc in range(20_000)]
+    table = spark.createDataFrame(rows, "signature long, doc long, component long, n long, weight long")
+    dealt = jaccard._in_blocks(table, "signature", 2048, 90)
+    sizes = dealt.groupBy("i", "j").count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 2 * 2048
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     texts = [None, "", " \t", "one", "ONE", "one two", "one two", long, long + " end", (5, "one two"), (None, "one two")]
