@@ -4,7 +4,9 @@ from catalog import (  # noqa: F401
     cleaning,
     evaluation,
     features,
+    forests,
     modelling,
+    penalties,
     scans,
     search,
     splits,

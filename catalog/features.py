@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.registry import DIRTY_SQL, dirty, query, table
 from catalog.splits import IN_TRAIN
 from tabwright.operators.clean import blanks_to_null, trim_strings
-from tabwright.operators.encode import feature_stages
+from tabwright.operators.encode import feature_stages, index_categories
 from tabwright.operators.split import hash_split
 
 # Ranks of a category: most frequent first, ties in alphabetical order.
@@ -39,6 +39,20 @@ def string_index(spark, sf_dir):
     return _fitted(_segments(spark, sf_dir), "cust_id").select("cust_id", "segment_index")
 
 
+@query(
+    "string_index_distributed",
+    """with ranks as (select p, row_number() over (order by count(*) desc, p) - 1 as pos
+      from (select case when l_partkey % 7 > 0 then l_partkey::varchar end as p from lineitem) where p is not null group by p)
+    select l_orderkey, l_linenumber, l_partkey, coalesce(pos, (select count(*) from ranks))::double as part_index
+    from lineitem left join ranks on p = l_partkey::varchar""",
+)
+def string_index_distributed(spark, sf_dir):
+    """Many categories: ranked in ranges and joined to the rows, none of them on the driver."""
+    part = F.when(F.col("l_partkey") % 7 > 0, F.col("l_partkey").cast("string"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", part.alias("part"))
+    return index_categories(rows, ["part"], on_driver=0).drop("part")
+
+
 def _slots(vector):
     """The filled slots of a vector column as (slot, value), in order."""
     placed = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))

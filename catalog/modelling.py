@@ -75,10 +75,10 @@ def _planted_parts(spark, sf_dir):
 
 NOISE_SQL = """('0x' || substr(md5(concat_ws('|', 'noise', l_orderkey::varchar, l_linenumber::varchar,
     l_partkey::varchar)), 1, 8))::bigint / 4294967296::double"""
-PLANTED_SQL = f"""{LINES_SQL}, planted as (select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity,
-    case when {NOISE_SQL} * 60 < l_quantity then 1 else 0 end as label from lines),
-    train as (select * from planted where {TRAIN_ROWS}), test as (select * from planted where not {TRAIN_ROWS}),
+PARTS_SQL = f"""train as (select * from planted where {TRAIN_ROWS}), test as (select * from planted where not {TRAIN_ROWS}),
     tuning as (select * from train where {TUNING_ROWS}), validation as (select * from train where not {TUNING_ROWS})"""
+PLANTED_SQL = f"""{LINES_SQL}, planted as (select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity,
+    case when {NOISE_SQL} * 60 < l_quantity then 1 else 0 end as label from lines), {PARTS_SQL}"""
 
 
 def _rates_sql(column: str, rows: str = "train") -> str:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from catalog.registry import DIRTY_SQL, dirty, query, table
 from tabwright.operators.stats import preview, profile
 from tabwright.scratch import checkpoint, persisted, scratch_path, stage
-from tabwright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
+from tabwright.sources.tables import read_csv, read_parquet, write_csv, write_parquet, write_together
 
 CUSTOMER_TYPES = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
@@ -48,6 +51,25 @@ def parquet_roundtrip(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+@query(
+    "versioned_tables",
+    """select o_orderkey, o_orderstatus, case when o_orderkey % 5 = 0 then 'test' else 'train' end as part, 2::bigint as version
+    from orders""",
+)
+def versioned_tables(spark, sf_dir):
+    """Two tables that change together, written twice; a third version dies half-way and must not show."""
+    root = scratch_path(spark, "versions")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    split = {"test": orders.filter("o_orderkey % 5 = 0"), "train": orders.filter("o_orderkey % 5 > 0")}
+    write_together({name: df.limit(10) for name, df in split.items()}, root)
+    version = write_together(split, root)
+    broken = split["train"].withColumn("o_orderkey", F.raise_error(F.lit("lost")).cast("long"))
+    with suppress(PySparkException):
+        write_together({"test": split["test"].limit(1), "train": broken}, root)
+    parts = [read_parquet(spark, f"{root}/{name}").withColumn("part", F.lit(name)) for name in split]
+    return parts[0].unionByName(parts[1]).withColumn("version", F.lit(version).cast("long"))
+
+
 @query(
     "profile",
     f"""with {DIRTY_SQL}

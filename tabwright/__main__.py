@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--blank-as-null", action="store_true", help="fill blank categories too")
             command.add_argument("--keep-key", action="store_true", help="keep the key column in both tables")
             command.add_argument("--seed", type=int, default=SEED, help="seed of the split")
+            command.add_argument("--versioned", action="store_true", help="write both tables as one new version")
         if name in ("train", "tune", "daily"):
             command.add_argument("--fit-pieces", type=int, help="pieces that fits deal the training rows into")
             command.add_argument("--max-categories", type=int, help="refuse columns with more categories")
@@ -73,6 +74,7 @@ def main(arguments: list[str] | None = None) -> None:
             blank_as_null=args.blank_as_null,
             keep_key=args.keep_key,
             refuse_blanks=args.command == "daily",
+            versioned=args.versioned,
         ).orderBy("part", "label").show()
     fits = {}
     if args.command in ("train", "tune", "daily"):

@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.operators.ranges import numbered
 from tabwright.operators.stats import weights_from_counts
+from tabwright.scratch import stage
 
 RAW_VECTOR = "unscaled_features"
 SCALED_VECTOR = "features"
+# Categories of a column that the driver may list; more stay a distributed table.
+DRIVER_CATEGORIES = 100_000
 
 
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bool = True) -> list:
@@ -37,6 +41,42 @@ def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bo
     return stages
 
 
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """category, rows and index (from 0) of every category of a column, staged.
+
+    Frequent ones come first, ties in the order of code points, as the indexer stage has it.
+    Nulls are no category. Nothing is gathered: categories are dealt by range.
+    """
+    category = F.col(column).cast("string").alias("category")
+    counts = df.select(category).filter("category is not null").groupBy("category").agg(F.count("*").alias("rows"))
+    order = [F.desc("rows"), "category"]
+    return stage(numbered(stage(counts, "categories"), order, "index"), "categories")
+
+
+def index_categories(
+    df: DataFrame, columns: Sequence[str], on_driver: int = DRIVER_CATEGORIES, suffix: str = "_index"
+) -> DataFrame:
+    """``df`` with the index of each column's category; null takes the index after the last.
+
+    A column's categories are counted: up to ``on_driver`` they become a list in the indexer
+    stage, beyond it they stay a table that the rows are joined to. Both give the same
+    indices.
+    """
+    for c in columns:
+        table = category_table(df, c)
+        size = table.count()
+        if size <= on_driver:
+            labels = [r["category"] for r in table.orderBy("index").collect()]
+            model = StringIndexerModel.from_labels(labels, c, f"{c}{suffix}", "keep")
+            df = model.transform(df)
+        else:
+            found = table.select(F.col("category").alias("_category"), F.col("index").cast("double").alias("_found"))
+            joined = df.join(found, F.col(c).cast("string") == F.col("_category"), "left")
+            index = F.coalesce("_found", F.lit(float(size)))
+            df = joined.withColumn(f"{c}{suffix}", index).drop("_category", "_found")
+    return df
+
+
 def scaler() -> StandardScaler:
     return StandardScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR, withMean=False, withStd=True)
 

@@ -8,23 +8,17 @@ score order give the two areas, exactly and without binning scores.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isfinite
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.fixed import SEED
+from tabwright.operators.ranges import RANGE, RANGE_ROWS, in_ranges
 from tabwright.scratch import stage
 
 # Order of the metrics in result tables.
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 OUTCOMES = ["tp", "fn", "fp", "tn"]
 
-# Scores one task should accumulate.
-RANGE_ROWS = 50_000
-SAMPLE_PER_RANGE = 200
-
 
 def score_table(
     df: DataFrame,
@@ -76,24 +70,6 @@ def class_metrics(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return table.groupBy(*by).agg(*[F.sum(c).alias(c) for c in OUTCOMES]).select(*by, *_rates())
 
 
-def _cuts(table: DataFrame, range_rows: int) -> list[float]:
-    """Scores that cut the table into ranges of about ``range_rows`` rows; none for a small table.
-
-    Scores are distinct within a model here, so quantiles cut evenly however the
-    predictions pile up on single scores. Any cuts give the same result, so those of a
-    sample will do. Their number follows the rows without a ceiling; the driver holds one
-    number per range.
-    """
-    rows = table.count()
-    ranges = -(-rows // range_rows)
-    if ranges <= 1:
-        return []
-    sample = table.sample(min(1.0, SAMPLE_PER_RANGE * ranges / rows), seed=SEED)
-    fractions = [i / ranges for i in range(1, ranges)]
-    cuts = sample.agg(F.percentile_approx("score", fractions, 10 * ranges)).first()[0] or []
-    return sorted({c for c in cuts if isfinite(c)})
-
-
 def _curve(table: DataFrame, by: Sequence[str]) -> DataFrame:
     """Cumulative outcomes at each score, all scores of a model in one task."""
     model = Window.partitionBy(*by)
@@ -107,25 +83,24 @@ def _curve(table: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> DataFrame:
+def _ranged_curve(table: DataFrame, by: Sequence[str], ranges: int) -> DataFrame:
     """The same, one score range per task.
 
-    The totals of the ranges, a row each per model, are accumulated first; each range then
-    starts from what the higher ones hold. Null model ids meet their own totals.
+    Spark deals the rows by model and score: a large model gets many ranges, small ones
+    share one. The totals of the ranges, a row each per model, are accumulated first; each
+    range then starts from what the higher scores hold. Null model ids meet their own totals.
     """
-    ranges = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
-    )
+    ranged = in_ranges(table, [*by, F.desc("score")], ranges)
     # As fields of a struct, null ids equal one another, and one shuffle serves all that follows.
-    keys = ["_model", "range"] if by else ["range"]
-    ranged = ranges.transform(table.withColumn("_model", F.struct(*by)) if by else table)
+    keys = ["_model", RANGE] if by else [RANGE]
+    ranged = ranged.withColumn("_model", F.struct(*by)) if by else ranged
     totals = ranged.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     every = Window.partitionBy(*keys[:-1])
-    higher = every.orderBy(F.desc("range"))
+    higher = every.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         *keys,
-        (F.sum("pos").over(higher) - F.col("pos")).alias("start_hits"),
-        (F.sum("neg").over(higher) - F.col("neg")).alias("start_misses"),
+        F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("start_hits"),
+        F.coalesce(F.sum("neg").over(higher), F.lit(0)).alias("start_misses"),
         F.sum("pos").over(every).alias("all_pos"),
         F.sum("neg").over(every).alias("all_neg"),
     )
@@ -144,8 +119,8 @@ def _ranged_curve(table: DataFrame, by: Sequence[str], cuts: Sequence[float]) ->
 def all_metrics(table: DataFrame, by: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
     """The six metrics per model from its score table; scores are not binned."""
     counted = table.withColumns({"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")})
-    cuts = _cuts(table, range_rows)
-    curve = _ranged_curve(counted, by, cuts) if cuts else _curve(counted, by)
+    ranges = -(-table.count() // range_rows)
+    curve = _ranged_curve(counted, by, ranges) if ranges > 1 else _curve(counted, by)
     pos, neg, hits, misses = (F.col(c) for c in ("pos", "neg", "hits", "misses"))
     precision = hits / (hits + misses)
     before = (hits - pos) + (misses - neg)

@@ -25,7 +25,7 @@ from tabwright.operators.impute import apply_medians, fit_medians
 from tabwright.operators.split import in_first_part
 from tabwright.scratch import scoped_staging, shared_folder, stage
 from tabwright.sizing import sized_shuffles
-from tabwright.sources.tables import read_csv, text_schema, write_parquet
+from tabwright.sources.tables import read_csv, read_parquet, text_schema, write_parquet, write_together
 
 
 def typed(df: DataFrame, table: CustomerTable = CUSTOMERS) -> DataFrame:
@@ -83,6 +83,7 @@ def run_clean(
     blank_as_null: bool = False,
     keep_key: bool = False,
     refuse_blanks: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """Write the train and test tables; returns rows and share per part and class.
 
@@ -90,7 +91,8 @@ def run_clean(
     file must match. ``medians_from="train"`` learns the medians from the training rows
     only; ``"all"`` learns them from every raw row, before deduplication and split. A model
     cannot be trained on blank categories: they are warned of, or refused before anything
-    is written, unless ``blank_as_null`` fills them.
+    is written, unless ``blank_as_null`` fills them. ``versioned`` writes both tables as one
+    new version, so that they change together; ``read_parquet`` finds the last whole one.
     """
     if medians_from not in ("train", "all"):
         raise ValueError("medians_from must be 'train' or 'all'")
@@ -115,6 +117,14 @@ def run_clean(
 
         unwanted = [table.target, "_part", *([] if keep_key else [table.key])]
         ready = prepare(rows, medians, table, blank_as_null)
-        for name, path in (("train", train_path), ("test", test_path)):
-            write_parquet(ready.filter(F.col("_part") == name).drop(*unwanted), path)
-    return part_counts(spark.read.parquet(train_path), spark.read.parquet(test_path))
+        parts = {name: ready.filter(F.col("_part") == name).drop(*unwanted) for name in ("train", "test")}
+        paths = {"train": train_path.rstrip("/"), "test": test_path.rstrip("/")}
+        if versioned:
+            roots = {path.rpartition("/")[0] for path in paths.values()}
+            if len(roots) != 1 or len(set(paths.values())) != 2:
+                raise ValueError("versioned tables must be two folders side by side")
+            write_together({path.rpartition("/")[2]: parts[name] for name, path in paths.items()}, roots.pop())
+        else:
+            for name, path in paths.items():
+                write_parquet(parts[name], path)
+    return part_counts(read_parquet(spark, train_path), read_parquet(spark, test_path))

@@ -1,7 +1,10 @@
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
-from tabwright.operators.encode import build_pipeline, feature_stages, training_weights
+from tabwright.operators.encode import build_pipeline, category_table, feature_stages, index_categories, training_weights
+from tabwright.operators.ranges import numbered
 
 
 def frame(spark):
@@ -50,3 +53,30 @@ def test_training_table_checks(spark):
         check(spark, good, max_categories=1)
     with pytest.raises(ValueError, match="both classes"):
         check(spark, good[1:])
+
+
+@pytest.mark.parametrize("on_driver", [0, 100])
+def test_indices_equal_those_of_the_indexer(spark, on_driver):
+    values = ["b", "a", "c", "c", "é", "é", "😀", "\uffee", "", None, "Z", "z"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, s string")
+    wanted = StringIndexer(inputCol="s", outputCol="s_index", handleInvalid="keep").fit(df).transform(df)
+    got = index_categories(df, ["s"], on_driver=on_driver)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == sorted(map(tuple, wanted.collect()), key=lambda r: r[0])
+
+
+def test_many_categories_stay_off_the_driver(spark):
+    """Categories are ranked in ranges: no collected list, no task with all of them."""
+    df = spark.range(200_000).selectExpr("id", "cast(pmod(id * 7919, 150001) as string) as s")
+    table = category_table(df, "s")
+    assert table.count() == 150_001
+    facts = table.selectExpr("min(index)", "max(index)", "count(distinct index)", "sum(rows)").first()
+    assert tuple(facts) == (0, 150_000, 150_001, 200_000)
+    assert index_categories(df, ["s"], on_driver=1000).filter("s_index is null or s_index > 150000").count() == 0
+
+
+def test_numbers_follow_the_order_over_many_ranges(spark):
+    df = spark.range(1000).selectExpr("pmod(id * 37, 1000) as x", "id % 3 as y").repartition(5)
+    rows = numbered(df, [F.desc("y"), "x"], "place", range_rows=30).collect()
+    expected = sorted(rows, key=lambda r: (-r.y, r.x))
+    assert [r.place for r in expected] == list(range(1000))
+    assert numbered(df.limit(0), ["x"], "place").count() == 0

@@ -5,7 +5,8 @@ from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tabwright.operators.evaluate import METRICS, evaluate, evaluate_wide, metric_values
+from tabwright.operators.evaluate import METRICS, evaluate, evaluate_wide, metric_values, score_table
+from tabwright.operators.ranges import RANGE, in_ranges
 
 
 def built_in(df):
@@ -114,6 +115,20 @@ def test_both_ways_agree_and_metrics_are_shares(spark, rows):
         assert all(0 <= v <= 1 + 1e-12 for v in values)
 
 
+def test_models_of_unlike_size_get_ranges_of_their_own(spark):
+    """One large model and many small ones in one pass: no range is long, and all areas are exact."""
+    large = spark.range(40_000).selectExpr("0L as m", "pmod(id * 7919, 40009) / 40009 as score", "cast(id % 3 = 0 as double) as label")
+    small = spark.range(3000).selectExpr("1 + id % 300 as m", "pmod(id * 31, 97) / 97 as score", "cast(id % 2 = 0 as double) as label")
+    df = large.unionByName(small).selectExpr("*", "cast(score > 0.5 as double) as prediction")
+    one, many = ({r.m: [r[x] for x in METRICS] for r in evaluate_wide(df, ["m"], range_rows=n).collect()} for n in (10**7, 2000))
+    assert one.keys() == many.keys() and len(one) == 301
+    for m, values in one.items():
+        assert many[m] == pytest.approx(values, abs=1e-12)
+    table = score_table(df, ["m"])
+    sizes = [r["count"] for r in in_ranges(table, ["m", F.desc("score")], 22).groupBy(RANGE).count().collect()]
+    assert max(sizes) < 3 * sum(sizes) / 22
+
+
 def test_nothing_to_evaluate_is_an_error(spark):
     df = scored(spark, [0.1], [1]).filter("score > 1")
     with pytest.raises(ValueError, match="no predictions"):

@@ -1,5 +1,9 @@
 """Every query beside its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from catalog import ORACLES, QUERIES
@@ -28,3 +32,18 @@ def test_entry_gives_both_classes(spark):
 def test_every_query_here_has_an_oracle():
     """The document operators have tests of their own."""
     assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "xxhash", "corpus_pipeline", "tabwright.llm"])
+def test_other_queries_stand_alone(missing):
+    """Without a library of the document operators, or without them, the entry gives the rest."""
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1])
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) == len(QUERIES)
+
+
+def test_lost_modules_of_this_library_are_an_error():
+    code = "import sys; sys.modules['tabwright.scratch'] = None; import __spark_entry__"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1])
+    assert done.returncode != 0 and "tabwright.scratch" in done.stderr

@@ -64,7 +64,7 @@ def test_score_ranges_share_one_partitioning(spark):
     before = spark.conf.get(conf)
     spark.conf.set(conf, -1)
     try:
-        text = plan(_ranged_curve(points, ["m"], [0.25, 0.5, 0.75]))
+        text = plan(_ranged_curve(points, ["m"], 4))
     finally:
         spark.conf.set(conf, before)
     assert "SinglePartition" not in text

@@ -1,7 +1,7 @@
 import pytest
 
 from tabwright.sources.runlog import log_run, read_runs
-from tabwright.sources.tables import read_csv, read_parquet, write_csv, write_parquet
+from tabwright.sources.tables import current_version, read_csv, read_parquet, write_csv, write_parquet, write_together
 
 
 def test_csv_cells(spark, tmp_path):
@@ -61,3 +61,34 @@ def test_run_log_appends_and_prunes(spark, tmp_path):
 def test_empty_run_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError):
         log_run(spark, str(tmp_path), "one", "A")
+
+
+def test_versioned_tables_change_together(spark, tmp_path):
+    root = str(tmp_path / "out")
+    assert write_together({"train": spark.range(5), "test": spark.range(2)}, root) == 1
+    fails = spark.range(3).selectExpr("cast(raise_error('lost') as long) as id")
+    with pytest.raises(Exception, match="lost"):
+        write_together({"train": spark.range(9), "test": fails}, root)
+    # The first of the two was written; the old pair is what readers see.
+    assert [read_parquet(spark, f"{root}/{name}").count() for name in ("train", "test")] == [5, 2]
+    assert len(list((tmp_path / "out" / "train").iterdir())) == 2
+    assert write_together({"train": spark.range(7), "test": spark.range(3)}, root) == 2
+    assert [read_parquet(spark, f"{root}/{name}/").count() for name in ("train", "test")] == [7, 3]
+    assert write_together({"train": spark.range(8), "test": spark.range(4)}, root) == 3
+    # Two versions are kept, and what no manifest names is gone.
+    assert len(list((tmp_path / "out" / "train").iterdir())) == len(list((tmp_path / "out" / "test").iterdir())) == 2
+    assert sorted(p.name for p in (tmp_path / "out" / "_manifest").glob("*.json")) == ["000000002.json", "000000003.json"]
+
+
+def test_a_half_written_manifest_does_not_show(spark, tmp_path):
+    root = str(tmp_path / "out")
+    write_together({"a": spark.range(4)}, root)
+    (tmp_path / "out" / "_manifest" / "000000002.draft").write_text('{"version": 2, "tab')
+    assert read_parquet(spark, f"{root}/a").count() == 4
+    assert write_together({"a": spark.range(6)}, root) == 2
+    assert read_parquet(spark, f"{root}/a").count() == 6
+
+
+def test_plain_tables_are_their_own_version(spark, tmp_path):
+    write_parquet(spark.range(4), str(tmp_path / "plain"))
+    assert current_version(spark, str(tmp_path / "plain")) == str(tmp_path / "plain")
