@@ -6,15 +6,18 @@ neighbour's training count and are learned by expectation-maximisation on a fold
 training documents whose own counts are deleted first.
 
 Documents are dealt into blocks of about ``BLOCK_BYTES``. A block counts its tokens and
-pairs once (``_ask``) and sends each distinct one, as a 64-bit hash, to the owner of its
-hash range; owners add up what all blocks sent (``_answer``) and send the totals back, so
-that a block scores its documents (``_score``) with the counts it needs and no others. The
-number of blocks and of ranges follows the size of the texts. A frequent word is one row
-per block, so no key is hot.
+pairs once (``_ask``) and sends each distinct one, as a 64-bit hash, towards the owner of
+its hash range. The way has hops: at each, a cell adds up what ``fan`` cells sent it and
+sends every fan-th part of its range on, so that the messages of a hop are at most ``fan``
+per block however many blocks there are; up to ``MOST_FAN`` blocks one hop is enough. Owners
+add up the totals, which go back the same way (``_answer``), so that a block scores its
+documents (``_score``) with the counts it needs and no others. The number of blocks and of
+ranges follows the size of the texts. A frequent word is one row per block, so no key is hot.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -35,8 +38,13 @@ STEPS = 16
 END, START = b"\n", b"\r"
 U64 = np.uint64
 
-ASK = "level int, owner int, block int, keys binary, trained binary"
-ANSWER = "level int, owner int, block int, trained binary, deleted binary, tokens long, types long, fold_tokens long"
+# Most messages that a block or a cell sends at a hop.
+MOST_FAN = 128
+
+ASK = "level int, cell long, range long, sender long, keys binary, trained binary, deleted binary"
+ANSWER = (
+    "level int, cell long, range long, part long, trained binary, deleted binary, tokens long, types long, fold_tokens long"
+)
 POOL = "bucket int, single int, pair int, n long"
 
 
@@ -54,6 +62,65 @@ def _unpacked(blob: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(kind).ravel()
 
 
+class Route:
+    """How hashes travel from blocks to owners, in ``hops`` steps of ``fan`` messages each.
+
+    After ``h`` hops there are fan ** h ranges, and a cell (g, r) stands for the keys of range
+    r from the blocks g * fan ** h and on.
+    """
+
+    def __init__(self, blocks: int, most_fan: int | None = None) -> None:
+        most_fan = most_fan or MOST_FAN
+        self.hops = 1
+        while most_fan**self.hops < blocks:
+            self.hops += 1
+        self.fan = max(2, math.ceil(blocks ** (1 / self.hops) - 1e-9))
+        while self.fan**self.hops < blocks:
+            self.fan += 1
+        self.unit = 2**64 // self.fan**self.hops
+
+    def cuts(self, hop: int, cell_range: int, keys: np.ndarray) -> list[int]:
+        """Where the sorted keys of a range after ``hop`` hops fall into its ``fan`` parts."""
+        width = self.unit * self.fan ** (self.hops - hop - 1)
+        starts = [(cell_range * self.fan + part) * width for part in range(1, self.fan)]
+        return [0, *np.searchsorted(keys, np.array(starts, U64)), len(keys)]
+
+    def sent(self, hop: int, level: int, cell: int, cell_range: int, keys, trained, deleted):
+        """Rows of ``ASK`` that a cell sends at its next hop."""
+        cuts = self.cuts(hop, cell_range, keys)
+        for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if b > a:
+                yield {
+                    "level": level, "cell": cell // self.fan, "range": cell_range * self.fan + part, "sender": cell,
+                    "keys": _packed(np.diff(keys[a:b], prepend=U64(0))),
+                    "trained": _packed(trained[a:b].astype(np.uint32)), "deleted": _packed(deleted[a:b].astype(np.uint32)),
+                }
+
+
+class Cell:
+    """What the messages to a cell add up to, and where each message's keys are in it."""
+
+    def __init__(self, rows: list[dict]) -> None:
+        with np.errstate(over="ignore"):
+            self.sent = [np.cumsum(_unpacked(r["keys"], U64), dtype=U64) for r in rows]
+        self.keys, self.place = np.unique(np.concatenate(self.sent), return_inverse=True)
+        self.trained, self.deleted = [
+            np.bincount(self.place, np.concatenate([_unpacked(r[c], np.uint32) for r in rows]), len(self.keys)).astype(np.int64)
+            for c in ("trained", "deleted")
+        ]
+
+    def answers(self, route: Route, rows: list[dict], trained: np.ndarray, deleted: np.ndarray):
+        """Rows of ``ANSWER`` to the senders, from totals in the order of ``keys``."""
+        at = 0
+        for row, own in zip(rows, self.sent, strict=True):
+            mine = self.place[at : at + len(own)]
+            at += len(own)
+            yield {
+                "level": row["level"], "cell": row["sender"], "range": row["range"] // route.fan, "part": row["range"] % route.fan,
+                "trained": _packed(trained[mine].astype(np.uint32)), "deleted": _packed(deleted[mine].astype(np.uint32)),
+            }
+
+
 class Block:
     """Tokens of a block of texts, and its distinct tokens and pairs sorted by hash."""
 
@@ -77,22 +144,17 @@ class Block:
         self.keys = {1: hashes, 2: together}
         self.order = {level: np.argsort(k, kind="stable") for level, k in self.keys.items()}
 
-    def messages(self, block: int, owners: int):
-        """(level, owner, block, keys, counts) for each range of hashes."""
+    def messages(self, block: int, route: Route, trains: bool, in_fold: bool):
+        """Rows of ``ASK`` for each part of the range of hashes."""
         for level, counts in ((1, self.counts), (2, self.pair_counts)):
             order = self.order[level]
-            keys, counts = self.keys[level][order], counts[order].astype(np.uint32)
-            edges = np.arange(1, owners, dtype=U64) * U64((2**64 - 1) // owners)
-            cuts = [0, *np.searchsorted(keys, edges), len(keys)]
-            for owner, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                if b > a:
-                    steps = np.diff(keys[a:b], prepend=U64(0))
-                    yield level, owner, block, _packed(steps), _packed(counts[a:b])
+            trained = counts[order].astype(np.int64) * trains
+            yield from route.sent(0, level, block, 0, self.keys[level][order], trained, trained * in_fold)
 
     def totals(self, answers: pa.Table) -> tuple[dict, dict]:
         """Training counts and deleted counts by level, in the order of ``keys``."""
         found: tuple[dict, dict] = ({}, {})
-        rows = sorted(answers.select(["level", "owner", "trained", "deleted"]).to_pylist(), key=lambda r: r["owner"])
+        rows = sorted(answers.select(["level", "part", "trained", "deleted"]).to_pylist(), key=lambda r: r["part"])
         for level in (1, 2):
             for name, into in zip(("trained", "deleted"), found, strict=True):
                 parts = [_unpacked(r[name], np.uint32) for r in rows if r["level"] == level]
@@ -114,50 +176,83 @@ def estimates(block: Block, single: np.ndarray, pair: np.ndarray, total: int) ->
     return bucket_of(seen), single[block.tokens] / max(total, 1), np.where(seen > 0, after, 0.0)
 
 
-def _ask(owners: int, fold_from: int) -> Callable:
+def _schema(fields: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in fields.split(", "))])
+
+
+def _ask(route: Route, fold_from: int) -> Callable:
+    schema = _schema(ASK)
+
     def ask(group: pa.Table) -> pa.Table:
         block = Block(group.column("text").cast(pa.binary()).to_pylist())
-        number = group.column("block")[0].as_py()
-        if not group.column("trains")[0].as_py():
-            block.counts, block.pair_counts = block.counts * 0, block.pair_counts * 0
-        names = ["level", "owner", "block", "keys", "trained"]
-        rows = [dict(zip(names, m, strict=True)) for m in block.messages(number, owners)]
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.Table.from_pylist(rows, pa.schema(list(zip(names, kinds, strict=True))))
+        number, trains = group.column("block")[0].as_py(), group.column("trains")[0].as_py()
+        return pa.Table.from_pylist(list(block.messages(number, route, trains, number >= fold_from)), schema)
 
     return ask
 
 
-def _answer(fold_from: int, fold_to: int) -> Callable:
-    """Owners: add up the counts of each key; blocks in [fold_from, fold_to) are the fold."""
-    schema = pa.schema(
-        [("level", pa.int32()), ("owner", pa.int32()), ("block", pa.int32()), ("trained", pa.binary()),
-         ("deleted", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()), ("fold_tokens", pa.int64())]
-    )
+def _pass_on(route: Route, hop: int) -> Callable:
+    """A cell after ``hop`` hops sends what it adds up to on."""
+    schema = _schema(ASK)
+
+    def pass_on(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        cell = Cell(rows)
+        first = rows[0]
+        sent = route.sent(hop, first["level"], first["cell"], first["range"], cell.keys, cell.trained, cell.deleted)
+        return pa.Table.from_pylist(list(sent), schema)
+
+    return pass_on
+
+
+def _answer(route: Route) -> Callable:
+    """Owners: the totals of each key, and a row (cell -1) of what the range holds in all."""
+    schema = _schema(ANSWER)
 
     def answer(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        with np.errstate(over="ignore"):
-            keys = [np.cumsum(_unpacked(r["keys"], U64), dtype=U64) for r in rows]
-        counts = [_unpacked(r["trained"], np.uint32).astype(np.int64) for r in rows]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        trained = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.uint32)
-        in_fold = [c * (fold_from <= r["block"] < fold_to) for r, c in zip(rows, counts, strict=True)]
-        deleted = np.bincount(place, np.concatenate(in_fold), len(distinct)).astype(np.uint32)
-        out, at = [], 0
-        level, owner = rows[0]["level"], rows[0]["owner"]
-        for row, own in zip(rows, keys, strict=True):
-            mine = place[at : at + len(own)]
-            at += len(own)
-            out.append({"level": level, "owner": owner, "block": row["block"],
-                        "trained": _packed(trained[mine]), "deleted": _packed(deleted[mine])})
-        out.append({"level": level, "owner": owner, "block": -1, "tokens": int(trained.sum(dtype=np.int64)),
-                    "types": int((trained > 0).sum()), "fold_tokens": int(deleted.sum(dtype=np.int64))})
+        cell = Cell(rows)
+        out = list(cell.answers(route, rows, cell.trained, cell.deleted))
+        out.append({"level": rows[0]["level"], "cell": -1, "range": rows[0]["range"], "tokens": int(cell.trained.sum()),
+                    "types": int((cell.trained > 0).sum()), "fold_tokens": int(cell.deleted.sum())})
         return pa.Table.from_pylist(out, schema)
 
     return answer
 
 
+def _hand_back(route: Route) -> Callable:
+    """A cell on the way: the answers to its parts, in order, are those to its senders."""
+    schema = _schema(ANSWER)
+
+    def hand_back(messages: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = messages.to_pylist()
+        if not rows:
+            return schema.empty_table()
+        cell = Cell(rows)
+        parts = sorted(answers.select(["part", "trained", "deleted"]).to_pylist(), key=lambda r: r["part"])
+        trained, deleted = [np.concatenate([_unpacked(r[c], np.uint32) for r in parts]) for c in ("trained", "deleted")]
+        return pa.Table.from_pylist(list(cell.answers(route, rows, trained, deleted)), schema)
+
+    return hand_back
+
+
+def _counts(asked: DataFrame, route: Route) -> DataFrame:
+    """The answers to all blocks (``cell``), and the totals of all ranges (cell -1), staged."""
+    sent = [asked]
+    address = ["level", "cell", "range"]
+    for hop in range(1, route.hops):
+        # Read on the way there and on the way back.
+        sent[-1] = stage(sent[-1], "messages")
+        sent.append(sent[-1].groupBy(*address).applyInArrow(_pass_on(route, hop), ASK))
+    answers = stage(sent.pop().groupBy(*address).applyInArrow(_answer(route), ANSWER), "counts")
+    totals = answers.filter("cell = -1")
+    for messages in reversed(sent):
+        replies = answers.filter("cell >= 0").groupBy(*address)
+        answers = stage(messages.groupBy(*address).cogroup(replies).applyInArrow(_hand_back(route), ANSWER), "counts")
+    return answers.filter("cell >= 0").unionAll(totals)
+
+
 def _pool(tokens: int, types: int) -> Callable:
     """Held-out events of a fold block, pooled by bucket and rounded log estimates."""
 
@@ -253,14 +348,13 @@ def score_documents(
         .otherwise(F.pmod(spot, F.lit(n_fold)) + n_held + n_train)
     )
     dealt = texts.select("doc_id", "text", blocks.cast("int").alias("block"), held.alias("held_out"), (~held).alias("trains"))
-    owners = n_held + n_train + n_fold
-    fold_from, fold_to = n_held + n_train, owners
-
-    asked = dealt.select("text", "block", "trains").groupBy("block").applyInArrow(_ask(owners, fold_from), ASK)
-    answers = stage(asked.groupBy("level", "owner").applyInArrow(_answer(fold_from, fold_to), ANSWER), "counts")
-    known = answers.filter("block = -1 and level = 1").agg(F.sum("tokens"), F.sum("types"), F.sum("fold_tokens")).first()
+    fold_from = n_held + n_train
+    route = Route(fold_from + n_fold)
+    asked = dealt.select("text", "block", "trains").groupBy("block").applyInArrow(_ask(route, fold_from), ASK)
+    answers = _counts(asked, route)
+    known = answers.filter("cell = -1 and level = 1").agg(F.sum("tokens"), F.sum("types"), F.sum("fold_tokens")).first()
     tokens, types, fold_tokens = [x or 0 for x in known]
-    replies = answers.filter("block >= 0").select("block", "level", "owner", "trained", "deleted")
+    replies = answers.filter("cell >= 0").select(F.col("cell").cast("int").alias("block"), "level", "part", "trained", "deleted")
 
     fold_docs = dealt.filter(deleted).select("text", "block").groupBy("block")
     fold_replies = replies.filter(F.col("block") >= fold_from).groupBy("block")

@@ -5,7 +5,9 @@ is left of the target is filled by documents in the order of exponential keys, -
 with ``u`` a repeatable draw and ``w`` the document's quality weight: taking the least
 keys first is weighted sampling without replacement. The order within a source is never
 sorted as a whole: keys fall into ranges, range totals are summed up in order, and only
-the range in which the budget ends is sorted.
+the range in which the budget ends is sorted. Draws come from id and text, so only rows
+equal in both share a key; where the budget ends among such rows, as many of them are taken
+as fit, counted file by file.
 """
 
 from __future__ import annotations
@@ -71,8 +73,8 @@ def source_targets(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) ->
     )
 
 
-def sampling_key(seed: int, doc_id: Column, quality: Column) -> Column:
-    return -F.log(draw(seed, F.coalesce(doc_id.cast("string"), F.lit("")))) / quality
+def sampling_key(seed: int, doc_id: Column, text: Column, quality: Column) -> Column:
+    return -F.log(draw(seed, F.coalesce(doc_id.cast("string"), F.lit("")), text)) / quality
 
 
 def measured(
@@ -85,15 +87,17 @@ def measured(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     ).withColumn("size", F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long"))
-    weighed = texts.select(*kept, "doc_id", "source", "size", quality_weight(F.col("text"), F.col("size")).alias("quality"))
-    return weighed.withColumn("key", sampling_key(seed, F.col("doc_id"), F.col("quality")))
+    weighed = texts.withColumn("quality", quality_weight(F.col("text"), F.col("size")))
+    key = sampling_key(seed, F.col("doc_id"), F.col("text"), F.col("quality"))
+    return weighed.select(*kept, "doc_id", "source", "size", "quality", key.alias("key"))
 
 
 def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> DataFrame:
-    """of (the source), source_size, target, passes and cut of each source.
+    """of (the source), source_size, target, passes, cut, edge and extra of each source.
 
-    A document is taken ``passes`` times, and once more if its (key, doc_id) is at most
-    ``cut``; a null cut takes none once more.
+    A document is taken ``passes`` times, and once more if its place (key, doc_id) is at most
+    ``cut``; a null cut takes none once more. The next place, ``edge``, does not fit as a
+    whole: of its rows, which are equal, ``extra`` are taken once more.
     """
     targets = stage(source_targets(sized, most, cycle), "targets").withColumnRenamed("source", "of")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -120,26 +124,53 @@ def mixing_plan(sized: DataFrame, most: int = MOST_PASSES, cycle: int = 3) -> Da
     )
     ends = stage(ends, "ends")
     inside = dealt.join(bounded(ends, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("last")))
-    running = Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
-    fitting = (
-        inside.withColumn("reached", F.col("before") + F.sum("size").over(running))
-        .filter("reached <= rest")
-        .groupBy("source").agg(F.max("place").alias("top_inside"))
-    )
-    cuts = ends.join(fitting, F.col("of").eqNullSafe(F.col("source")), "left").select(
-        F.col("of").alias("cut_of"), F.coalesce("top_inside", "top_before").alias("cut")
+    # Rows of one place are one step: a place that holds many rows is summed up before it travels.
+    steps = inside.groupBy("source", "before", "top_before", "rest", "place").agg(
+        F.sum("size").alias("words"), F.max("size").alias("largest")
     )
+    order = Window.partitionBy("source").orderBy("place")
+    steps = steps.withColumn("reached", F.col("before") + F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    left_over = F.col("rest") - (F.col("reached") - F.col("words"))
+    outside = (F.col("reached") > F.col("rest")) & (left_over >= 0)
+    cuts = steps.groupBy("source").agg(
+        F.coalesce(F.max(F.when(F.col("reached") <= F.col("rest"), F.col("place"))), F.first("top_before")).alias("cut"),
+        F.min(F.when(outside, F.col("place"))).alias("edge"),
+        F.max(F.when(outside, F.floor(left_over / F.nullif("largest", F.lit(0))))).cast("long").alias("extra"),
+    )
+    cuts = cuts.withColumnRenamed("source", "cut_of")
     return plan.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").select(
-        "of", "source_size", "target", "passes", "cut"
+        "of", "source_size", "target", "passes", "cut", "edge", F.coalesce("extra", F.lit(0)).alias("extra")
     )
 
 
+def _tied(rows: DataFrame) -> DataFrame:
+    """``rows`` of the places at which budgets end, with one more copy for ``extra`` rows of each source.
+
+    They are numbered within the files they are stored in, and files are counted up, so no
+    task sees all rows of a place.
+    """
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")]
+    run = stage(rows, "tied").select("*", *at)
+    files = run.groupBy(F.col("of").alias("file_of"), "file").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("file_of").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file_of", F.col("file").alias("in_file"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("passed"))
+    here = F.row_number().over(Window.partitionBy("of", "file").orderBy("row_index"))
+    met = run.withColumn("here", here).join(files, F.col("of").eqNullSafe(F.col("file_of")) & (F.col("file") == F.col("in_file")))
+    more = (F.col("passed") + F.col("here") <= F.col("extra")).cast("long")
+    return met.withColumn("copies", F.col("copies") + more).select(rows.columns)
+
+
 def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with source_size, target and copies of each row."""
     joined = sized.join(bounded(plan, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("of")), "left")
-    more = F.coalesce(F.struct("key", "doc_id") <= F.col("cut"), F.lit(False)).cast("long")
+    place = F.struct("key", "doc_id")
+    more = F.coalesce(place <= F.col("cut"), F.lit(False)).cast("long")
     copies = F.when(F.col("size") > 0, F.col("passes") + more).otherwise(0)
-    return joined.withColumn("copies", copies.cast("long")).drop("of", "passes", "cut")
+    joined = joined.withColumn("copies", copies.cast("long"))
+    if not plan.filter("extra > 0").isEmpty():
+        split = (F.col("extra") > 0) & place.eqNullSafe(F.col("edge")) & (F.col("size") > 0)
+        joined = joined.filter(~F.coalesce(split, F.lit(False))).unionByName(_tied(joined.filter(split)))
+    return joined.drop("of", "passes", "cut", "edge", "extra")
 
 
 def mix_sources(
@@ -156,11 +187,11 @@ def mix_sources(
     size counts words; taken is size * copies, the words that the mix takes. Every document
     of a source is taken ``floor(target / source_size)`` times, and once more while the
     running size in key order stays within the rest of the target. So a source misses its
-    target by less than one document (or one run of rows with equal ids), no document is
-    taken more than ``most`` times, and reruns agree, on any layout. Null text has size 0
-    and is never taken; a null source is a source; draws come from the id's text (null:
-    empty), ties go by id, and rows that share key and id are taken alike. Other columns
-    are not read; an empty table gives no rows.
+    target by less than one document, no document is taken more than ``most`` times, and
+    reruns agree, on any layout. Null text has size 0 and is never taken; a null source is a
+    source; draws come from the id's text (null: empty) and the text, ties go by id. Of rows
+    equal in id and text as many are taken as fit. Other columns are not read; an empty
+    table gives no rows.
     """
     sized = stage(measured(docs, seed, id_col, text_col, source_col), "sized")
     plan = stage(mixing_plan(sized, most, cycle), "plan")

@@ -1,12 +1,14 @@
 """Quality rules with cutoffs whose false rejections are bounded on labelled documents.
 
-A rule rejects a text whose feature lies above a cutoff. For each rule a fixed list of
-cutoffs, lenient ones first, is tested in each stratum: of ``n`` good labelled documents
-``k`` would be rejected; the cutoff passes when P(Binomial(n, alpha) <= k) is at most
-delta / (rules * strata), the exact bound. Testing stops at the first cutoff that does not
-pass, which keeps the error of a list at that of one test, and the last one that passed is
-used. So, with probability 1 - delta, every rule wrongly rejects at most a share ``alpha``
-of the good documents of every stratum. A stratum with too few labels gets no cutoff.
+A rule rejects a text whose feature lies above a cutoff. All rules together walk one path of
+cutoffs, fixed before any label is seen: it begins without cutoffs, and each step gives one
+rule its next, stricter one. In each stratum the steps are tested in order: of ``n`` good
+labelled documents ``k`` would be rejected by any rule; the step passes when
+P(Binomial(n, alpha) <= k) is at most delta / strata, the exact bound. Testing stops at the
+first step that does not pass, which keeps the error of the path at that of one test, and
+the last one that passed is used. So, with probability 1 - delta, the rules together wrongly
+reject at most a share ``alpha`` of the good documents of every stratum. A stratum with too
+few labels gets no cutoffs.
 """
 
 from __future__ import annotations
@@ -129,26 +131,40 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(top) * total)
 
 
+def path_of(rules: dict[str, tuple[float, ...]]) -> list[tuple[str, float]]:
+    """The steps (rule, cutoff): the first cutoff of every rule, then the second, and so on."""
+    longest = max(map(len, rules.values()), default=0)
+    return [(r, cutoffs[i]) for i in range(longest) for r, cutoffs in rules.items() if i < len(cutoffs)]
+
+
+def first_rejecting_step(rules: dict[str, tuple[float, ...]]) -> Column:
+    """The first step, from 1, at which a row is rejected; null if none does."""
+    steps = [F.when(F.col(r) > c, F.lit(t)) for t, (r, c) in enumerate(path_of(rules), 1)]
+    return reduce(lambda a, b: F.coalesce(a, b), steps, F.lit(None).cast("int"))
+
+
 def risk_controlled_cutoffs(
     good: DataFrame, alpha: float, delta: float, rules: dict[str, tuple[float, ...]] = RULES
 ) -> DataFrame:
-    """stratum and ``cutoff_<rule>`` per rule (null: none passed), from good labelled rows."""
-    tests = [(r, i, c) for r, cutoffs in rules.items() for i, c in enumerate(cutoffs)]
-    rejected = [F.count_if(F.col(r) > c).alias(f"{r}_{i}") for r, i, c in tests]
-    counts = good.groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
+    """stratum, n, steps and ``cutoff_<rule>`` per rule (null: none passed), from good labelled rows.
+
+    Rows of one document are one trial: it is rejected at the first step at which any is.
+    """
+    path = path_of(rules)
+    documents = good.groupBy("stratum", "doc_id").agg(F.min(first_rejecting_step(rules)).alias("first"))
+    rejected = [F.count_if(F.col("first") <= t).alias(f"k_{t}") for t in range(1, len(path) + 1)]
+    counts = documents.groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
     strata = counts.withColumn("n_strata", F.count("*").over(Window.partitionBy()))
-    error = delta / (F.col("n_strata") * len(rules))
-
-    def chosen(rule: str, cutoffs: tuple[float, ...]) -> Column:
-        passed = [binomial_tail(F.col("n"), F.col(f"{rule}_{i}"), alpha) <= error for i in range(len(cutoffs))]
-        # Nested: a cutoff counts only if all before it passed.
-        return reduce(
-            lambda inner, at: F.when(passed[at], F.coalesce(inner, F.lit(cutoffs[at]))),
-            range(len(cutoffs) - 1, -1, -1),
-            F.lit(None).cast("double"),
-        )
+    passed = [binomial_tail(F.col("n"), F.col(f"k_{t}"), alpha) <= delta / F.col("n_strata") for t in range(1, len(path) + 1)]
+    # Nested: a step counts only if all before it passed.
+    steps = reduce(lambda inner, t: F.when(passed[t], inner).otherwise(F.lit(t)), range(len(path) - 1, -1, -1), F.lit(len(path)))
+    walked = strata.select("stratum", "n", steps.alias("steps"))
+
+    def cutoff(rule: str) -> Column:
+        own = [F.when(F.col("steps") >= t, F.lit(c)) for t, (r, c) in enumerate(path, 1) if r == rule]
+        return F.coalesce(*reversed(own), F.lit(None).cast("double"))
 
-    return strata.select("stratum", "n", *[chosen(r, c).alias(f"cutoff_{r}") for r, c in rules.items()])
+    return walked.select("stratum", "n", "steps", *[cutoff(r).alias(f"cutoff_{r}") for r in rules])
 
 
 def quality_rules(
@@ -167,7 +183,7 @@ def quality_rules(
     the holdout of their stratum, the language unless another column is given (null is a
     stratum). An id that is labelled twice counts as good when all its labels say so; null
     labels and labels without a document count for nothing. Null text has no words, so it
-    fails the base. Repeated rows repeat, and count again in the holdout. Other columns are
+    fails the base. Repeated rows repeat, and count once in the holdout. Other columns are
     not read. Without labels no rule has a cutoff; an empty table gives no rows.
     """
     stratum = F.col("lang").cast("string") if stratum is None else stratum
@@ -175,7 +191,7 @@ def quality_rules(
     judged = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     good_ids = judged.filter("quality = 1").select("doc_id")
     good = found.filter(~F.col("base_failed")).join(good_ids, "doc_id", "left_semi")
-    cutoffs = stage(risk_controlled_cutoffs(good, alpha, delta, rules), "cutoffs").drop("n")
+    cutoffs = stage(risk_controlled_cutoffs(good, alpha, delta, rules), "cutoffs").drop("n", "steps")
     cutoffs = cutoffs.withColumnRenamed("stratum", "of")
     joined = found.join(bounded(cutoffs, BROADCAST_STRATA), F.col("stratum").eqNullSafe(F.col("of")), "left")
     failed = [F.when(F.col(r) > F.col(f"cutoff_{r}"), F.lit(r)) for r in rules]

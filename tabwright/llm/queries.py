@@ -17,7 +17,7 @@ from tabwright.llm.lemp import hard_negatives
 from tabwright.llm.lm import score_documents
 from tabwright.llm.mixing import mix_sources
 from tabwright.llm.pii import find_personal_data
-from tabwright.llm.quality import RULES, quality_rules
+from tabwright.llm.quality import RULES, path_of, quality_rules
 from tabwright.llm.repair import damaged, repair_conversations, repair_summary
 from tabwright.llm.secrets import find_secrets
 from tabwright.llm.token_counts import count_tokens
@@ -51,20 +51,20 @@ def op1_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cutoffs_sql(alpha: float, delta: float) -> str:
     """SQL for the cutoff of each rule and stratum, from ``good`` rows with the features."""
-    parts = []
-    for rule, cutoffs in RULES.items():
-        listed = ", ".join(f"({i}, {c}::double)" for i, c in enumerate(cutoffs))
-        parts.append(f"""select stratum, '{rule}' as rule, i, cutoff, count(*) as n,
-            count(*) filter (where {rule} > cutoff) as k
-            from good, (values {listed}) as c(i, cutoff) group by all""")
+    steps = list(enumerate(path_of(RULES), 1))
+    first = ", ".join(f"case when {rule} > {c}::double then {t} end" for t, (rule, c) in steps)
+    listed = ", ".join(f"({t}, '{rule}', {c}::double)" for t, (rule, c) in steps)
     return f"""
-    tests as ({" union all ".join(parts)}),
-    bounds as (select *, {delta} / ({len(RULES)} * (select count(distinct coalesce(stratum, '')) from good)) as error,
+    path as (select * from (values {listed}) as p(t, rule, cutoff)),
+    trials as (select stratum, doc_id, min(least({first})) as first from good group by all),
+    tests as (select stratum, t, count(*) as n, count(*) filter (where first <= t) as k from trials, path group by all),
+    bounds as (select *, {delta} / (select count(distinct coalesce(stratum, '')) from good) as error,
         list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
             + j * ln({alpha}) + (n - j) * ln(1 - {alpha})))) as tail from tests),
     nested as (select *, min(case when tail <= error then 1 else 0 end)
-        over (partition by stratum, rule order by i) as passed from bounds),
-    cutoffs as (select stratum, rule, arg_max(cutoff, i) as cutoff from nested where passed = 1 group by all)"""
+        over (partition by stratum order by t) as passed from bounds),
+    walked as (select stratum, max(t) as steps from nested where passed = 1 group by stratum),
+    cutoffs as (select stratum, rule, arg_max(cutoff, t) as cutoff from walked join path on t <= steps group by all)"""
 
 
 QUALITY_SQL = f"""
@@ -120,7 +120,7 @@ with sized as (select doc_id, source, coalesce(text, '') as text,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents),
 shares as (select *, length(regexp_replace(text, '[!-@\\[-`{-~]+', '', 'g'))::double / greatest(length(text), 1)::double as share
     from sized),
-weighed as (select doc_id, source, size,
+weighed as (select doc_id, source, size, text,
     case when size = 0 then 0.25 else greatest(0.25::double, share * share) end as quality from shares),
 sources as (select source, sum(size)::bigint as source_size from sized group by source),
 ranked as (select *, (row_number() over (order by source asc nulls last) - 1) % 3 + 1 as weight from sources),
@@ -135,11 +135,11 @@ targets as (select source, source_size, coalesce(least(most::double,
     (select max(level) from levels where level <= most / weight) * weight), 0) as target from levels),
 budgets as (select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes from targets),
 keyed as (select doc_id, size, w.source, source_size, target, passes, target - passes * source_size as rest,
-    -ln((('0x' || substr(md5('11|' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0)
+    -ln((('0x' || substr(md5('11|' || coalesce(doc_id::varchar, '') || '|' || text), 1, 13))::bigint::double + 0.5) / 4503599627370496.0)
         / quality as key
     from weighed w join budgets b on w.source is not distinct from b.source),
 filled as (select *, sum(size) over (partition by source order by key, doc_id nulls first
-    range between unbounded preceding and current row) as reached from keyed),
+    rows between unbounded preceding and current row) as reached from keyed),
 taken as (select *, case when size = 0 then 0 else passes + (reached <= rest)::bigint end as copies from filled)
 select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies::bigint as copies from taken"""
 

@@ -4,8 +4,8 @@ The vocabulary of a byte-pair tokenizer was learned from text that people write,
 names and code pack into few tokens, while random keys fall apart into one or two
 characters a token. A long unbroken string with few characters per token is reported,
 unless it is of a known harmless form: a digest in hexadecimal or a UUID, a number, an
-identifier put together from words, or letters set apart by marks. A run of 20 letters or
-more is no such word: there the tokens decide.
+identifier put together from words and numbers, or single letters set apart by marks. Where
+there are letters only, with marks or without, and in runs of 20 letters, the tokens decide.
 
 A name or a path glued to a key would thin it out. So a string is also cut at its marks, and
 runs of pieces with many tokens for their length are tested like whole strings.
@@ -59,8 +59,8 @@ def harmless(text: str) -> bool:
         return True
     if UUID.fullmatch(text) or len(text) in DIGEST_LENGTHS and ALL_HEX.fullmatch(text):
         return True
-    if not any(c.isdigit() for c in text) and 3 * sum(not c.isalpha() for c in text) > len(text):
-        return True
+    if not any(c.isdigit() for c in text):
+        return 3 * sum(not c.isalpha() for c in text) > len(text)
     if LONG_RUN.search(text):
         return False
     # An identifier switches between letters and digits once per word; a key does so all the time.
@@ -127,7 +127,9 @@ class Finder:
         self.least = least_chars_per_token
 
     def token_counts(self, strings: list[str]) -> list[int]:
-        return [len(ids) // 4 for ids in self.coder.encode(strings)]
+        """Tokens of each string; names in capitals count as in small letters, which vocabularies know better."""
+        small = [s.lower() if s.isupper() and not any(map(str.isdigit, s)) else s for s in strings]
+        return [len(ids) // 4 for ids in self.coder.encode(small)]
 
     def is_name(self, text: str) -> bool:
         """Whether a stretch outside the dense runs is more than a part of a key."""

@@ -74,6 +74,51 @@ def test_result_does_not_depend_on_blocks(spark, sf_dir):
     assert all(few[i]["score"] == pytest.approx(many[i]["score"], rel=1e-9) for i in few)
 
 
+@pytest.mark.parametrize("fan", [2, 3])
+def test_hops_do_not_change_the_scores(spark, sf_dir, monkeypatch, fan):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80).coalesce(1)
+    one = by_id(score_documents(docs))
+    monkeypatch.setattr(lm, "MOST_FAN", fan)
+    more = by_id(score_documents(docs, block_bytes=25_000))
+    assert {i: r["n_known"] for i, r in one.items()} == {i: r["n_known"] for i, r in more.items()}
+    assert all(one[i]["score"] == pytest.approx(more[i]["score"], rel=1e-9) for i in one)
+
+
+def test_messages_grow_with_the_blocks(spark, sf_dir, monkeypatch):
+    """At most ``fan`` messages per block, hop and level, however many blocks there are."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    monkeypatch.setattr(lm, "MOST_FAN", 4)
+    real, rows = lm._counts, {}
+
+    def counted(asked, route):
+        blocks = [r["sender"] for r in asked.select("sender").distinct().collect()]
+        rows[len(blocks)] = (asked.count(), route.hops, route.fan)
+        return real(asked.limit(0), route)
+
+    monkeypatch.setattr(lm, "_counts", counted)
+    # Only the messages are counted: scoring stays lazy, and the way back is not asked for.
+    for size in (300_000, 90_000, 30_000):
+        score_documents(docs, block_bytes=size)
+    assert len(rows) == 3 and max(rows) > 4 * min(rows)
+    for blocks, (sent, hops, fan) in rows.items():
+        assert sent <= 2 * fan * blocks and fan <= 4 and fan**hops >= blocks > 4 ** (hops - 1)
+
+
+def test_routes():
+    for blocks in (1, 2, 3, 5, 104, 128, 129, 6000, 17_000):
+        route = lm.Route(blocks)
+        assert route.fan <= 128 and route.fan**route.hops >= blocks
+        keys = np.sort(np.random.default_rng(blocks).integers(0, 2**64, 500, dtype=np.uint64))
+        cuts = route.cuts(0, 0, keys)
+        assert len(cuts) == route.fan + 1 and cuts == sorted(cuts)
+        if route.hops > 1:
+            # The parts of a part lie within it.
+            own = keys[cuts[1] : cuts[2]]
+            again = route.cuts(1, 1, own)
+            assert again[0] == 0 and again[-1] == len(own)
+    assert lm.Route(104).hops == 1 and lm.Route(6000).hops == 2
+
+
 def test_model_beats_base_on_held_out(spark, sf_dir):
     held = [r for r in score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)

@@ -1,14 +1,18 @@
 """Mixing: targets by the stated rule, whole passes first, and what is taken."""
 
 import math
+import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tabwright.llm import mixing
 from tabwright.llm.mixing import mix_sources, mixed_documents
-from tests.llm.helpers import documents
+from tabwright.llm.queries import MIXING_SQL
+from tests.compare import difference
+from tests.llm.helpers import DOCUMENT, documents
 
 
 def targets(sizes: dict) -> dict:
@@ -88,6 +92,44 @@ def test_mix_repeats_rows(spark, sf_dir):
     assert counts == {i: n for i, n in copies.items() if n}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_equal_rows_are_taken_one_by_one(spark, parts):
+    """Half of a source are rows equal in text and (null) id: the target is still met within a document."""
+    rng = random.Random(3)
+    rows = [(None, "w " * 9) for _ in range(1000)] + [(i, "w " * rng.randrange(1, 9)) for i in range(1000)]
+    rows += [(5, "x " * 4)] * 300
+    docs = documents(spark, rows, sources=["a"] * 2000 + ["c"] * 300)
+    docs = docs.unionAll(documents(spark, [(9000, "w " * 3000)], sources=["b"])).repartition(parts)
+    taken, target = defaultdict(int), {}
+    found = mix_sources(docs).collect()
+    assert len(found) == 2301
+    for r in found:
+        taken[r["source_size"]] += r["taken"]
+        target[r["source_size"]] = r["target"]
+    assert len(target) == 3
+    for size, wanted in target.items():
+        assert wanted - (3000 if size == 3000 else 9) <= taken[size] <= wanted
+    counts = mixed_documents(docs).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"\w+")))).collect()
+    assert sorted(r[1] for r in counts) == sorted(taken.values())
+
+
+def test_null_ids_draw_by_their_texts(spark):
+    docs = documents(spark, [(None, f"word{i} " * 5) for i in range(400)], sources=["a"] * 400)
+    docs = docs.unionAll(documents(spark, [(1, "w " * 900)], sources=["b"]))
+    copies = {r["copies"] for r in mix_sources(docs).collect() if r["doc_id"] is None}
+    assert len(copies) == 2
+
+
+def test_equal_rows_beside_sql(spark, tmp_path):
+    rows = [(i % 40, "a b c " * (i % 5), None, "xy"[i % 2], 0) for i in range(600)] + [(None, "q r s", None, None, 0)] * 90
+    table = spark.createDataFrame(rows, DOCUMENT)
+    table.write.parquet(f"{tmp_path}/documents")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents/*.parquet')")
+    found = mix_sources(table).withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert difference(found.toPandas(), con.sql(f"select * replace (doc_id::varchar as doc_id) from ({MIXING_SQL})").df()) is None
+
+
 def test_odd_rows(spark):
     docs = documents(spark, [None, "", "x y", (2, "x y"), (None, "z"), "w " * 100_000], sources=["s", None, "s", "s", None, "t"])
     docs = docs.withColumns({"size": F.lit("a"), "target": F.lit(1), "range": F.lit(0), "from": F.lit(2)})

@@ -1,11 +1,15 @@
 """Quality rules: the exact bound, the counts, and the guarantee."""
 
+import random
 from math import comb
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm.quality import RULES, binomial_tail, features, log_factorial, quality_rules
+from tabwright.llm.quality import (
+    RULES, binomial_tail, features, log_factorial, path_of, quality_rules, risk_controlled_cutoffs,
+)
 from tests.llm.helpers import by_id, documents
 
 
@@ -80,6 +84,53 @@ def test_false_rejections_stay_under_the_bound(spark):
     assert all(r["kept"] for r in found)
 
 
+def test_rules_together_stay_under_the_bound(spark):
+    """Four rules, each true for 1.9 % of the good documents, no two for one: their verdict must not add up to 7.6 %."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(20_000):
+        odd = rng.choices(range(5), [0.019] * 4 + [0.924])[0]
+        rows.append((i, "en", *(1.0 if odd == r else 0.0 for r in range(4)), 5.0))
+    good = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{r} double" for r in RULES))
+    found = risk_controlled_cutoffs(good, 0.025, 0.1).first().asDict()
+    alone = risk_controlled_cutoffs(good.withColumns({r: F.lit(0.0) for r in list(RULES)[1:4]}), 0.025, 0.1).first()
+    rejected = [any(found[f"cutoff_{r}"] is not None and x > found[f"cutoff_{r}"] for r, x in zip(RULES, row[2:])) for row in rows]
+    assert found["n"] == 20_000 and sum(rejected) / 20_000 <= 0.025
+    assert alone["cutoff_symbol_share"] == RULES["symbol_share"][-1]
+
+
+def test_the_guarantee_holds_over_many_draws(spark):
+    """Over many holdouts and strata the true share of rejected good documents exceeds alpha no oftener than delta."""
+    rng = np.random.default_rng(12)
+    seeds, strata, n, alpha, delta = 60, 3, 400, 0.05, 0.2
+    # True shares rejected at each step of a path of one rule; the last ones are above alpha.
+    levels = (9.0, 8.0, 7.0, 6.0, 5.0)
+    shares = np.array([0.005, 0.02, 0.045, 0.07, 0.12])
+    values = np.array([9.5, 8.5, 7.5, 6.5, 5.5, 0.0])
+    bad = 0
+    rows = []
+    for seed in range(seeds):
+        for stratum in range(strata):
+            drawn = rng.choice(values, n, p=np.diff([0, *shares, 1]))
+            rows += [(seed * n * strata + stratum * n + i, seed, str(stratum), float(v)) for i, v in enumerate(drawn)]
+    good = spark.createDataFrame(rows, "doc_id long, seed int, stratum string, x double").repartition(8).cache()
+    for seed in range(seeds):
+        found = risk_controlled_cutoffs(good.filter(f"seed = {seed}"), alpha, delta, {"x": levels}).collect()
+        bad += any(r["steps"] and shares[r["steps"] - 1] > alpha for r in found)
+    good.unpersist()
+    assert bad / seeds <= delta + 0.1
+
+
+def test_repeated_rows_are_one_trial(spark):
+    rows = [(i % 100, "en", 0.9 if i % 100 == 0 else 0.0, 0.0, 0.0, 0.0, 0.0) for i in range(5000)]
+    good = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{r} double" for r in RULES))
+    assert risk_controlled_cutoffs(good, 0.025, 0.1).first()["n"] == 100
+
+
+def test_steps_go_round_the_rules():
+    assert path_of({"a": (3.0, 2.0, 1.0), "b": (9.0,)}) == [("a", 3.0), ("b", 9.0), ("a", 2.0), ("a", 1.0)]
+
+
 def test_odd_rows(spark):
     docs = documents(spark, [None, "", "x", (2, "x"), (None, GOOD), "long " * 100_000])
     docs = docs.withColumns({"stratum": F.lit(1), "n": F.lit(2), "kept": F.lit("q"), "cutoff_symbol_share": F.lit(0.0)})

@@ -59,6 +59,32 @@ def test_random_letters_are_found():
     assert sum(random_spans(f"here is {k} as given") == [k] for k in keys) > 130
 
 
+def test_random_letters_with_marks_are_found():
+    rng = random.Random(7)
+    for letters, size, mark, times in (
+        (string.ascii_lowercase, 18, "-", 2), (string.ascii_uppercase, 19, "_", 2), (string.ascii_letters, 12, "/", 3),
+        (string.ascii_uppercase, 4, "-", 6), (string.ascii_lowercase, 10, "+", 2),
+    ):
+        keys = [mark.join("".join(rng.choice(letters) for _ in range(size)) for _ in range(times)) for _ in range(200)]
+        assert sum(random_spans(f"here is {k} as given") == [k] for k in keys) >= 180, (size, mark)
+
+
+def test_words_with_marks_are_not():
+    """Names joined from the words of ordinary sentences, in four ways of writing them."""
+    rng = random.Random(9)
+    words = """time year people way day man thing woman life child world school state family student group country problem
+        hand part place case week company system program question work government number night point home water room mother
+        area money story fact month lot right study book eye job word business issue side kind head house service friend
+        father power hour game line end member law car city community name president team minute idea body information
+        back parent face others level office door health person art war history party result change morning reason""".split()
+    wrong = 0
+    for mark in ("_", "-", "/", "="):
+        for _ in range(250):
+            name = mark.join(rng.choice(words) for _ in range(rng.randrange(4, 8)))
+            wrong += random_spans(f"see {name} and {name.upper()} there") != []
+    assert wrong == 0
+
+
 def test_words_without_digits_are_not():
     for text in (
         "getElementsByTagNameAndClass", "Donaudampfschifffahrtsgesellschaft", "some_variable_name_of_words",

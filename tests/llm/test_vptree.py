@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.llm import vptree
 from tabwright.llm.vptree import Tree, nearest
 
 
@@ -65,6 +66,50 @@ def test_relaxing_visits_less_and_keeps_recall(clustered):
     assert recall[0] == 1 and recall[1] >= 0.95
 
 
+def test_queries_skip_shards_of_clustered_vectors(spark, monkeypatch):
+    """At factor 1 the result is exact and most (query, shard) pairs and most vectors are left out."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(16, 32)) * 5
+    points = centres[rng.integers(0, 16, 4000)] + 0.4 * rng.normal(size=(4000, 32))
+    rows = [(i, [float(np.float32(x)) for x in p]) for i, p in enumerate(points)]
+    docs = table(spark, rows)
+    real, visits = vptree._searched, []
+
+    def counted(asked, visited, trees, *rest):
+        visits.append((visited.count(), trees.count()))
+        return real(asked, visited, trees, *rest)
+
+    monkeypatch.setattr(vptree, "_searched", counted)
+    queries = docs.filter("vec_id % 40 = 0")
+    found = by_query(nearest(docs, queries, k=5, shard_rows=250))
+    assert found == brute_force(rows, [r for r in rows if r[0] % 40 == 0], 5)
+    shards = visits[0][1]
+    assert shards >= 16 and sum(v for v, _ in visits) < 0.5 * 100 * shards
+
+
+@pytest.mark.parametrize("relaxation, least", [(1.0, 1.0), (2.0, 0.95), (4.0, 0.9)])
+def test_recall_of_relaxed_searches(spark, clustered, relaxation, least):
+    docs = table(spark, clustered)
+    exact = brute_force(clustered, [r for r in clustered if r[0] % 10 == 0], 5)
+    found = by_query(nearest(docs, docs.filter("vec_id % 10 = 0"), k=5, relaxation=relaxation, shard_rows=200))
+    assert np.mean([len(set(found[q]) & set(ids)) / 5 for q, ids in exact.items()]) >= least
+
+
+def test_many_vectors_of_one_centre_and_mixed_lengths(spark):
+    rows = [(i, [1.0, 2.0, float(i % 3)]) for i in range(300)] + [(1000 + i, [float(i), 1.0]) for i in range(5)]
+    docs = table(spark, rows)
+    found = by_query(nearest(docs, docs.filter("vec_id % 100 = 0"), k=4, shard_rows=20))
+    assert found == brute_force(rows, [r for r in rows if r[0] % 100 == 0], 4)
+
+
+def test_packed_trees_search_alike(clustered):
+    ids, vectors = np.array([i for i, _ in clustered]), np.array([v for _, v in clustered])
+    tree = Tree(ids, vectors, leaf_rows=16)
+    again = Tree(ids, vectors, built=(tree.nodes, tree.borders, tree.order))
+    one, two = tree.search(ids[:50], vectors[:50], 7, 1.0), again.search(ids[:50], vectors[:50], 7, 1.0)
+    assert (one.ids == two.ids).all() and sorted([*tree.order, *tree.nodes[tree.nodes[:, 0] >= 0, 0]]) == list(range(len(ids)))
+
+
 def test_given_embeddings_recall(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in docs.collect()]
