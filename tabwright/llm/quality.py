@@ -14,7 +14,6 @@ few labels gets no cutoffs.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,7 +139,7 @@ def path_of(rules: dict[str, tuple[float, ...]]) -> list[tuple[str, float]]:
 def first_rejecting_step(rules: dict[str, tuple[float, ...]]) -> Column:
     """The first step, from 1, at which a row is rejected; null if none does."""
     steps = [F.when(F.col(r) > c, F.lit(t)) for t, (r, c) in enumerate(path_of(rules), 1)]
-    return reduce(lambda a, b: F.coalesce(a, b), steps, F.lit(None).cast("int"))
+    return F.coalesce(*steps, F.lit(None).cast("int"))
 
 
 def risk_controlled_cutoffs(
@@ -152,13 +151,15 @@ def risk_controlled_cutoffs(
     """
     path = path_of(rules)
     documents = good.groupBy("stratum", "doc_id").agg(F.min(first_rejecting_step(rules)).alias("first"))
-    rejected = [F.count_if(F.col("first") <= t).alias(f"k_{t}") for t in range(1, len(path) + 1)]
-    counts = documents.groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
+    rejected = F.array(*[F.count_if(F.col("first") <= t) for t in range(1, len(path) + 1)]).alias("rejected")
+    counts = documents.groupBy("stratum").agg(F.count("*").alias("n"), rejected)
     strata = counts.withColumn("n_strata", F.count("*").over(Window.partitionBy()))
-    passed = [binomial_tail(F.col("n"), F.col(f"k_{t}"), alpha) <= delta / F.col("n_strata") for t in range(1, len(path) + 1)]
+    failed = F.transform("rejected", lambda k: binomial_tail(F.col("n"), k, alpha) > delta / F.col("n_strata"))
     # Nested: a step counts only if all before it passed.
-    steps = reduce(lambda inner, t: F.when(passed[t], inner).otherwise(F.lit(t)), range(len(path) - 1, -1, -1), F.lit(len(path)))
-    walked = strata.select("stratum", "n", steps.alias("steps"))
+    first_failed = F.array_position(failed, True)
+    steps = F.when(first_failed > 0, first_failed - 1).otherwise(len(path))
+    # Stored: each cutoff below reads the number of steps, which is dear to work out.
+    walked = stage(strata.select("stratum", "n", steps.cast("int").alias("steps")), "walked")
 
     def cutoff(rule: str) -> Column:
         own = [F.when(F.col("steps") >= t, F.lit(c)) for t, (r, c) in enumerate(path, 1) if r == rule]
