@@ -34,16 +34,31 @@ def test_every_query_here_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+WITHOUT = """
+import sys
+class Without:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r}:
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Without())
+import __spark_entry__
+print(len(__spark_entry__.queries()))
+"""
+
+
+def import_without(missing):
+    root = Path(__file__).resolve().parents[1]
+    return subprocess.run([sys.executable, "-c", WITHOUT.format(missing=missing)], capture_output=True, text=True, cwd=root)
+
+
 @pytest.mark.parametrize("missing", ["public_tokenizers", "xxhash", "corpus_pipeline", "tabwright.llm"])
 def test_other_queries_stand_alone(missing):
     """Without a library of the document operators, or without them, the entry gives the rest."""
-    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()))"
-    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1])
+    done = import_without(missing)
     assert done.returncode == 0, done.stderr[-2000:]
     assert int(done.stdout) == len(QUERIES)
 
 
 def test_lost_modules_of_this_library_are_an_error():
-    code = "import sys; sys.modules['tabwright.scratch'] = None; import __spark_entry__"
-    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1])
+    done = import_without("tabwright.scratch")
     assert done.returncode != 0 and "tabwright.scratch" in done.stderr
