@@ -42,8 +42,8 @@ BROADCAST_CLASSES = 500_000
 # About how many members of a bucket are in a block, and documents and elements in a block
 # of whole sets (a longer set is alone); elements compared at a time.
 BUCKET_DOCS = 2048
-BLOCK_DOCS = 512
-BLOCK_ELEMENTS = 200_000
+BLOCK_DOCS = 1024
+BLOCK_ELEMENTS = 400_000
 CHUNK_ELEMENTS = 2048
 # Parts of the domain whose element counts rule pairs out.
 COUNT_CELLS = 64
@@ -421,9 +421,20 @@ def _members_to_compare(buckets: DataFrame, links: DataFrame, sets: DataFrame, p
         F.count("*").alias("members"), F.min(each).alias("a"), F.max(each).alias("b"), F.bit_xor(each).alias("c"),
     )
     mixed = spans.filter("low < high").groupBy("members", "a", "b", "c").agg(F.min("signature").alias("signature"))
-    open_ = known.join(mixed.select("signature"), "signature").join(sets.select("doc", "n"), "doc")
-    open_ = stage(open_.select("signature", "doc", "component", "n", F.lit(1).alias("weight")), "open")
-    pairs = _in_blocks(open_, "signature", BUCKET_DOCS, percent).join(sets.select("doc", "counts"), "doc")
+    mixed = stage(mixed.select("signature", "members"), "mixed")
+    large = mixed.filter(F.col("members") > BUCKET_DOCS).select("signature")
+    has_large = not large.isEmpty()
+
+    def opened(signatures: DataFrame) -> DataFrame:
+        """signature, doc, component, n and counts of the members of open buckets; one join fetches both numbers."""
+        rows = known.join(signatures, "signature").join(sets.select("doc", "n", "counts"), "doc")
+        return rows.select("signature", "doc", "component", "n", "counts", F.lit(1).alias("weight"))
+
+    # Buckets of one block need no dealing, and are not stored.
+    whole = {c: F.lit(0).cast("long") for c in ("i", "j", "side")}
+    pairs = opened(mixed.filter(F.col("members") <= BUCKET_DOCS).select("signature")).withColumns(whole)
+    if has_large:
+        pairs = pairs.unionByName(_in_blocks(stage(opened(large), "open"), "signature", BUCKET_DOCS, percent))
     order = ["signature", "i", "j"]
     dealt = pairs.select(*order, "side", "doc", "component", "n", "counts").repartition(*order)
     edges = dealt.sortWithinPartitions(*order, "side", "doc").mapInArrow(_edges_in_buckets(percent), "u long, v long")
