@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +13,9 @@ from tabwright.fixed import SEED
 from tabwright.functions import log_uniform, pick, unit_uniform
 from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR, build_pipeline, scaler, training_facts
 from tabwright.operators.evaluate import METRICS, evaluate_wide, to_long
-from tabwright.operators.models import PLACE, fit_layout, positive_part, predictions, row_place
+from tabwright.operators.models import PLACE, fitted, positive_part, predictions, row_place
 from tabwright.operators.stats import with_class_weight
-from tabwright.scratch import persisted, stage
+from tabwright.scratch import stage
 
 # Models that score one pass over the validation rows together; their trees travel with the task.
 MODELS_PER_PASS = 6
@@ -75,14 +74,8 @@ def fit_trials(
     estimator: Estimator, train: DataFrame, settings: Sequence[Mapping[str, object]], parallelism: int = 2,
     pieces: int | None = None,
 ) -> list:
-    """One model per setting; fits overlap so that short jobs do not leave executors idle."""
-    maps = [{estimator.getParam(name): value for name, value in s.items()} for s in settings]
-    # Every fit reads the rows in this layout: it is made once and let go after the last.
-    with persisted(fit_layout(train, train.count(), pieces=pieces)) as (rows,):
-        fits = estimator.fitMultiple(rows, maps)
-        with ThreadPool(min(parallelism, len(maps))) as pool:
-            models = dict(pool.imap_unordered(lambda _: next(fits), range(len(maps))))
-    return [models[i] for i in range(len(maps))]
+    """One model per setting, fitted on one laid-out copy of the rows."""
+    return fitted(estimator, train, train.count(), settings, parallelism, pieces)
 
 
 def _score_with(models: Mapping[int, object], rows: DataFrame, label: str) -> DataFrame:
@@ -190,7 +183,7 @@ def training_set(
 def fit_model(estimator: Estimator, training: TrainingSet, scale: bool, pieces: int | None = None) -> PipelineModel:
     """All stages and the model, fitted on rows laid out by their content."""
     stages, vectors = training.vectors(scale)
-    return PipelineModel([*stages, estimator.fit(fit_layout(vectors, training.rows, pieces=pieces))])
+    return PipelineModel([*stages, *fitted(estimator, vectors, training.rows, pieces=pieces)])
 
 
 def refit(

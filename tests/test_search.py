@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from tabwright.operators import models
 from tabwright.operators.encode import build_pipeline
 from tabwright.operators.models import PLACE, fit_layout, forest, logistic, row_place
 from tabwright.operators.search import (
@@ -90,3 +91,41 @@ def test_logistic_regression_wins_ties(spark, lr, rf, winner):
 def test_comparison_has_four_places(spark):
     row = compare_models(metrics_of(spark, 0.123456, 0.7), MODELS).filter("metric = 'f1'").first()
     assert (row["LogisticRegression"], row["RandomForest"]) == (0.1235, 0.7)
+
+
+def folded_rows(spark):
+    """1,200 rows of 12 kinds: three categories, two labels, two weights."""
+    data = [(float(k == 1), float(k == 2), float((i * 7 + k) % 10 < 3 + 2 * k), 1.0 + i % 2) for i in range(400) for k in range(3)]
+    df = spark.createDataFrame(data, "a double, b double, label double, classWeight double")
+    made = build_pipeline([], ["a", "b"]).fit(df).transform(df)
+    return stage(made.select("features", "label", "classWeight").withColumn(PLACE, row_place("label", "classWeight")), "many")
+
+
+@pytest.mark.parametrize("settings", [{}, {"standardization": False}, {"weight": None}])
+def test_regressions_fit_equal_rows_as_one(spark, monkeypatch, settings):
+    rows = folded_rows(spark)
+    sizes = []
+    whole = models._fit_each
+    monkeypatch.setattr(models, "_fit_each", lambda e, df, *rest: sizes.append(df.count()) or whole(e, df, *rest))
+    estimator = logistic(tol=1e-12, maxIter=300, **settings)
+    wanted = [{"regParam": 0.02, "elasticNetParam": 0.5}, {"regParam": 0.3, "elasticNetParam": 0.0}, {"regParam": 0.0, "elasticNetParam": 0.0}]
+    got = fit_trials(estimator, rows, wanted)
+    assert sizes[0] <= 12
+    for model, setting in zip(got, wanted):
+        single = estimator.copy({estimator.getParam(k): v for k, v in setting.items()}).fit(rows)
+        assert model.coefficients.toArray() == pytest.approx(single.coefficients.toArray(), abs=1e-6)
+        assert model.intercept == pytest.approx(single.intercept, abs=1e-6)
+        assert (model.getRegParam(), model.getElasticNetParam()) == (setting["regParam"], setting["elasticNetParam"])
+        assert model.isDefined(model.weightCol) == estimator.isDefined(estimator.weightCol)
+
+
+def test_fits_of_large_tables_do_not_overlap(vectors, monkeypatch):
+    """Each holds the rows in memory."""
+    at_once = []
+    whole = models._fit_each
+    monkeypatch.setattr(models, "_fit_each", lambda e, df, s, n: at_once.append(n) or whole(e, df, s, n))
+    settings = [{"maxDepth": 1}, {"maxDepth": 2}]
+    fit_trials(forest(numTrees=1), vectors, settings, parallelism=2)
+    monkeypatch.setattr(models, "ROWS_PER_FIT", 100)
+    fit_trials(forest(numTrees=1), vectors, settings, parallelism=2)
+    assert at_once == [2, 1]
