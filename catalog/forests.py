@@ -33,10 +33,9 @@ from tabwright.operators.models import PLACE, forest, row_place, score
 from tabwright.operators.search import (
     Choice, best_trial, draw_trials, featurize, fit_model, refit, run_trials, training_set,
 )
-from tabwright.operators.split import VALIDATION_SALT, hash_split
+from tabwright.operators.split import staged_split
 from tabwright.operators.stats import with_class_weight
 from tabwright.operators.trees import forest_nodes, leaf_rates, route, routed_probability
-from tabwright.scratch import stage
 
 # One tree of all rows and all features, so that its splits do not hang on draws.
 TREE = {"numTrees": 1, "maxBins": 64, "bootstrap": False, "featureSubsetStrategy": "all"}
@@ -72,8 +71,7 @@ LEAF_TREES = 20
 )
 def forest_leaves(spark, sf_dir):
     """Trees of depth 8 on all rows and features: each leaf holds the routed rows and their weighted rate."""
-    train, _ = _parts(spark, sf_dir)
-    training = training_set(train, CATEGORICAL, NUMERIC)
+    training = training_set(_parts(spark, sf_dir).train, CATEGORICAL, NUMERIC)
     model = fit_model(forest(numTrees=LEAF_TREES, bootstrap=False), training, scale=False)
     nodes = forest_nodes(spark, model)
     vectors = model.transform(training.weighted).select("label", "classWeight", "unscaled_features")
@@ -149,7 +147,7 @@ GROWN_SQL = f"""{LINES_SQL}, planted as (select l_orderkey, l_linenumber, {", ".
 def _grown_parts(spark, sf_dir):
     noise = unit_uniform("noise", "l_orderkey", "l_linenumber", "l_partkey")
     label = F.when(noise < F.expr(CHANCE), 1.0).otherwise(0.0)
-    return hash_split(stage(lines(spark, sf_dir).select(*KEYS, *GROWN, label.alias("label")), "grown"), KEYS)
+    return staged_split(lines(spark, sf_dir).select(*KEYS, *GROWN, label.alias("label")), KEYS, "grown")
 
 
 @query(
@@ -160,9 +158,9 @@ def _grown_parts(spark, sf_dir):
 )
 def forest_tree(spark, sf_dir):
     """One tree of depth 3 on three features; SQL grows it again."""
-    train, test = _grown_parts(spark, sf_dir)
-    model = fit_model(forest(**TREE, maxDepth=3), training_set(train, [], GROWN), scale=False)
-    return score(model, test, [*KEYS, "label"]).withColumn("probability", F.round("probability", 6))
+    parts = _grown_parts(spark, sf_dir)
+    model = fit_model(forest(**TREE, maxDepth=3), training_set(parts.train, [], GROWN), scale=False)
+    return score(model, parts.test, [*KEYS, "label"]).withColumn("probability", F.round("probability", 6))
 
 
 DEPTH_SETTINGS = [(d, m) for m in DEPTH_SPACE["minInstancesPerNode"].values for d in DEPTH_SPACE["maxDepth"].values]
@@ -186,13 +184,12 @@ def _depth_sql(fitted_on: str, scored: str) -> str:
         from drawn join settings on d = "maxDepth" and m = "minInstancesPerNode" join metrics using (model))"""
 
 
-def _depth_trials(spark, train):
-    tuning, validation = hash_split(train, KEYS, salt=VALIDATION_SALT)
-    weighted = with_class_weight(tuning, training_weights(tuning, [], GROWN)).withColumn(PLACE, row_place(*KEYS))
+def _depth_trials(spark, parts):
+    weighted = with_class_weight(parts.tuning, training_weights(parts.tuning, [], GROWN)).withColumn(PLACE, row_place(*KEYS))
     stages = build_pipeline([], GROWN, scale=False).fit(weighted)
     found = run_trials(
         forest(**TREE), draw_trials(spark, TRIALS, DEPTH_SPACE), DEPTH_SPACE,
-        stage(featurize(stages, weighted, weight="classWeight"), "tuning"), stage(featurize(stages, validation), "validation"),
+        featurize(stages, weighted, weight="classWeight"), featurize(stages, parts.validation),
     )
     return _areas(found, "trial_id", *DEPTH_SPACE)
 
@@ -200,7 +197,7 @@ def _depth_trials(spark, train):
 @query("trials_by_depth", f"with {GROWN_SQL}, {_depth_sql('tuning', 'validation')} select * from trials")
 def trials_by_depth(spark, sf_dir):
     """Trees of unlike depth and leaf size; each setting has areas of its own, which SQL finds again."""
-    return _depth_trials(spark, _grown_parts(spark, sf_dir)[0])
+    return _depth_trials(spark, _grown_parts(spark, sf_dir))
 
 
 @query(
@@ -211,9 +208,9 @@ def trials_by_depth(spark, sf_dir):
 )
 def refit_by_depth(spark, sf_dir):
     """The best of those trials on validation rows, fitted on all training rows and measured on the test rows."""
-    train, test = _grown_parts(spark, sf_dir)
-    best = best_trial(_depth_trials(spark, train)).first()
+    parts = _grown_parts(spark, sf_dir)
+    best = best_trial(_depth_trials(spark, parts)).first()
     settings = {name: best[name] for name in DEPTH_SPACE}
-    _, metrics = refit(forest(**{**TREE, **settings}), training_set(train, [], GROWN), test, scale=False)
+    _, metrics = refit(forest(**{**TREE, **settings}), training_set(parts.train, [], GROWN), parts.test, scale=False)
     chosen = {"trial_id": best["trial_id"], **settings}
     return _areas(metrics.withColumns({k: F.lit(v) for k, v in chosen.items()}), *chosen)

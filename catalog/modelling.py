@@ -30,9 +30,9 @@ from tabwright.operators.search import (
     run_trials,
     training_set,
 )
-from tabwright.operators.split import VALIDATION_SALT, hash_split
+from tabwright.operators.split import staged_split
 from tabwright.operators.stats import with_class_weight
-from tabwright.scratch import scratch_path, stage
+from tabwright.scratch import scratch_path
 from tabwright.sources.models import load_model, save_model
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -47,7 +47,7 @@ TUNING_ROWS = "md5(concat_ws('|', 'validation-42', l_orderkey::varchar, l_linenu
 
 
 def _parts(spark, sf_dir):
-    """Train and test rows: unique lines with features, staged and split by key."""
+    """Unique lines with features, staged and split by key."""
     rows = lines(spark, sf_dir).select(
         *KEYS,
         "l_linestatus",
@@ -56,21 +56,21 @@ def _parts(spark, sf_dir):
         safe_ratio("l_extendedprice", "l_quantity", "l_tax").alias("unit_price"),
         binary_label("l_returnflag", "R").alias("label"),
     )
-    return hash_split(stage(rows, "lines"), KEYS)
+    return staged_split(rows, KEYS, "lines")
 
 
 def _fit(spark, sf_dir, estimator, scale=True):
-    train, test = _parts(spark, sf_dir)
-    training = training_set(train, CATEGORICAL, NUMERIC)
-    return fit_model(estimator, training, scale), training, test
+    parts = _parts(spark, sf_dir)
+    training = training_set(parts.train, CATEGORICAL, NUMERIC)
+    return fit_model(estimator, training, scale), training, parts.test
 
 
 def _planted_parts(spark, sf_dir):
-    """Train and test rows with the planted label."""
+    """Unique lines with the planted label, staged and split by key."""
     noise = unit_uniform("noise", "l_orderkey", "l_linenumber", "l_partkey")
     label = F.when(noise * 60 < F.col("l_quantity"), 1.0).otherwise(0.0)
     rows = lines(spark, sf_dir).select(*KEYS, "l_returnflag", "l_linestatus", "l_quantity", label.alias("label"))
-    return hash_split(stage(rows, "planted"), KEYS)
+    return staged_split(rows, KEYS, "planted")
 
 
 NOISE_SQL = """('0x' || substr(md5(concat_ws('|', 'noise', l_orderkey::varchar, l_linenumber::varchar,
@@ -107,7 +107,7 @@ def _stump_sql(rows: str) -> str:
 )
 def logistic_fit(spark, sf_dir):
     """Without a penalty each category gets its weighted rate."""
-    train, _ = _planted_parts(spark, sf_dir)
+    train = _planted_parts(spark, sf_dir).train
     model = fit_model(logistic(regParam=0.0, tol=1e-10), training_set(train, ["l_returnflag"], []), scale=True)
     scored = score(model, train, ["l_returnflag"])
     return scored.groupBy("l_returnflag").agg(
@@ -157,7 +157,7 @@ def logistic_balance(spark, sf_dir):
 )
 def forest_fit(spark, sf_dir):
     """One tree of one cut on all rows: the cut of least impurity and the rates of its sides."""
-    train, _ = _planted_parts(spark, sf_dir)
+    train = _planted_parts(spark, sf_dir).train
     model = fit_model(forest(**STUMP), training_set(train, [], ["l_quantity"]), scale=False)
     quantities = train.select("l_quantity").distinct()
     return score(model, quantities, ["l_quantity"]).select("l_quantity", F.round("probability", 6).alias("probability"))
@@ -170,7 +170,8 @@ def forest_fit(spark, sf_dir):
     case when rate > 0.5 then 1e0 else 0e0 end as prediction from test join rates using (l_returnflag)""",
 )
 def batch_score(spark, sf_dir):
-    train, test = _planted_parts(spark, sf_dir)
+    parts = _planted_parts(spark, sf_dir)
+    train, test = parts.train, parts.test
     model = fit_model(logistic(regParam=0.0, tol=1e-10), training_set(train, ["l_returnflag"], []), scale=True)
     return score(model, test, [*KEYS, "label"]).withColumn("probability", F.round("probability", 4))
 
@@ -183,7 +184,8 @@ def batch_score(spark, sf_dir):
 )
 def batch_score_checked(spark, sf_dir):
     """Scores of the test rows by category, beside the share of ones among them."""
-    train, test = _planted_parts(spark, sf_dir)
+    parts = _planted_parts(spark, sf_dir)
+    train, test = parts.train, parts.test
     model = fit_model(logistic(regParam=0.0, tol=1e-10), training_set(train, ["l_linestatus"], []), scale=True)
     scored = score(model, test, ["l_linestatus", "label"])
     return scored.groupBy("l_linestatus").agg(
@@ -200,7 +202,8 @@ def batch_score_checked(spark, sf_dir):
     case when rate > 0.5 then 1e0 else 0e0 end as prediction from test join leaves on low = (l_quantity <= cut)""",
 )
 def forest_score_checked(spark, sf_dir):
-    train, test = _planted_parts(spark, sf_dir)
+    parts = _planted_parts(spark, sf_dir)
+    train, test = parts.train, parts.test
     model = fit_model(forest(**STUMP), training_set(train, [], ["l_quantity"]), scale=False)
     return score(model, test, [*KEYS, "label"]).withColumn("probability", F.round("probability", 6))
 
@@ -223,18 +226,17 @@ def model_roundtrip(spark, sf_dir):
     return after.agg(F.count("*").alias("n_rows"), F.count_if(changed).cast("int").alias("n_changed"))
 
 
-def _trial_rows(spark, train, estimator, space):
+def _trial_rows(spark, parts, estimator, space):
     """Trials on the quantity alone, with their areas on the validation rows."""
-    tuning, validation = hash_split(train, KEYS, salt=VALIDATION_SALT)
-    weighted = with_class_weight(tuning, training_weights(tuning, [], ["l_quantity"]))
+    weighted = with_class_weight(parts.tuning, training_weights(parts.tuning, [], ["l_quantity"]))
     weighted = weighted.withColumn(PLACE, row_place(*KEYS))
     stages = build_pipeline([], ["l_quantity"]).fit(weighted)
     return run_trials(
         estimator,
         draw_trials(spark, TRIALS, space),
         space,
-        stage(featurize(stages, weighted, weight="classWeight"), "tuning"),
-        stage(featurize(stages, validation), "validation"),
+        featurize(stages, weighted, weight="classWeight"),
+        featurize(stages, parts.validation),
     )
 
 
@@ -263,8 +265,8 @@ def _quantity_sql(rows: str) -> str:
 )
 def trials(spark, sf_dir):
     """Six settings of the logistic regression with their validation areas."""
-    train, _ = _planted_parts(spark, sf_dir)
-    return _areas(_trial_rows(spark, train, logistic(), LOGISTIC_SPACE), "trial_id", *LOGISTIC_SPACE)
+    parts = _planted_parts(spark, sf_dir)
+    return _areas(_trial_rows(spark, parts, logistic(), LOGISTIC_SPACE), "trial_id", *LOGISTIC_SPACE)
 
 
 def _areas(df, *keep):
@@ -281,8 +283,8 @@ STUMP_SCORES = "select 1 as model, rate as score, 0 as prediction, label from va
 )
 def forest_trials(spark, sf_dir):
     """Six settings of a forest of one stump with their validation areas."""
-    train, _ = _planted_parts(spark, sf_dir)
-    return _areas(_trial_rows(spark, train, forest(**STUMP), STUMP_SPACE), "trial_id", *STUMP_SPACE)
+    parts = _planted_parts(spark, sf_dir)
+    return _areas(_trial_rows(spark, parts, forest(**STUMP), STUMP_SPACE), "trial_id", *STUMP_SPACE)
 
 
 @query(
@@ -294,10 +296,10 @@ def forest_trials(spark, sf_dir):
 )
 def refit_best(spark, sf_dir):
     """The best logistic setting refitted on all training rows; the trials tie, so the first wins."""
-    train, test = _planted_parts(spark, sf_dir)
-    tried = _areas(_trial_rows(spark, train, logistic(), LOGISTIC_SPACE), "trial_id", *LOGISTIC_SPACE)
+    parts = _planted_parts(spark, sf_dir)
+    tried = _areas(_trial_rows(spark, parts, logistic(), LOGISTIC_SPACE), "trial_id", *LOGISTIC_SPACE)
     best = best_trial(tried).first()
     settings = {name: best[name] for name in LOGISTIC_SPACE}
-    _, metrics = refit(logistic(**settings), training_set(train, [], ["l_quantity"]), test)
+    _, metrics = refit(logistic(**settings), training_set(parts.train, [], ["l_quantity"]), parts.test)
     chosen = {"trial_id": best["trial_id"], **settings}
     return _areas(metrics.withColumns({k: F.lit(v) for k, v in chosen.items()}), *chosen)

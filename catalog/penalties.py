@@ -30,9 +30,8 @@ from tabwright.operators.models import PLACE, logistic, row_place
 from tabwright.operators.search import (
     Choice, LogUniform, best_trial, draw_trials, featurize, refit, run_trials, training_set,
 )
-from tabwright.operators.split import VALIDATION_SALT, hash_split
+from tabwright.operators.split import staged_split
 from tabwright.operators.stats import with_class_weight
-from tabwright.scratch import stage
 
 CATEGORY = "kind"
 HALVINGS = 60
@@ -101,16 +100,15 @@ def _rows(spark, sf_dir):
     noise = unit_uniform("noise", "l_orderkey", "l_linenumber", "l_partkey")
     label = F.when(noise < F.expr(CHANCE), 1.0).otherwise(0.0)
     kind = F.expr(KIND).cast("int").cast("string")
-    return hash_split(stage(lines(spark, sf_dir).select(*KEYS, kind.alias(CATEGORY), label.alias("label")), "kinds"), KEYS)
+    return staged_split(lines(spark, sf_dir).select(*KEYS, kind.alias(CATEGORY), label.alias("label")), KEYS, "kinds")
 
 
-def _trials(spark, train):
-    tuning, validation = hash_split(train, KEYS, salt=VALIDATION_SALT)
-    weighted = with_class_weight(tuning, training_weights(tuning, [CATEGORY], [])).withColumn(PLACE, row_place(*KEYS))
+def _trials(spark, parts):
+    weighted = with_class_weight(parts.tuning, training_weights(parts.tuning, [CATEGORY], [])).withColumn(PLACE, row_place(*KEYS))
     stages = build_pipeline([CATEGORY], []).fit(weighted)
     return run_trials(
         logistic(tol=1e-12), draw_trials(spark, TRIALS, PENALTY_SPACE), PENALTY_SPACE,
-        stage(featurize(stages, weighted, weight="classWeight"), "tuning"), stage(featurize(stages, validation), "validation"),
+        featurize(stages, weighted, weight="classWeight"), featurize(stages, parts.validation),
     )
 
 
@@ -123,8 +121,8 @@ SHOWN = 'trial_id, "maxIter", "regParam", "elasticNetParam", round(roc_auc, 6) a
 )
 def trials_by_penalty(spark, sf_dir):
     """Six settings of the penalised regression on one category with their validation areas."""
-    train, _ = _rows(spark, sf_dir)
-    return _areas(_trials(spark, train), "trial_id", *PENALTY_SPACE)
+    parts = _rows(spark, sf_dir)
+    return _areas(_trials(spark, parts), "trial_id", *PENALTY_SPACE)
 
 
 @query(
@@ -136,9 +134,9 @@ def trials_by_penalty(spark, sf_dir):
 )
 def refit_by_penalty(spark, sf_dir):
     """The best setting by its validation area, refitted on all training rows, with its test areas."""
-    train, test = _rows(spark, sf_dir)
-    best = best_trial(_areas(_trials(spark, train), "trial_id", *PENALTY_SPACE)).first()
+    parts = _rows(spark, sf_dir)
+    best = best_trial(_areas(_trials(spark, parts), "trial_id", *PENALTY_SPACE)).first()
     settings = {name: best[name] for name in PENALTY_SPACE}
-    _, metrics = refit(logistic(tol=1e-12, **settings), training_set(train, [CATEGORY], []), test)
+    _, metrics = refit(logistic(tol=1e-12, **settings), training_set(parts.train, [CATEGORY], []), parts.test)
     chosen = {"trial_id": best["trial_id"], **settings}
     return _areas(metrics.withColumns({k: F.lit(v) for k, v in chosen.items()}), *chosen)

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tabwright.operators.split import VALIDATION_SALT, hash_split, random_split
+from tabwright.operators.split import VALIDATION_SALT, hash_split, random_split, staged_split
 
 
 def keys(df):
@@ -47,3 +47,14 @@ def test_random_split_keeps_every_row(spark):
     train, test = random_split(df)
     assert keys(train) | keys(test) == set(range(1000)) and not keys(train) & keys(test)
     assert keys(random_split(df)[0]) == keys(train)
+
+
+def test_staged_parts_are_those_of_the_splits_and_read_no_digests(spark):
+    df = spark.range(2000).selectExpr("id", "id % 7 as v").union(spark.sql("select cast(null as bigint), 1L"))
+    parts = staged_split(df, ["id"], "parts")
+    train, test = hash_split(df, ["id"])
+    tuning, validation = hash_split(train, ["id"], salt=VALIDATION_SALT)
+    for got, wanted in zip((parts.train, parts.test, parts.tuning, parts.validation), (train, test, tuning, validation)):
+        assert got.columns == df.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+        assert "md5" not in got._jdf.queryExecution().optimizedPlan().toString()
