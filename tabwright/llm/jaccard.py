@@ -12,7 +12,10 @@ where a set has too few others.
 Rows of one shingle set form a class, numbered by a hash of the set, and one row signs for
 it. Members of a bucket (one signature) are compared with its least member, the pivot. Where
 that leaves a bucket in several components, element counts in parts of the domain rule most
-pairs out. What remains together is compared on whole sets. Both steps deal a large bucket
+pairs out. What remains together is compared on whole sets. A whole set travels once per
+pair, so pairs are first ruled out by the parities of many small cells, and of a document's
+pivots only the nearest is tried before the others, which count only where components
+differ still. Both steps deal a large bucket
 or family into bounded blocks, large components apart from the rest, and take up only pairs
 of blocks that more than one component is in; a pair of blocks gives no more links than
 join the components. Every link is checked on whole sets.
@@ -234,8 +237,15 @@ def cell_counts(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """A bit per cell of the domain: whether it holds an odd number of elements; four cells an element or more."""
+    cells = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    held = np.bincount((shingles & U64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((held & 1).astype(np.uint8)).tobytes()
+
+
 def _sets_of(texts: DataFrame, classes: DataFrame, ids: DataFrame, length: int, seed: int) -> DataFrame:
-    """doc (a class), its whole set, the set's size and its cell counts, for the listed classes."""
+    """doc (a class), its whole set, the set's size, cell counts and parities, for the listed classes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,13 +255,25 @@ def _sets_of(texts: DataFrame, classes: DataFrame, ids: DataFrame, length: int,
                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
                 pa.array([len(s) for s in found], pa.int64()),
                 pa.array([cell_counts(s) for s in found], pa.binary()),
+                pa.array([parities(s) for s in found], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "n", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "n", "counts", "odd"])
 
     listed = stage(classes.join(ids, classes["node"] == ids["doc"], "left_semi").select("doc_id", "said"), "listed")
-    wanted = texts.join(bounded(listed, BROADCAST_IDS), ["doc_id", "said"], "left_semi")
-    kind = "doc long, shingles array<long>, n long, counts binary"
-    return wanted.mapInArrow(sets, kind).dropDuplicates(["doc"])
+    key = ["doc_id", "said"]
+    wanted = texts.join(bounded(listed, BROADCAST_IDS), key, "left_semi")
+    # Rows that repeat id and text are few: only they are shuffled, and no set is.
+    again = bounded(stage(wanted.groupBy(*key).count().filter("count > 1").select(*key), "again"), BROADCAST_IDS)
+    once = wanted.join(again, key, "left_anti").select(*key, "text")
+    wanted = once.unionAll(wanted.join(again, key, "left_semi").groupBy(*key).agg(F.first("text").alias("text")))
+    kind = "doc long, shingles array<long>, n long, counts binary, odd binary"
+    return wanted.mapInArrow(sets, kind)
+
+
+def _only(sets: DataFrame, ids: DataFrame, column: str = "doc") -> DataFrame:
+    """The sets of the listed classes, so that a join does not shuffle the others."""
+    listed = stage(ids.select(F.col(column).alias("doc")).distinct(), "listed")
+    return sets.join(bounded(listed, BROADCAST_IDS), "doc", "left_semi")
 
 
 def apart(first: pa.Array, second: pa.Array) -> pa.Array:
@@ -260,29 +282,67 @@ def apart(first: pa.Array, second: pa.Array) -> pa.Array:
     return pa.array(np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64))
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that sizes and cell counts do not rule out; whole sets stay where they are."""
-    left = sets.select(F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col("counts").alias("c_u"))
-    right = sets.select(F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col("counts").alias("c_v"))
+def odd_apart(first: pa.Array, second: pa.Array) -> pa.Array:
+    """In how many elements two sets differ at least, by their parities."""
+
+    def differ(one: bytes, other: bytes) -> int:
+        a, b = sorted((np.frombuffer(x, np.uint8) for x in (one, other)), key=len)
+        while len(b) > len(a):
+            # Cells are the low bits of an element: two halves on one another are the cells of half as many.
+            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+        return int(np.bitwise_count(a ^ b).sum())
+
+    return pa.array([differ(a, b) for a, b in zip(first.to_pylist(), second.to_pylist(), strict=True)], pa.int64())
+
+
+def _ruled(pairs: DataFrame, first: DataFrame, second: DataFrame, percent: int, column: str, least) -> DataFrame:
+    """u, v and differ of the pairs that ``least`` differences by ``column`` do not rule out; whole sets stay where they are."""
+    left = first.select(F.col("doc").alias("u"), F.col("n").alias("n_u"), F.col(column).alias("c_u"))
+    right = second.select(F.col("doc").alias("v"), F.col("n").alias("n_v"), F.col(column).alias("c_v"))
     allowed = F.expr(f"(n_u + n_v) * {100 - percent} div {100 + percent}")
     both = pairs.join(left, "u").join(right, "v")
-    differ = F.arrow_udf(apart, "long")(F.col("c_u"), F.col("c_v"))
-    return both.filter(differ <= allowed).select("u", "v")
+    differ = F.arrow_udf(least, "long")(F.col("c_u"), F.col("c_v"))
+    return both.select("u", "v", differ.alias("differ"), allowed.alias("allowed")).filter("differ <= allowed").drop("allowed")
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and cell counts do not rule out, and in how many elements they differ at least."""
+    return _ruled(pairs, sets, sets, percent, "counts", apart)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets are similar enough."""
-    left = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
-    right = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("second"))
+    """The pairs (u, v) whose whole sets are similar enough; the sets travel for those whose parities allow it."""
+    ends = [_only(sets, pairs, c) for c in ("u", "v")]
+    likely = stage(_ruled(pairs, *ends, percent, "odd", odd_apart).select("u", "v"), "likely")
+    left = _only(sets, likely, "u").select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
+    right = _only(sets, likely, "v").select(F.col("doc").alias("v"), F.col("shingles").alias("second"))
     n, m = F.size("first").cast("long"), F.size("second").cast("long")
     both = F.size(F.array_intersect("first", "second")).cast("long")
     near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return (
-        pairs.join(left, "u").join(right, "v").filter(near)
+        likely.join(left, "u").join(right, "v").filter(near)
         .filter(both * 100 >= (n + m - both) * percent).select("u", "v")
     )
 
 
+def _links_of_pivots(possible: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the possible pairs (u, v), enough to join what all of them join.
+
+    In a large family a document meets many pivots, and nearly all those pairs join what is
+    joined already. The nearest pivot of each document goes first; another pair is compared
+    only where its ends are in unlike components after that.
+    """
+    nearest = possible.groupBy("v").agg(F.min(F.struct("differ", "u")).alias("at"))
+    first = stage(_linked(nearest.select("at.u", "v"), sets, percent), "links")
+    found = components(first)
+    ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("u", "v")]
+    rest = possible.select("u", "v").join(ends[0], "u", "left").join(ends[1], "v", "left")
+    rest = rest.filter(F.coalesce("u_in", "u") != F.coalesce("v_in", "v")).select("u", "v")
+    # The pairs tried are apart as well, if they are not similar.
+    rest = rest.join(nearest.select("at.u", "v"), ["u", "v"], "left_anti")
+    return first.unionAll(stage(_linked(rest, sets, percent), "links"))
+
+
 class Bucket:
     """Members of one bucket, or of two of its blocks, and the edges between those that may be similar."""
 
@@ -492,9 +552,78 @@ def _compare(percent: int):
     return compare
 
 
+class Parities:
+    """Parities of the members of a pair of blocks, by their length and folded to a shorter one."""
+
+    def __init__(self, odd: list[bytes]) -> None:
+        self.sizes = np.array([len(x) for x in odd])
+        self.row = np.zeros(len(odd), np.int64)
+        self.made: dict[tuple[int, int], np.ndarray] = {}
+        for size in np.unique(self.sizes):
+            there = np.flatnonzero(self.sizes == size)
+            self.row[there] = np.arange(len(there))
+            self.made[size, size] = np.stack([np.frombuffer(odd[i], np.uint64) for i in there])
+
+    def folded(self, size: int, to: int) -> np.ndarray:
+        if (size, to) not in self.made:
+            twice = self.folded(size, 2 * to)
+            half = twice.shape[1] // 2
+            self.made[size, to] = twice[:, :half] ^ twice[:, half:]
+        return self.made[size, to]
+
+    def apart(self, one: int, others: np.ndarray) -> np.ndarray:
+        """In how many elements each of the others differs at least from the one."""
+        found = np.empty(len(others), np.int64)
+        for size in np.unique(self.sizes[others]):
+            to = min(size, self.sizes[one])
+            at = np.flatnonzero(self.sizes[others] == size)
+            mine = self.folded(self.sizes[one], to)[self.row[one]]
+            found[at] = np.bitwise_count(self.folded(size, to)[self.row[others[at]]] ^ mine).sum(axis=1, dtype=np.int64)
+        return found
+
+
+def _edges_by_parities(percent: int):
+    """As few edges as connect the members of two blocks (or of one) that may be similar across components."""
+
+    def edges(group: pa.Table) -> pa.Table:
+        docs, parts, sizes, sides = [group.column(c).to_numpy() for c in ("doc", "component", "n", "side")]
+        odd = Parities(group.column("odd").to_pylist())
+        labels = np.arange(len(docs))
+        met = sides == sides.max()
+        found = []
+        for i in np.flatnonzero(sides == 0):
+            rest = np.flatnonzero(met & (parts != parts[i]) & (labels != labels[i]))
+            small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
+            rest = rest[small * 100 >= large * percent]
+            allowed = (100 - percent) * (sizes[rest] + sizes[i]) // (100 + percent)
+            for start in range(0, len(rest), 256):
+                some = rest[start : start + 256]
+                for j in some[odd.apart(i, some) <= allowed[start : start + 256]]:
+                    if labels[j] != labels[i]:
+                        found.append((int(docs[i]), int(docs[j])))
+                        labels[labels == labels[j]] = labels[i]
+        u, v = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return edges
+
+
+def _likely_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` in the smaller families that parities leave connected; those left alone go.
+
+    Cell counts say little of large sets, so strangers fill a family. Parities say more and
+    are a sixteenth of a set or less; whole sets then travel for what they leave.
+    """
+    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(_only(sets, members).select("doc", "odd"), "doc")
+    grouped = rows.select("family", "i", "j", "side", "doc", "component", "n", "odd").groupBy("family", "i", "j")
+    families = components(grouped.applyInArrow(_edges_by_parities(percent), "u long, v long"))
+    of = families.select(F.col("node").alias("doc"), F.col("component").alias("family"))
+    return members.drop("family").join(of, "doc").select("family", "doc", "component", "n", "weight")
+
+
 def _links_between_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that pivots did not find: blocks of a family against one another, on whole sets."""
-    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(sets.select("doc", "shingles"), "doc")
+    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(_only(sets, members).select("doc", "shingles"), "doc")
     grouped = rows.select("family", "i", "j", "side", "doc", "component", "shingles").groupBy("family", "i", "j")
     return grouped.applyInArrow(_compare(percent), "u long, v long")
 
@@ -528,9 +657,10 @@ def jaccard_components(
     ids = buckets.select("doc").unionAll(buckets.select(F.col("pivot").alias("doc"))).distinct()
     sets = stage(_sets_of(texts, classes, ids, length, seed), "candidates")
     possible = stage(_possible(pairs, sets, percent), "possible")
-    links = stage(_linked(possible, sets, percent), "links")
+    links = _links_of_pivots(possible, sets, percent)
 
     members = stage(_members_to_compare(buckets, links, sets, percent), "members")
+    members = stage(_likely_members(members, sets, percent), "members")
     links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
 
     # An id that stands for several texts ties their classes together.

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,55 @@ def test_cell_counts_never_rule_out_similar_sets():
                     assert label[a] == label[b]
 
 
+def test_parities_never_rule_out_similar_sets():
+    rng = np.random.default_rng(9)
+    ruled = 0
+    for size in (1, 15, 17, 64, 300, 1000, 5000):
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for share in (0.0, 0.1, 0.2, 0.7):
+            kept = np.delete(base, rng.choice(len(base), int(len(base) * share), replace=False))
+            other = np.unique(np.concatenate([kept, rng.integers(0, 2**64, size // 10, dtype=np.uint64)]))
+            differ = len(np.setxor1d(base, other))
+            found = jaccard.odd_apart(*(pa.array([jaccard.parities(s)]) for s in (base, other)))[0].as_py()
+            assert found <= differ and (differ - found) % 2 == 0
+            ruled += share == 0.7 and found > 20 * (len(base) + len(other)) // 180
+    assert ruled >= 5
+
+
+def test_parities_part_a_family_of_strangers():
+    """Large strangers whose cell counts are alike: edges by parities join the similar ones only, in one block or two."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for group in range(8):
+        base = np.unique(rng.integers(0, 2**64, 1000 + 12 * group, dtype=np.uint64))
+        sets += [base, np.unique(np.append(base[: len(base) * 19 // 20], rng.integers(0, 2**64, 30, dtype=np.uint64)))]
+    docs = list(range(len(sets)))
+    for sides in ([0] * len(sets), [d % 2 for d in docs]):
+        group = pa.table({"doc": docs, "component": docs, "n": [len(s) for s in sets], "side": sides,
+                          "odd": [jaccard.parities(s) for s in sets]})
+        edges = jaccard._edges_by_parities(80)(group)
+        assert {frozenset(e.values()) for e in edges.to_pylist()} == {frozenset({d, d + 1}) for d in docs[::2]}
+
+
+def test_whole_sets_travel_for_few_pairs_of_a_family(spark, monkeypatch):
+    """A family whose members meet many pivots: about one pair a member is compared, and all are joined."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for at in rng.sample(range(300), 3):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    tried, possible = [], []
+    linked, ruled = jaccard._linked, jaccard._possible
+    monkeypatch.setattr(jaccard, "_linked", lambda pairs, *rest: tried.append(pairs.count()) or linked(pairs, *rest))
+    monkeypatch.setattr(jaccard, "_possible", lambda *all: possible.append(ruled(*all)) or possible[-1])
+    got = found(documents(spark, texts), 5, 80)
+    assert {c for _, c in got.values()} == {0}
+    assert possible[0].count() > 150 and sum(tried) < 100
+
+
 def test_edges_leave_no_similar_pair_apart_across_components():
     """0 and 1 are of one component, so are 2 and 3; 0-2 and 1-3 may both be similar."""
     counts = np.zeros((4, 64), np.uint8)
