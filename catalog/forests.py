@@ -28,14 +28,15 @@ from catalog.modelling import (
 from catalog.registry import metrics_ctes, query
 from catalog.search import _pick_sql
 from tabwright.functions import unit_uniform
-from tabwright.operators.encode import build_pipeline, training_weights
+from tabwright.operators.encode import RAW_VECTOR, build_pipeline, training_weights
 from tabwright.operators.models import PLACE, forest, row_place, score
 from tabwright.operators.search import (
     Choice, best_trial, draw_trials, featurize, fit_model, refit, run_trials, training_set,
 )
 from tabwright.operators.split import staged_split
 from tabwright.operators.stats import with_class_weight
-from tabwright.operators.trees import forest_nodes, leaf_rates, route, routed_probability
+from tabwright.operators.trees import forest_grid, forest_nodes, leaf_rates, route, routed_probability
+from tabwright.scratch import stage
 
 # One tree of all rows and all features, so that its splits do not hang on draws.
 TREE = {"numTrees": 1, "maxBins": 64, "bootstrap": False, "featureSubsetStrategy": "all"}
@@ -53,11 +54,14 @@ def forest_full(spark, sf_dir):
     """The default forest on all features; its nodes, joined to the test rows, give its probabilities."""
     model, _, test = _fit(spark, sf_dir, forest(), scale=False)
     nodes = forest_nodes(spark, model)
-    vectors = model.transform(test).select(*KEYS, "unscaled_features")
-    routed = routed_probability(route(vectors, nodes, KEYS), KEYS)
-    scored = score(model, test, KEYS).select(*KEYS, F.col("probability").alias("expected"))
+    grid = forest_grid(nodes)
+    scored = score(model, test, [*KEYS, RAW_VECTOR]).withColumnRenamed("probability", "expected").drop("prediction")
+    scored = stage(grid.of(scored), "scored")
+    # Rows of one cell take the same way, so it is routed once.
+    cells = scored.select(*grid.columns).distinct().withColumn(RAW_VECTOR, grid.vector())
+    routed = routed_probability(route(cells, nodes, grid.columns), grid.columns)
     agrees = F.abs(F.col("probability") - F.col("expected")) < 1e-9
-    return routed.join(scored, KEYS).select(*KEYS, "n_trees", agrees.alias("agrees"))
+    return scored.join(routed, grid.columns).select(*KEYS, "n_trees", agrees.alias("agrees"))
 
 
 LEAF_TREES = 20
@@ -74,8 +78,11 @@ def forest_leaves(spark, sf_dir):
     training = training_set(_parts(spark, sf_dir).train, CATEGORICAL, NUMERIC)
     model = fit_model(forest(numTrees=LEAF_TREES, bootstrap=False), training, scale=False)
     nodes = forest_nodes(spark, model)
-    vectors = model.transform(training.weighted).select("label", "classWeight", "unscaled_features")
-    leaves = leaf_rates(route(vectors, nodes, ["label", "classWeight"]), nodes)
+    vectors = model.transform(training.weighted).select("label", "classWeight", RAW_VECTOR)
+    grid = forest_grid(nodes)
+    cells = grid.of(vectors).groupBy("label", "classWeight", *grid.columns).agg(F.count("*").alias("n"))
+    cells = cells.withColumn(RAW_VECTOR, grid.vector())
+    leaves = leaf_rates(route(cells, nodes, ["label", "classWeight", "n"]), nodes, count="n")
     roots = nodes.groupBy("tree").agg(
         F.round(F.max(F.when(F.col("node") == 0, F.col("impurity"))), 6).alias("root_impurity"),
         (F.min(F.coalesce("gain", F.lit(1.0))) > 0).alias("splits_gain"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabwright.fixed import FOREST_SETTINGS, LOGISTIC_SETTINGS, SEED
 from tabwright.operators.encode import RAW_VECTOR, SCALED_VECTOR
+from tabwright.operators.folds import can_fold, fit_cells, fold
 from tabwright.scratch import persisted, stage
 
 # Rows of one piece of a training table, and the fewest pieces.
@@ -26,6 +27,10 @@ GROUP_WEIGHT = "_weight"
 SMALL_GROUPS = 20_000
 # Rows from which the jobs of one fit fill the executors, and fits no longer overlap.
 ROWS_PER_FIT = 4_000_000
+# Rows from which a forest is fitted on folded rows, and how many rows a fold must hold on average:
+# trees on folded rows are fitted one by one, each at several times the cost of a row.
+FOLDED_FROM = 4_000_000
+ROWS_PER_FOLD = 8
 
 
 def logistic(label: str = "label", weight: str | None = "classWeight", **settings) -> LogisticRegression:
@@ -127,7 +132,8 @@ def fitted(
 
     A regression passes over its rows a hundred times: rows equal in vector, label and
     weight are first folded into one of their total weight, which leaves the optimum as it
-    is. A forest draws and counts single rows, so it reads them all.
+    is. A large forest folds rows that its bins cannot tell apart, where few enough are left;
+    every tree draws from all rows still. Otherwise a forest reads all rows at every level.
     """
     if isinstance(estimator, LogisticRegression):
         groups, n, variances = _folded(df, estimator)
@@ -146,6 +152,12 @@ def fitted(
                 model.clear(model.weightCol)
         return models
 
+    if isinstance(estimator, RandomForestClassifier) and len(settings) == 1 and rows > FOLDED_FROM:
+        chosen = estimator.copy({estimator.getParam(name): value for name, value in settings[0].items()})
+        folded = fold(df, chosen, PLACE) if can_fold(chosen) else None
+        if folded is not None and (n := folded[0].count()) <= rows // ROWS_PER_FOLD:
+            return [fit_cells(chosen, fit_layout(folded[0], n, pieces=pieces), *folded[1:])]
+
     layout = fit_layout(df, rows, pieces=pieces)
     if rows > ROWS_PER_FIT:
         # Each fit holds rows of its own in memory.

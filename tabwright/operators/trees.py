@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.encode import RAW_VECTOR
+from tabwright.operators.folds import bucketed, cell_columns, slot_columns
 from tabwright.scratch import scratch_path, stage
 
 # A node table is broadcast only when it was counted and is not longer than this.
@@ -82,20 +84,56 @@ def route(rows: DataFrame, nodes: DataFrame, keep: Sequence[str], vector: str =
     return found.select(*keep, "tree", "leaf", "probability")
 
 
+@dataclass(frozen=True)
+class Grid:
+    """The cells that a forest's splits cut rows into: rows of one cell go to the same leaves."""
+
+    slots: Sequence[int]
+    cuts: Mapping[int, Sequence[float]]
+
+    @property
+    def columns(self) -> list[str]:
+        return cell_columns(self.slots)
+
+    def of(self, rows: DataFrame, vector: str = RAW_VECTOR) -> DataFrame:
+        """``rows`` with the columns of their cell in place of the vector."""
+        return bucketed(slot_columns(rows, vector, self.slots), self.slots, self.cuts).drop(vector)
+
+    def vector(self) -> Column:
+        """A vector of the cell: it lies at the cut that ends each bucket."""
+        values = [F.lit(0.0)] * (max(self.slots) + 1)
+        for i in self.slots:
+            values[i] = F.col(f"_c{i}")
+            if i in self.cuts:
+                ends = F.array(*[F.lit(float(c)) for c in self.cuts[i]])
+                values[i] = F.coalesce(F.get(ends, values[i].cast("int")), F.lit(float("inf")))
+        return array_to_vector(F.array(*values))
+
+
+def forest_grid(nodes: DataFrame) -> Grid:
+    """The grid of a node table. The driver lists its distinct splits, at most the bins of each slot."""
+    splits = nodes.filter("left is not null").groupBy("feature")
+    found = {r["feature"]: r["cuts"] for r in splits.agg(F.sort_array(F.collect_set("threshold")).alias("cuts")).collect()}
+    return Grid(sorted(found) or [0], {i: cuts for i, cuts in found.items() if cuts})
+
+
 def routed_probability(routed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The forest's probability of each row: the mean over its trees; and the number of trees."""
     return routed.groupBy(*keys).agg(F.avg("probability").alias("probability"), F.count("*").alias("n_trees"))
 
 
-def leaf_rates(routed: DataFrame, nodes: DataFrame, label: str = "label", weight: str = "classWeight") -> DataFrame:
+def leaf_rates(
+    routed: DataFrame, nodes: DataFrame, label: str = "label", weight: str = "classWeight", count: str | None = None
+) -> DataFrame:
     """tree, leaf, rows and rate of the routed rows of each leaf, beside the leaf's own numbers.
 
-    ``routed`` keeps the label and the weight. Rows of a training set that was not resampled
-    give every leaf its own rows and its own rate.
+    ``routed`` keeps the label and the weight, and ``count`` where a row stands for several.
+    Rows of a training set that was not resampled give every leaf its own rows and its own rate.
     """
+    rows = F.lit(1) if count is None else F.col(count)
+    weighed = F.col(weight) * rows
     found = routed.groupBy("tree", "leaf").agg(
-        F.count("*").alias("routed_rows"),
-        (F.sum(F.col(weight) * F.col(label)) / F.sum(weight)).alias("rate"),
+        F.sum(rows).alias("routed_rows"), (F.sum(weighed * F.col(label)) / F.sum(weighed)).alias("rate")
     )
     own = nodes.filter("left is null").select("tree", F.col("node").alias("leaf"), "rows", "probability")
     return own.join(found, ["tree", "leaf"], "left").fillna(0, ["routed_rows"])
