@@ -10,10 +10,14 @@ are similar enough share a signature: no link is lost. Choices of empty cells si
 where a set has too few others.
 
 Rows of one shingle set form a class, numbered by a hash of the set, and one row signs for
-it. Members of a bucket (one signature) are compared with its least member, the pivot. Where
+it. Nearly all signatures occur once. So they first travel packed, five bytes and about two
+bits each, to owners of ranges, which tell the repeated ones; only those travel as rows with
+their class. Cutting signatures to their range and 40 bits may merge two buckets, which
+brings more members together, never fewer. Members of a bucket (one signature) are compared with its least member, the pivot. Where
 that leaves a bucket in several components, element counts in parts of the domain rule most
 pairs out. What remains together is compared on whole sets. A whole set travels once per
-pair, so pairs are first ruled out by the parities of many small cells, and of a document's
+pair, so pairs are first ruled out by the parities of many small cells (counts and parities
+are stored with each row's class, whole sets are made for the documents that need them), and of a document's
 pivots only the nearest is tried before the others, which count only where components
 differ still. Both steps deal a large bucket
 or family into bounded blocks, large components apart from the rest, and take up only pairs
@@ -26,7 +30,7 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 from itertools import combinations
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,7 @@ from pyspark.sql import Window
 
 from tabwright.llm.components import components
 from tabwright.llm.support import WordIds, bounded, chained, lower_words, mix, prepare
-from tabwright.scratch import stage
+from tabwright.scratch import scoped_staging, short_lived_shuffles, stage
 
 # A list of ids is broadcast only when it was counted and is not longer than this.
 BROADCAST_IDS = 2_000_000
@@ -48,6 +52,12 @@ BUCKET_DOCS = 2048
 BLOCK_DOCS = 1024
 BLOCK_ELEMENTS = 400_000
 CHUNK_ELEMENTS = 2048
+# Signatures packed or compared at a time, about how many an owner of a range gets at most, and
+# too few for one where the session has more partitions; bytes kept of one beside its range.
+PACKED_SIGNATURES = 1 << 18
+RANGE_SIGNATURES = 1 << 21
+FEW_SIGNATURES = 1 << 16
+LOW_BYTES = 5
 # Parts of the domain whose element counts rule pairs out.
 COUNT_CELLS = 64
 U64 = np.uint64
@@ -145,35 +155,179 @@ def node_of(shingles: np.ndarray, seed: int) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes(), seed)).view(np.int64))
 
 
+def cell_counts(shingles: np.ndarray) -> bytes:
+    """Elements of a sorted set in each of ``COUNT_CELLS`` equal parts of the domain, 255 at most."""
+    edges = np.searchsorted(shingles, np.arange(1, COUNT_CELLS, dtype=U64) * U64(2**64 // COUNT_CELLS))
+    counts = np.diff(np.concatenate([[0], edges, [len(shingles)]]))
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def parities(shingles: np.ndarray) -> bytes:
+    """A bit per cell of the domain: whether it holds an odd number of elements; four cells an element or more."""
+    cells = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    held = np.bincount((shingles & U64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((held & 1).astype(np.uint8)).tobytes()
+
+
 def _set_table(texts: DataFrame, length: int, seed: int) -> DataFrame:
-    """doc_id, said, n_shingles, node and digest of each text; the last two are null without words."""
-    kinds = [pa.int64(), pa.int64(), pa.string()]
+    """doc_id, said, n_shingles, node, digest, cell counts and parities of each text; from node on null without words."""
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], []]
+            rows: list[list] = [[] for _ in kinds]
             for found in shingle_sets(_texts(batch), length):
                 rows[0].append(len(found))
                 rows[1].append(node_of(found, seed) if len(found) else None)
                 rows[2].append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
+                rows[3].append(cell_counts(found) if len(found) else None)
+                rows[4].append(parities(found) if len(found) else None)
             columns = [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)]
-            names = ["doc_id", "said", "n_shingles", "node", "digest"]
+            names = ["doc_id", "said", "n_shingles", "node", "digest", "counts", "odd"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("said"), *columns], names)
 
-    return texts.mapInArrow(sets, "doc_id long, said long, n_shingles long, node long, digest string")
+    kind = "doc_id long, said long, n_shingles long, node long, digest string, counts binary, odd binary"
+    return texts.mapInArrow(sets, kind)
+
 
+def signature_count(size: int, percent: int) -> int:
+    """Most signatures of a set of ``size``, for both of its bands."""
+    _, *highs = band(size, percent)
+    cut = [choices(differences(high, percent), high * percent * percent // 10_000) for high in highs]
+    return sum(n1 * math.comb(n2, k2) for n1, n2, k2 in cut)
 
-def _signed(texts: DataFrame, length: int, percent: int, seed: int) -> DataFrame:
-    """The class and the signatures of each text that has words."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ranges(table: DataFrame, percent: int) -> int:
+    """How many ranges the signatures are dealt into: as many as the session's partitions, unless they get too few or many."""
+    size = F.col("n_shingles")
+    sizes = table.filter(size > 0).groupBy(F.floor(F.log(size) * 4)).agg(F.count("*").alias("n"), F.max(size).alias("size"))
+    total = sum(r["n"] * signature_count(r["size"], percent) for r in sizes.collect())
+    session = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-total // RANGE_SIGNATURES), min(session, total // FEW_SIGNATURES))
+
+
+def packed(signed: list[np.ndarray], ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """For each range that holds signatures: its number, their low bytes text by text, and a mask of owners.
+
+    The mask has a bit 1 for each signature, and a bit 0 after those of each text.
+    """
+    values = np.concatenate(signed)
+    places = np.repeat(np.arange(len(signed), dtype=np.int32), [len(s) for s in signed])
+    at = (((values >> U64(32)) * U64(ranges)) >> U64(32)).astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
+    order = np.argsort(at, kind="stable")
+    places, at = places[order], at[order]
+    low = values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
+    cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1), len(at)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            mask = np.zeros(b - a + len(signed), np.uint8)
+            mask[places[a:b] + np.arange(b - a)] = 1
+            yield int(at[a]), low[a:b].tobytes(), np.packbits(mask).tobytes()
+
+
+def unpacked(low: bytes, mask: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Low bits of the signatures, and the places of their texts."""
+    whole = np.zeros((len(low) // LOW_BYTES, 8), np.uint8)
+    whole[:, :LOW_BYTES] = np.frombuffer(low, np.uint8).reshape(-1, LOW_BYTES)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8)))
+    return whole.view("<u8").ravel().astype(U64), (ones - np.arange(len(ones))).astype(np.int32)
+
+
+def _packed_signatures(texts: DataFrame, length: int, percent: int, seed: int, ranges: int) -> DataFrame:
+    """The signatures of each text that has words, packed by block of texts and range; a row of each block has its classes."""
+    names = ["range", "block", "low", "mask", "nodes"]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: list[int] = []
+        signed: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            listed = np.array(nodes, np.int64).tobytes()
+            block = int(np.uint64(xxhash.xxh3_64_intdigest(listed)).view(np.int64))
+            rows = [(block % ranges, block, None, None, listed)] if nodes else []
+            if nodes:
+                rows += [(at, block, low, mask, None) for at, low, mask in packed(signed, ranges)]
+            nodes.clear()
+            signed.clear()
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        held = 0
         for batch in batches:
-            found = [s for s in shingle_sets(_texts(batch), length) if len(s)]
-            nodes = pa.array([node_of(s, seed) for s in found], pa.int64())
-            signed = pa.array([signatures(s, percent).view(np.int64) for s in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([nodes, signed], ["node", "signatures"])
+            for found in shingle_sets(_texts(batch), length):
+                if len(found):
+                    nodes.append(node_of(found, seed))
+                    signed.append(signatures(found, percent))
+                    held += len(signed[-1])
+                if held >= PACKED_SIGNATURES:
+                    yield flush()
+                    held = 0
+        yield flush()
+
+    return texts.mapInArrow(pack, "range int, block long, low binary, mask binary, nodes binary")
 
-    return texts.mapInArrow(sign, "node long, signatures array<long>")
+
+def _repeated_signatures(packs: DataFrame, ranges: int) -> DataFrame:
+    """block, place and value: the signatures that occur twice or more, and (is_node) the class at each place.
+
+    A task holds the packed bytes of its range and compares about ``PACKED_SIGNATURES`` at a time.
+    """
+    names = ["block", "place", "value", "is_node"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    bits = U64(8 * LOW_BYTES)
+
+    def table(blocks: np.ndarray, places: np.ndarray, values: np.ndarray, is_node: bool) -> pa.RecordBatch:
+        columns = [blocks, places, values, np.full(len(values), is_node)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, bytes, bytes]] = []
+        for batch in batches:
+            for at, block, low, mask, nodes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if nodes is None:
+                    held.append((at, block, low, mask))
+                else:
+                    values = np.frombuffer(nodes, np.int64)
+                    yield table(np.full(len(values), block), np.arange(len(values)), values, True)
+        pieces = max(1, -(-sum(len(x[2]) for x in held) // (LOW_BYTES * PACKED_SIGNATURES)))
+        for piece in range(pieces):
+            keys, places, packs = [], [], []
+            for number, (at, _, low, mask) in enumerate(held):
+                key, place = unpacked(low, mask)
+                if pieces > 1:
+                    # By the topmost bits kept.
+                    mine = ((key >> (bits - U64(16))) * U64(pieces)) >> U64(16) == U64(piece)
+                    key, place = key[mine], place[mine]
+                keys.append(key | (U64(at) << bits))
+                places.append(place)
+                packs.append(np.full(len(key), number, np.int32))
+            if keys:
+                key, place, pack = (np.concatenate(x) for x in (keys, places, packs))
+                del keys, places, packs
+                order = np.argsort(key)
+                again = key[order[1:]] == key[order[:-1]]
+                order = order[np.concatenate([again, [False]]) | np.concatenate([[False], again])] if len(order) else order
+                pack, place, key = pack[order], place[order], key[order]
+                blocks = np.array([x[1] for x in held], np.int64)
+                for start in range(0, len(key), 1 << 16):
+                    some = slice(start, start + (1 << 16))
+                    yield table(blocks[pack[some]], place[some], key[some].view(np.int64), False)
+
+    dealt = packs.repartitionById(ranges, F.col("range"))
+    return dealt.mapInArrow(repeated, "block long, place long, value long, is_node boolean")
+
+
+def _members_of_buckets(signers: DataFrame, table: DataFrame, length: int, percent: int, seed: int) -> DataFrame:
+    """signature and doc (a class) of each member of a bucket of two or more."""
+    ranges = _ranges(table, percent)
+    packs = _packed_signatures(signers, length, percent, seed, ranges)
+    repeated = stage(_repeated_signatures(packs, ranges), "repeated")
+    members = repeated.filter("not is_node").select("block", "place", F.col("value").alias("signature"))
+    nodes = repeated.filter("is_node").select("block", "place", F.col("value").alias("doc"))
+    # Only a block signed again after a failure, from rows in another order, could lack its classes.
+    doc = F.coalesce("doc", F.raise_error(F.lit("signatures of a block without classes")).cast("long"))
+    return members.join(nodes, ["block", "place"], "left").select("signature", doc.alias("doc"))
 
 
 def _classes(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame, int]:
@@ -204,8 +358,8 @@ def _signers(texts: DataFrame, table: DataFrame, classes: DataFrame) -> DataFram
     return alone.select(*columns).unionAll(chosen.select(*columns))
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    """signature, pivot and doc for each member of a bucket but its least, the pivot.
+def _buckets(flat: DataFrame) -> DataFrame:
+    """signature, pivot and doc for each member (signature, doc) of a bucket but its least, the pivot.
 
     The rows stream past sorted by signature; what is held is the bucket at hand's pivot.
     """
@@ -225,49 +379,45 @@ def _buckets(signed: DataFrame) -> DataFrame:
             columns = [pa.array(x[keep]) for x in (sig, first, doc)]
             yield pa.RecordBatch.from_arrays(columns, ["signature", "pivot", "doc"])
 
-    flat = signed.select(F.explode("signatures").alias("signature"), F.col("node").alias("doc"))
     dealt = flat.repartition("signature").sortWithinPartitions("signature", "doc")
     return dealt.mapInArrow(members, "signature long, pivot long, doc long")
 
 
-def cell_counts(shingles: np.ndarray) -> bytes:
-    """Elements of a sorted set in each of ``COUNT_CELLS`` equal parts of the domain, 255 at most."""
-    edges = np.searchsorted(shingles, np.arange(1, COUNT_CELLS, dtype=U64) * U64(2**64 // COUNT_CELLS))
-    counts = np.diff(np.concatenate([[0], edges, [len(shingles)]]))
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
-
-
-def parities(shingles: np.ndarray) -> bytes:
-    """A bit per cell of the domain: whether it holds an odd number of elements; four cells an element or more."""
-    cells = max(64, 1 << (4 * len(shingles) - 1).bit_length())
-    held = np.bincount((shingles & U64(cells - 1)).astype(np.int64), minlength=cells)
-    return np.packbits((held & 1).astype(np.uint8)).tobytes()
+def _sketches(table: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc (a class), the size of its set, cell counts and parities; one row per class."""
+    several = bounded(stage(classes.filter("n > 1").select("node"), "several"), BROADCAST_CLASSES)
+    columns = [F.col("node").alias("doc"), F.col("n_shingles").alias("n"), "counts", "odd"]
+    usable = table.filter("doc_id is not null and node is not null").select("node", "n_shingles", "counts", "odd")
+    firsts = [F.first(c).alias(c) for c in ("n_shingles", "counts", "odd")]
+    chosen = usable.join(several, "node", "left_semi").groupBy("node").agg(*firsts)
+    return usable.join(several, "node", "left_anti").unionByName(chosen).select(*columns)
 
 
-def _sets_of(texts: DataFrame, classes: DataFrame, ids: DataFrame, length: int, seed: int) -> DataFrame:
-    """doc (a class), its whole set, the set's size, cell counts and parities, for the listed classes."""
+def _sets_of(texts: DataFrame, table: DataFrame, classes: DataFrame, ids: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc (a class) and its whole set, for the listed classes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(_texts(batch), length))
-            columns = [
-                pa.array([node_of(s, seed) for s in found], pa.int64()),
-                pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
-                pa.array([len(s) for s in found], pa.int64()),
-                pa.array([cell_counts(s) for s in found], pa.binary()),
-                pa.array([parities(s) for s in found], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "shingles", "n", "counts", "odd"])
+            nodes = pa.array([node_of(s, seed) for s in found], pa.int64())
+            whole = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([nodes, whole], ["doc", "shingles"])
 
     listed = stage(classes.join(ids, classes["node"] == ids["doc"], "left_semi").select("doc_id", "said"), "listed")
     key = ["doc_id", "said"]
-    wanted = texts.join(bounded(listed, BROADCAST_IDS), key, "left_semi")
+    listed = bounded(listed, BROADCAST_IDS)
+    wanted = texts.join(listed, key, "left_semi").select(*key, "text")
     # Rows that repeat id and text are few: only they are shuffled, and no set is.
-    again = bounded(stage(wanted.groupBy(*key).count().filter("count > 1").select(*key), "again"), BROADCAST_IDS)
-    once = wanted.join(again, key, "left_anti").select(*key, "text")
-    wanted = once.unionAll(wanted.join(again, key, "left_semi").groupBy(*key).agg(F.first("text").alias("text")))
-    kind = "doc long, shingles array<long>, n long, counts binary, odd binary"
-    return wanted.mapInArrow(sets, kind)
+    again = stage(table.join(listed, key, "left_semi").groupBy(*key).count().filter("count > 1").select(*key), "again")
+    if not again.isEmpty():
+        again = bounded(again, BROADCAST_IDS)
+        firsts = wanted.join(again, key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"))
+        wanted = wanted.join(again, key, "left_anti").unionAll(firsts)
+    return wanted.mapInArrow(sets, "doc long, shingles array<long>")
+
+
+#: doc and whole set of the classes that a column ``doc`` lists.
+WholeSets = Callable[[DataFrame], DataFrame]
 
 
 def _only(sets: DataFrame, ids: DataFrame, column: str = "doc") -> DataFrame:
@@ -310,12 +460,13 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _ruled(pairs, sets, sets, percent, "counts", apart)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, whole: WholeSets, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough; the sets travel for those whose parities allow it."""
     ends = [_only(sets, pairs, c) for c in ("u", "v")]
     likely = stage(_ruled(pairs, *ends, percent, "odd", odd_apart).select("u", "v"), "likely")
-    left = _only(sets, likely, "u").select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
-    right = _only(sets, likely, "v").select(F.col("doc").alias("v"), F.col("shingles").alias("second"))
+    made = whole(likely.select(F.explode(F.array("u", "v")).alias("doc")).distinct())
+    left = _only(made, likely, "u").select(F.col("doc").alias("u"), F.col("shingles").alias("first"))
+    right = _only(made, likely, "v").select(F.col("doc").alias("v"), F.col("shingles").alias("second"))
     n, m = F.size("first").cast("long"), F.size("second").cast("long")
     both = F.size(F.array_intersect("first", "second")).cast("long")
     near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -325,7 +476,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links_of_pivots(possible: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links_of_pivots(possible: DataFrame, sets: DataFrame, whole: WholeSets, percent: int) -> DataFrame:
     """Links among the possible pairs (u, v), enough to join what all of them join.
 
     In a large family a document meets many pivots, and nearly all those pairs join what is
@@ -333,14 +484,16 @@ def _links_of_pivots(possible: DataFrame, sets: DataFrame, percent: int) -> Data
     only where its ends are in unlike components after that.
     """
     nearest = possible.groupBy("v").agg(F.min(F.struct("differ", "u")).alias("at"))
-    first = stage(_linked(nearest.select("at.u", "v"), sets, percent), "links")
+    with scoped_staging(possible.sparkSession):
+        first = stage(_linked(nearest.select("at.u", "v"), sets, whole, percent), "links", keep=True)
     found = components(first)
     ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("u", "v")]
     rest = possible.select("u", "v").join(ends[0], "u", "left").join(ends[1], "v", "left")
     rest = rest.filter(F.coalesce("u_in", "u") != F.coalesce("v_in", "v")).select("u", "v")
     # The pairs tried are apart as well, if they are not similar.
     rest = rest.join(nearest.select("at.u", "v"), ["u", "v"], "left_anti")
-    return first.unionAll(stage(_linked(rest, sets, percent), "links"))
+    with scoped_staging(possible.sparkSession):
+        return first.unionAll(stage(_linked(rest, sets, whole, percent), "links", keep=True))
 
 
 class Bucket:
@@ -621,9 +774,9 @@ def _likely_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return members.drop("family").join(of, "doc").select("family", "doc", "component", "n", "weight")
 
 
-def _links_between_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links_between_blocks(members: DataFrame, whole: WholeSets, percent: int) -> DataFrame:
     """Links that pivots did not find: blocks of a family against one another, on whole sets."""
-    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(_only(sets, members).select("doc", "shingles"), "doc")
+    rows = _in_blocks(members, "family", BLOCK_ELEMENTS, percent).join(whole(members.select("doc")), "doc")
     grouped = rows.select("family", "i", "j", "side", "doc", "component", "shingles").groupBy("family", "i", "j")
     return grouped.applyInArrow(_compare(percent), "u long, v long")
 
@@ -644,24 +797,40 @@ def jaccard_components(
     and has no component; rows with equal ids are one document, linked by each of its texts,
     and repeat in the result. Other columns are not read. An empty table gives no rows.
     """
-    prepare(docs.sparkSession)
+    with short_lived_shuffles(prepare(docs.sparkSession)):
+        table, names = _named(docs, length, percent, id_col, text_col)
+    # Joined to stored names, a class that holds a third of the rows can be split.
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return table.join(bounded(names, BROADCAST_CLASSES), "node", "left").select(
+        F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id")
+    )
+
+
+def _named(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The set of each row, and the component_id of each class that has another than its only row's id."""
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("said", F.xxhash64("text"))
     table, classes, seed = _classes(rows, length)
     texts = rows.filter("doc_id is not null")
     # Signatures are many times a set's size in bytes: they are made anew, not stored.
-    signers = _signers(texts, table, classes)
-    buckets = stage(_buckets(_signed(signers, length, percent, seed)), "buckets")
+    with scoped_staging(spark):
+        signers = _signers(texts, table, classes)
+        buckets = stage(_buckets(_members_of_buckets(signers, table, length, percent, seed)), "buckets", keep=True)
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
-    ids = buckets.select("doc").unionAll(buckets.select(F.col("pivot").alias("doc"))).distinct()
-    sets = stage(_sets_of(texts, classes, ids, length, seed), "candidates")
+    sets = _sketches(table, classes)
+
+    def whole(ids: DataFrame) -> DataFrame:
+        return stage(_sets_of(texts, table, classes, ids, length, seed), "whole")
+
     possible = stage(_possible(pairs, sets, percent), "possible")
-    links = _links_of_pivots(possible, sets, percent)
+    links = _links_of_pivots(possible, sets, whole, percent)
 
-    members = stage(_members_to_compare(buckets, links, sets, percent), "members")
-    members = stage(_likely_members(members, sets, percent), "members")
-    links = links.unionAll(stage(_links_between_blocks(members, sets, percent), "links"))
+    with scoped_staging(spark):
+        members = stage(_members_to_compare(buckets, links, sets, percent), "members")
+        members = stage(_likely_members(members, sets, percent), "members")
+        links = links.unionAll(stage(_links_between_blocks(members, whole, percent), "links", keep=True))
 
     # An id that stands for several texts ties their classes together.
     usable = table.filter("doc_id is not null and node is not null")
@@ -673,9 +842,4 @@ def jaccard_components(
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = named.join(least, "component").select("node", "component_id")
     alone = classes.filter("n > 1").select("node", F.col("doc_id").alias("own"))
-    names = stage(alone.join(linked, "node", "full").select("node", F.coalesce("component_id", "own").alias("component_id")), "names")
-    # Joined to stored names, a class that holds a third of the rows can be split.
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return table.join(bounded(names, BROADCAST_CLASSES), "node", "left").select(
-        F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id")
-    )
+    return table, stage(alone.join(linked, "node", "full").select("node", F.coalesce("component_id", "own").alias("component_id")), "names")

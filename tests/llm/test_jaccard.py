@@ -165,6 +165,76 @@ def test_edges_leave_no_similar_pair_apart_across_components():
     assert {frozenset(e) for e in bucket.edges(90)} == {frozenset({0, 2}), frozenset({1, 3})}
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 70_000])
+def test_packed_signatures_come_out_again(ranges):
+    rng = np.random.default_rng(ranges)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 9, 40, 300, 2000, 1)]
+    signed = [signatures(s, 80) for s in sets]
+    for s, own in zip(sets, signed, strict=True):
+        assert len(own) <= jaccard.signature_count(len(s), 80)
+    got = []
+    for at, low, mask in jaccard.packed(signed, ranges):
+        values, places = jaccard.unpacked(low, mask)
+        got += [(int(p), at, int(v)) for v, p in zip(values, places, strict=True)]
+    wanted = [(p, (int(v) >> 32) * ranges >> 32, int(v) % 2**40) for p, own in enumerate(signed) for v in own]
+    assert sorted(got) == sorted(wanted)
+
+
+@pytest.mark.parametrize("piece", [100, 2000])
+def test_only_repeated_signatures_travel_as_rows(spark, monkeypatch, piece):
+    """Members of buckets are those of signatures that two or more texts share, by any number of blocks, ranges and pieces."""
+    monkeypatch.setattr(jaccard, "PACKED_SIGNATURES", piece)
+    monkeypatch.setattr(jaccard, "RANGE_SIGNATURES", piece)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(60)]
+    texts += [f"{t} end" for t in texts[:20]] + ["", "one"]
+    signed = {}
+    for shingles in jaccard.shingle_sets([t.encode() for t in texts], 5):
+        if len(shingles):
+            for value in signatures(shingles, 80):
+                signed.setdefault(value, []).append(jaccard.node_of(shingles, 0))
+    wanted = sorted(sorted(nodes) for nodes in signed.values() if len(nodes) > 1)
+    docs = documents(spark, texts).repartition(5)
+    table = jaccard._set_table(docs.withColumn("said", F.lit(0).cast("long")), 5, 0)
+    if piece == 100:
+        assert jaccard._ranges(table, 80) > 50
+        monkeypatch.setattr(jaccard, "_ranges", lambda *_: 3)
+    groups = {}
+    for r in jaccard._members_of_buckets(docs, table, 5, 80, 0).collect():
+        groups.setdefault(r["signature"], []).append(r["doc"])
+    assert sorted(sorted(nodes) for nodes in groups.values()) == wanted
+
+
+def test_little_is_stored_and_shuffle_files_do_not_gather(spark, monkeypatch):
+    """Strangers that share a passage meet in buckets, but only near copies get whole sets; a query's shuffle files end with it."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join([passage, *(f"w{rng.randrange(10**6)}" for _ in range(60))]) for _ in range(50)]
+    texts += [f"{t} end" for t in texts[:5]]
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> int:
+        files = disk.getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    spark.sparkContext._jvm.System.gc()
+    held, sizes, real = shuffled(), {}, jaccard.stage
+
+    def staged(df, name, *rest, **named):
+        out = real(df, name, *rest, **named)
+        left.append(shuffled() - held)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    left = []
+    monkeypatch.setattr(jaccard, "stage", staged)
+    got = found(documents(spark, texts), 5, 80)
+    assert {i: c for i, (_, c) in got.items()} == {i: i - 50 if i >= 50 else i for i in range(55)}
+    assert sizes["buckets"][0] > 200
+    assert sum(sizes["whole"]) <= 15
+    assert max(left) <= 0
+
+
 def test_bands_and_choices():
     for percent in (50, 80, 90):
         for size in range(1, 500):

@@ -1,6 +1,16 @@
 import pytest
+from pyspark.sql import functions as F
 
-from tabwright.scratch import checkpoint, persisted, scoped_staging, scratch_path, shared_folder, stage
+from tabwright.scratch import (
+    SHUFFLE_CLEANUP_SETTING,
+    checkpoint,
+    persisted,
+    scoped_staging,
+    scratch_path,
+    shared_folder,
+    short_lived_shuffles,
+    stage,
+)
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -46,3 +56,12 @@ def test_scoped_tables_go_with_the_block(spark):
     for gone in (inside, failed):
         with pytest.raises(Exception, match="(?i)does not exist|not.found"):
             gone.select("id").collect()
+
+
+def test_shuffles_are_short_lived_inside_the_block_only(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP_SETTING, None)
+    with pytest.raises(RuntimeError), short_lived_shuffles(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP_SETTING) == "true"
+        assert stage(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "counts").count() == 7
+        raise RuntimeError
+    assert spark.conf.get(SHUFFLE_CLEANUP_SETTING, None) == before
