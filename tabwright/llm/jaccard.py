@@ -819,7 +819,8 @@ def _named(docs: DataFrame, length: int, percent: int, id_col: str, text_col: st
         signers = _signers(texts, table, classes)
         buckets = stage(_buckets(_members_of_buckets(signers, table, length, percent, seed)), "buckets", keep=True)
     pairs = buckets.select(F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct()
-    sets = _sketches(table, classes)
+    ids = buckets.select(F.explode(F.array("pivot", "doc")).alias("doc"))
+    sets = stage(_only(_sketches(table, classes), ids), "candidates")
 
     def whole(ids: DataFrame) -> DataFrame:
         return stage(_sets_of(texts, table, classes, ids, length, seed), "whole")
