@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +47,10 @@ class Parts:
     tuning: DataFrame
     validation: DataFrame
 
+    def __iter__(self) -> Iterator[DataFrame]:
+        """Train and test, to be unpacked like the result of ``hash_split``."""
+        return iter((self.train, self.test))
+
 
 def staged_split(df: DataFrame, keys: Sequence[str], name: str) -> Parts:
     """Both splits of ``df``, staged part by part: readers of a part compute no digests again."""
